@@ -1,7 +1,7 @@
 """The life of a round as transitions over a table of states.
 
 ``rounds`` is append-only: (repo_id, seq, protocol_version, status, round, base_model_revision, pending_merge, policy,
-last_merge, updated_at). The current state of a repository is its row with the highest (round, seq).
+last_merge, updated_at). ``seq`` counts the states of a repository; the current one has the highest.
 """
 
 from __future__ import annotations
@@ -33,22 +33,24 @@ ROUNDS_SCHEMA = (
 
 def current_states(rounds: DataFrame) -> DataFrame:
     """Latest state per repository."""
-    others = [c for c in rounds.columns if c not in ("repo_id", "round", "seq")]
-    latest = F.max_by(F.struct("round", "seq", *others), F.struct("round", "seq"))
+    others = [c for c in rounds.columns if c != "repo_id"]
+    latest = F.max_by(F.struct(*others), F.col("seq"))
     return rounds.groupBy("repo_id").agg(latest.alias("state")).select("repo_id", "state.*").select(*rounds.columns)
 
 
 def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column, force: bool = False) -> DataFrame:
     """Round 0 rows for the requested repositories; those that already have a state are left out unless forced.
 
-    ``requests`` is (repo_id, base_model_revision, policy). A forced row gets a round and sequence above the old ones
-    only in ``seq``; callers that force must start a new table version for the repository.
+    ``requests`` is (repo_id, base_model_revision, policy). A forced row follows the old states in ``seq``.
     """
-    if not force:
-        requests = requests.join(rounds.select("repo_id").distinct(), "repo_id", "left_anti")
+    known = rounds.groupBy("repo_id").agg(F.max("seq").alias("last_seq"))
+    if force:
+        requests = requests.join(known, "repo_id", "left")
+    else:
+        requests = requests.join(known, "repo_id", "left_anti").withColumn("last_seq", F.lit(None).cast("bigint"))
     return requests.where("policy.min_updates > 0 AND policy.min_updates <= policy.max_updates").select(
         "repo_id",
-        F.lit(0).cast("bigint").alias("seq"),
+        (F.coalesce("last_seq", F.lit(-1)) + 1).cast("bigint").alias("seq"),
         F.lit(PROTOCOL_VERSION).alias("protocol_version"),
         F.lit("open").alias("status"),
         F.lit(0).alias("round"),
