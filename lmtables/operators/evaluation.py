@@ -16,11 +16,13 @@ ROUTER_LOSS_COEFFICIENT = 0.001
 
 
 def shift_labels(rows: DataFrame) -> DataFrame:
-    """(seq_id, pos, target): position *i* predicts the label at *i + 1*; the last position has no row.
+    """(seq_id, pos, target): position *i* (from 0) predicts the label at *i + 1*; the last position has no row.
 
     Only labels move, and on (seq_id, pos), so a long or frequent sequence does not gather in one task.
     """
-    return rows.select("seq_id", (F.col("pos") - 1).cast("int").alias("pos"), F.col("label").alias("target"))
+    return rows.where("pos > 0").select(
+        "seq_id", (F.col("pos") - 1).cast("int").alias("pos"), F.col("label").alias("target")
+    )
 
 
 def token_losses(token_logits: DataFrame, ignore: int = IGNORE_LABEL) -> DataFrame:

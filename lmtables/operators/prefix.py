@@ -70,10 +70,11 @@ def running_total(
     out: str,
     *,
     inclusive: bool = False,
+    ties: Sequence[str] = (),
     lengths: DataFrame | None = None,
     order_bits: int = 63,
 ) -> DataFrame:
-    """Adds ``out``, the running total of ``value`` inside each group, ordered by an integer key.
+    """Adds ``out``, the running total of ``value`` inside each group, ordered by an integer key, then ``ties``.
 
     ``lengths`` (keys, order, ``value``) may be given where the values are cheaper to compute than ``df`` itself.
     A ``df`` that is already partitioned by its keys and a column ``order_bucket`` is not shuffled again.
@@ -85,7 +86,7 @@ def running_total(
     if lengths is None:
         lengths = valued.select(*keys, order, "value")
     offsets = bucket_offsets(lengths, keys, order, "value", order_bits).withColumnRenamed("bucket", BUCKET)
-    inside = W.partitionBy(*keys, BUCKET).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*keys, BUCKET).orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
     local = F.sum("value").over(inside)
     local = local if inclusive else local - F.col("value")
     return (

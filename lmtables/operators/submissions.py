@@ -17,7 +17,7 @@ from lmtables.functions.identifiers import (
     parent_dir,
     round_prefix,
 )
-from lmtables.operators.prefix import top_rows
+from lmtables.operators.prefix import running_total, top_rows
 
 # The keys a metadata document must have, and the statuses that take part in discovery.
 REQUIRED_KEYS = (
@@ -39,6 +39,8 @@ METADATA_SCHEMA = (
     "dataset_config_name STRING, block_size INT, submitted_at STRING"
 )
 ROUND = ("repo_id", "round")
+# Seconds since 1970 stay below this many bits for a thousand years.
+SECOND_BITS = 35
 
 
 def open_submissions(submissions: DataFrame) -> DataFrame:
@@ -275,6 +277,21 @@ def take_max_updates(accepted: DataFrame, limits: DataFrame) -> DataFrame:
     ).drop("max_updates")
 
 
+def submission_order(candidates: DataFrame) -> DataFrame:
+    """Place of each candidate in its repository by time, ties by number, without ranking a repository in one task."""
+    timed = candidates.withColumn("second", F.unix_timestamp("created_at"))
+    return running_total(
+        timed,
+        ["repo_id"],
+        "second",
+        F.lit(1),
+        "place",
+        inclusive=True,
+        ties=["created_at", "pr_num"],
+        order_bits=SECOND_BITS,
+    ).drop("second")
+
+
 def select_quorum(accepted: DataFrame, rounds: DataFrame) -> DataFrame:
     return take_max_updates(accepted, quorum(accepted, rounds))
 
