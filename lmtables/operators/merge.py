@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lmtables.operators import tensors
-from lmtables.operators.rounds import rebuild_pending
+from lmtables.operators.rounds import merged_revision, rebuild_pending
 from lmtables.operators.submissions import ROUND
 
 POLICY = ("outer_lr", "outer_momentum", "nesterov")
@@ -44,20 +44,24 @@ def merge_round(
     max_delta_norm: float = 0.0,
     momentum_dtype: str = "float32",
 ) -> DataFrame:
-    """New values and momentum per chunk of every locked repository.
+    """New values and momentum per chunk of every locked repository, with the revision they belong to.
 
     ``merging`` are locked states; ``norms`` is (update_id, verified_norm). The outer settings travel with the factor
     of each update, so no chunk is joined with a table of policies.
     """
     pending = rebuild_pending(merging).join(norms.select("update_id", "verified_norm"), "update_id")
-    settings = merging.select(*ROUND, *[F.col(f"policy.{name}").alias(name) for name in POLICY])
+    revision = merged_revision(F.col("repo_id"), F.col("round"), F.col("pending_merge.update_id"))
+    settings = merging.select(
+        *ROUND, revision.alias("model_revision"), *[F.col(f"policy.{name}").alias(name) for name in POLICY]
+    )
+    keys = [*ROUND, "model_revision", *POLICY]
     scales = tensors.update_scales(
         pending.join(settings, list(ROUND)),
         weighting=weighting,
         max_delta_norm=max_delta_norm,
-        keys=[*ROUND, *POLICY],
+        keys=keys,
     )
-    averages = tensors.merge_average(deltas, scales, keys=[*ROUND, *POLICY])
+    averages = tensors.merge_average(deltas, scales, keys=keys)
     models = base.join(
         merging.select("repo_id", F.col("base_model_revision").alias("revision")), ["repo_id", "revision"], "left_semi"
     )

@@ -38,7 +38,7 @@ def current_states(rounds: DataFrame) -> DataFrame:
     return rounds.groupBy("repo_id").agg(latest.alias("state")).select("repo_id", "state.*").select(*rounds.columns)
 
 
-def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column, force: bool = False) -> DataFrame:
+def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column | str, force: bool = False) -> DataFrame:
     """Round 0 rows for the requested repositories; those that already have a state are left out unless forced.
 
     ``requests`` is (repo_id, base_model_revision, policy). A forced row follows the old states in ``seq``.
@@ -58,7 +58,7 @@ def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column, force: bool
         F.lit(None).cast(PENDING_TYPE).alias("pending_merge"),
         F.col("policy").cast(POLICY_TYPE).alias("policy"),
         F.lit(None).cast(MARKER_TYPE).alias("last_merge"),
-        now.cast("timestamp").alias("updated_at"),
+        F.lit(now).cast("timestamp").alias("updated_at"),
     )
 
 
@@ -77,7 +77,7 @@ def pending_lists(chosen: DataFrame) -> DataFrame:
     return chosen.groupBy(*ROUND).agg(F.array_sort(F.collect_list(entry)).alias("pending_merge"))
 
 
-def lock_rounds(states: DataFrame, chosen: DataFrame, now: Column) -> DataFrame:
+def lock_rounds(states: DataFrame, chosen: DataFrame, now: Column | str) -> DataFrame:
     """Open states with chosen submissions become ``merging`` states that carry the list."""
     lists = pending_lists(chosen)
     return (
@@ -86,7 +86,7 @@ def lock_rounds(states: DataFrame, chosen: DataFrame, now: Column) -> DataFrame:
         .join(lists, list(ROUND))
         .withColumn("status", F.lit("merging"))
         .withColumn("seq", F.col("seq") + 1)
-        .withColumn("updated_at", now.cast("timestamp"))
+        .withColumn("updated_at", F.lit(now).cast("timestamp"))
         .select(*states.columns)
     )
 
@@ -96,7 +96,7 @@ def rebuild_pending(states: DataFrame) -> DataFrame:
     return states.where("status = 'merging'").select(*ROUND, F.inline("pending_merge"))
 
 
-def merge_markers(merging: DataFrame, norms: DataFrame, now: Column) -> DataFrame:
+def merge_markers(merging: DataFrame, norms: DataFrame, now: Column | str) -> DataFrame:
     """One marker per merged round. ``norms`` is (repo_id, round, update_id, verified_norm)."""
     rows = rebuild_pending(merging).join(norms, [*ROUND, "update_id"])
     who = identity(F.col("author"), F.col("worker_id"))
@@ -119,7 +119,7 @@ def merge_markers(merging: DataFrame, norms: DataFrame, now: Column) -> DataFram
             F.col("policy.outer_lr").alias("outer_lr"),
             F.col("policy.outer_momentum").alias("outer_momentum"),
             F.col("policy.nesterov").alias("nesterov"),
-            now.cast("timestamp").alias("merged_at"),
+            F.lit(now).cast("timestamp").alias("merged_at"),
         )
         .cast(MARKER_TYPE)
         .alias("marker"),
@@ -142,7 +142,7 @@ def matching_markers(merging: DataFrame, markers: DataFrame) -> DataFrame:
     )
 
 
-def open_next_rounds(published: DataFrame, columns: list[str], now: Column) -> DataFrame:
+def open_next_rounds(published: DataFrame, columns: list[str], now: Column | str) -> DataFrame:
     """Published merging states become the next round's open states on the new revision."""
     return (
         published.withColumn("status", F.lit("open"))
@@ -151,7 +151,7 @@ def open_next_rounds(published: DataFrame, columns: list[str], now: Column) -> D
         .withColumn("base_model_revision", F.col("model_revision"))
         .withColumn("pending_merge", F.lit(None).cast(PENDING_TYPE))
         .withColumn("last_merge", F.col("marker"))
-        .withColumn("updated_at", now.cast("timestamp"))
+        .withColumn("updated_at", F.lit(now).cast("timestamp"))
         .select(*columns)
     )
 

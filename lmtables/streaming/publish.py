@@ -25,7 +25,7 @@ from lmtables.streaming.store import TableStore
 def coordinator_step(
     store: TableStore,
     accepted: DataFrame | None,
-    now: Column,
+    now: Column | str,
     *,
     weighting: str = "tokens",
     max_delta_norm: float = 0.0,
@@ -42,7 +42,7 @@ def coordinator_step(
     finalize_merges(store, now, after=after)
 
 
-def lock_ready_rounds(store: TableStore, accepted: DataFrame | None, now: Column, *, strict: bool) -> None:
+def lock_ready_rounds(store: TableStore, accepted: DataFrame | None, now: Column | str, *, strict: bool) -> None:
     """Verifies the payload of the chosen submissions and locks their rounds.
 
     A bad payload raises when ``strict``; otherwise it is put aside and the quorum is tested again without it.
@@ -66,7 +66,7 @@ def lock_ready_rounds(store: TableStore, accepted: DataFrame | None, now: Column
 
 def publish_merges(
     store: TableStore,
-    now: Column,
+    now: Column | str,
     *,
     weighting: str,
     max_delta_norm: float,
@@ -98,7 +98,7 @@ def publish_merges(
         max_delta_norm=max_delta_norm,
         momentum_dtype=momentum_dtype,
     )
-    stepped = stage(merged.drop("revision").join(revisions, "repo_id"), "stepped")
+    stepped = stage(merged, "stepped")
     store.replace_partitions(
         "momentum",
         stepped.select(
@@ -118,7 +118,7 @@ def publish_merges(
     after("marker")
 
 
-def finalize_merges(store: TableStore, now: Column, *, after: Callable[[str], None] = lambda point: None) -> None:
+def finalize_merges(store: TableStore, now: Column | str, *, after: Callable[[str], None] = lambda point: None) -> None:
     """Opens the next round of every published merge, then closes the merged submissions."""
     merging = R.current_states(store.read("rounds")).where("status = 'merging'")
     published = stage(R.matching_markers(merging, store.read("markers")), "published")
