@@ -39,7 +39,7 @@ SCALES_SQL = (
     "FROM norms JOIN (SELECT DISTINCT update_id, CAST(w AS DOUBLE) AS w FROM \"local\" WHERE w < 4) AS u USING (update_id)"
 ).format(m=MAX_NORM)
 AVERAGE_SQL = (
-    "SELECT e.name, e.chunk_id, e.i, sum(CAST(e.v AS DOUBLE) * s.factor) AS g FROM elements AS e "
+    "SELECT e.name, e.chunk_id, e.i, sum(CAST(e.v AS DOUBLE) * s.factor ORDER BY e.update_id) AS g FROM elements AS e "
     "JOIN scales AS s USING (update_id) GROUP BY e.name, e.chunk_id, e.i"
 )
 STEPPED_SQL = (
@@ -224,7 +224,7 @@ def _deltas(inputs: Inputs) -> DataFrame:
 
 
 @query(
-    "vector_terms",
+    "vector_l2_terms",
     with_tables(
         ["base", "local"],
         f"SELECT update_id, name, chunk_id, {fixed_sql('scaled')} AS scaled, {fixed_sql('added')} AS added, "
@@ -444,14 +444,14 @@ def _merge_join(inputs: Inputs) -> DataFrame:
     )
 
 
-def _joined(value: str, source_table: str) -> str:
+def joined_sql(value: str, source_table: str) -> str:
     return (
         f"SELECT name, chunk_id, string_agg(CAST(CAST(floor(CAST({value} AS DOUBLE) * 1000000 + 0.5) AS BIGINT) AS STRING), ' ' ORDER BY i) "
         f"AS content FROM {source_table} GROUP BY name, chunk_id"
     )
 
 
-@query("merge_average", with_tables(["base", "local"], _joined("g", "average"), CHAIN))
+@query("merge_average", with_tables(["base", "local"], joined_sql("g", "average"), CHAIN))
 def _average(inputs: Inputs) -> DataFrame:
     return averages(inputs).select("name", "chunk_id", V.fixed_point(F.col("average")).alias("content"))
 
@@ -479,7 +479,7 @@ def stepped(inputs: Inputs) -> DataFrame:
 STEP_CHAIN = CHAIN | {"stepped": STEPPED_SQL}
 
 
-@query("momentum_join", with_tables(["base", "local", "averages"], _joined("CAST(m AS FLOAT)", "stepped"), STEP_CHAIN))
+@query("momentum_join", with_tables(["base", "local", "averages"], joined_sql("CAST(m AS FLOAT)", "stepped"), STEP_CHAIN))
 def _momentum(inputs: Inputs) -> DataFrame:
     return stepped(inputs).select("name", "chunk_id", V.fixed_point(F.col("momentum")).alias("content"))
 
@@ -488,7 +488,7 @@ def _momentum(inputs: Inputs) -> DataFrame:
     "outer_step",
     with_tables(
         ["base", "local", "averages"],
-        _joined(
+        joined_sql(
             f"CAST(CAST(p AS DOUBLE) - (g + m * CAST({MOMENTUM} AS DOUBLE)) * CAST({LEARNING_RATE} AS DOUBLE) AS FLOAT)",
             "stepped",
         ),

@@ -15,12 +15,10 @@ POLL_SECONDS = 60
 
 
 def submission_stream(
-    spark: SparkSession, path: str, schema: str, *, files: str | None = None, max_files: int | None = None
+    spark: SparkSession, path: str, schema: str, *, max_files: int | None = None
 ) -> DataFrame:
     """Submissions that arrive as Parquet files in a folder."""
     reader = spark.readStream.schema(schema)
-    if files is not None:
-        reader = reader.option("pathGlobFilter", files)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
