@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lmtables.plans import analytics, corpus, ledger, rounds, scalars, streams, tensors  # noqa: F401 - importing registers
+from lmtables.plans import analytics, corpus, ledger, rounds, scalars, sinks, streams, tensors  # noqa: F401 - importing registers
 from lmtables.plans.registry import spark_queries, sql_texts
 from lmtables.plans.tables import Inputs
 
