@@ -145,7 +145,13 @@ def pack_corpus(
     """
     clustered = docs.select(split, order, text_col, bucket_of(F.col(order)).alias(BUCKET)).repartition(split, BUCKET)
     tokens = tokenize(
-        clustered, vocab, text_col, keep=(split, BUCKET, order), unk_id=unk_id, vocab_size=vocab_size
+        clustered,
+        vocab,
+        text_col,
+        keep=(split, BUCKET, order),
+        unk_id=unk_id,
+        vocab_size=vocab_size,
+        clustered=True,
     )
     return pack_blocks(
         tokens, block_size, order, split=split, lengths=doc_lengths(docs, text_col, order, split), order_bits=order_bits

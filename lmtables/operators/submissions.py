@@ -13,11 +13,13 @@ from lmtables.functions.identifiers import (
     PAYLOAD_SUFFIX,
     PROTOCOL_VERSION,
     TITLE_PREFIX,
+    UPDATE_ROOT,
     identity,
     parent_dir,
     round_prefix,
 )
 from lmtables.operators.prefix import running_total, top_rows
+from lmtables.session import stage
 
 # The keys a metadata document must have, and the statuses that take part in discovery.
 REQUIRED_KEYS = (
@@ -77,18 +79,22 @@ def latest_revisions(events: DataFrame) -> DataFrame:
     )
 
 
-def metadata_locations(candidates: DataFrame, files: DataFrame) -> DataFrame:
-    """Number of metadata files under the round's folder at the candidate's revision, and one such path."""
-    listed = files.where(F.col("path").endswith("/" + METADATA_FILE))
+def metadata_locations(files: DataFrame) -> DataFrame:
+    """Number of metadata files per revision and round folder, and one such path.
+
+    Taken from the listing alone and combined before the shuffle, so the candidates are not read a second time.
+    """
     return (
-        candidates.select(*ROUND, "pr_num", "revision")
-        .join(listed, ["repo_id", "revision"])
-        .where(F.col("path").startswith(round_prefix(F.col("round"))))
-        .groupBy("repo_id", "pr_num")
+        files.where(F.col("path").startswith(UPDATE_ROOT + "/") & F.col("path").endswith("/" + METADATA_FILE))
+        .groupBy("repo_id", "revision", round_folder(F.col("path")).alias("round_folder"))
         .agg(F.count("*").alias("metadata_files"), F.min("path").alias("metadata_path"))
     )
 
 
+def round_folder(path: Column) -> Column:
+    return F.regexp_extract(path, f"^({UPDATE_ROOT}/[^/]*/)", 1)
+
+
 def missing_keys(raw: Column) -> Column:
     """Required keys a JSON document lacks, sorted; a key whose value is null is present."""
     return F.array_sort(F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]), F.json_object_keys(raw)))
@@ -111,25 +117,26 @@ def metadata_reason(raw: Column, meta: Column, round_number: Column, base_revisi
     )
 
 
-def payload_problems(located: DataFrame, files: DataFrame) -> DataFrame:
-    """First bad delta path per submission: unsafe before missing, in the order the document lists them."""
+def payload_problems(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """First bad delta path per metadata document: unsafe before missing, in the order the document lists them."""
     listed = files.where(F.col("path").endswith(PAYLOAD_SUFFIX)).select(
         "repo_id", "revision", F.col("path").alias("delta_path"), F.lit(True).alias("listed")
     )
-    paths = located.select(
+    paths = documents.select(
         "repo_id",
-        "pr_num",
         "revision",
-        parent_dir(F.col("metadata_path")).alias("folder"),
-        F.posexplode("meta.delta_files").alias("place", "delta_path"),
+        F.col("path").alias("metadata_path"),
+        parent_dir(F.col("path")).alias("folder"),
+        F.posexplode(F.from_json("body", "delta_files ARRAY<STRING>")["delta_files"]).alias("place", "delta_path"),
+    )
+    problem = F.when(~is_safe_path(F.col("delta_path"), F.col("folder")), "unsafe_path").when(
+        F.col("listed").isNull(), "missing_file"
     )
-    safe = is_safe_path(F.col("delta_path"), F.col("folder"))
-    problem = F.when(~safe, "unsafe_path").when(F.col("listed").isNull(), "missing_file")
     return (
         paths.join(listed, ["repo_id", "revision", "delta_path"], "left")
         .withColumn("problem", problem)
         .where("problem IS NOT NULL")
-        .groupBy("repo_id", "pr_num")
+        .groupBy("repo_id", "revision", "metadata_path")
         .agg(F.min_by("problem", "place").alias("payload_problem"))
     )
 
@@ -148,8 +155,8 @@ def validate_submissions(
 ) -> DataFrame:
     """Candidates with their parsed metadata and ``reject_reason`` (NULL for a valid one).
 
-    ``submissions.round`` names the round a submission is held against. Documents are parsed only for candidates
-    with exactly one metadata file, and payload tables are not touched at all.
+    ``submissions.round`` names the round a submission is held against. Each table is read once for each fact taken
+    from it (the listing for metadata files and for payload files), and payload tables are not touched at all.
     """
     candidates = open_submissions(submissions)
     if allowed is None:
@@ -157,43 +164,44 @@ def validate_submissions(
     else:
         names = allowed.select("author", F.lit(True).alias("admitted")).distinct()
         candidates = candidates.join(names, "author", "left")
-    candidates = candidates.join(latest_revisions(events), ["repo_id", "pr_num"], "left")
-    located = candidates.join(metadata_locations(candidates, files), ["repo_id", "pr_num"], "left").withColumn(
-        "early_reason",
-        F.when(F.col("admitted").isNull(), "not_allowlisted")
-        .when(F.col("revision").isNull(), "no_commits")
-        .when(F.coalesce("metadata_files", F.lit(0)) != 1, "metadata_count"),
-    )
-    bodies = documents.select("repo_id", "revision", F.col("path").alias("metadata_path"), "body")
     base = rounds.select(*ROUND, "base_model_revision")
-    read = (
-        located.withColumn("metadata_path", F.when(F.col("early_reason").isNull(), F.col("metadata_path")))
-        .join(bodies, ["repo_id", "revision", "metadata_path"], "left")
+    bodies = documents.select("repo_id", "revision", F.col("path").alias("metadata_path"), "body")
+    located = (
+        candidates.join(latest_revisions(events), ["repo_id", "pr_num"], "left")
+        .withColumn("round_folder", round_prefix(F.col("round")))
+        .join(metadata_locations(files), ["repo_id", "revision", "round_folder"], "left")
+        .withColumn(
+            "early_reason",
+            F.when(F.col("admitted").isNull(), "not_allowlisted")
+            .when(F.col("revision").isNull(), "no_commits")
+            .when(F.coalesce("metadata_files", F.lit(0)) != 1, "metadata_count"),
+        )
+        .withColumn("metadata_path", F.when(F.col("early_reason").isNull(), F.col("metadata_path")))
+    )
+    document = ["repo_id", "revision", "metadata_path"]
+    judged = (
+        located.join(bodies, document, "left")
+        .join(payload_problems(documents, files), document, "left")
         .join(base, list(ROUND), "left")
         .withColumn("meta", F.from_json("body", METADATA_SCHEMA))
     )
     reason = F.coalesce(
         F.col("early_reason"),
         metadata_reason(F.col("body"), F.col("meta"), F.col("round"), F.col("base_model_revision")),
+        F.col("payload_problem"),
     )
-    judged = read.withColumn("document_reason", reason)
-    problems = payload_problems(judged.where("document_reason IS NULL"), files)
-    return (
-        judged.join(problems, ["repo_id", "pr_num"], "left")
-        .withColumn("reject_reason", F.coalesce("document_reason", "payload_problem"))
-        .select(
-            *ROUND,
-            "pr_num",
-            "created_at",
-            "author",
-            F.col("meta.worker_id").alias("worker_id"),
-            F.col("meta.update_id").alias("update_id"),
-            F.col("meta.num_tokens").alias("num_tokens"),
-            "revision",
-            "metadata_path",
-            "meta",
-            "reject_reason",
-        )
+    return judged.select(
+        *ROUND,
+        "pr_num",
+        "created_at",
+        "author",
+        F.col("meta.worker_id").alias("worker_id"),
+        F.col("meta.update_id").alias("update_id"),
+        F.col("meta.num_tokens").alias("num_tokens"),
+        "revision",
+        "metadata_path",
+        "meta",
+        reason.alias("reject_reason"),
     )
 
 
@@ -238,19 +246,23 @@ def accept_updates(valid: DataFrame, max_per_author: int = 1) -> DataFrame:
 
 def acceptance_rejects(valid: DataFrame, accepted: DataFrame) -> DataFrame:
     """Valid submissions that were not accepted, with the reason the sequential rule would give."""
-    rest = valid.join(accepted.select("repo_id", "pr_num"), ["repo_id", "pr_num"], "left_anti")
-    taken = accepted.select(*IDENTITY, F.lit(True).alias("taken"))
+    taken = accepted.select(*IDENTITY, F.col("pr_num").alias("taken_by"))
     return (
-        rest.join(taken, list(IDENTITY), "left")
-        .withColumn("reject_reason", F.when(F.col("taken"), "duplicate_identity").otherwise("author_limit"))
-        .drop("taken")
+        valid.join(taken, list(IDENTITY), "left")
+        .where("taken_by IS NULL OR taken_by <> pr_num")
+        .withColumn("reject_reason", F.when(F.col("taken_by").isNull(), "author_limit").otherwise("duplicate_identity"))
+        .drop("taken_by")
     )
 
 
 def discover(validated: DataFrame, max_per_author: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Accepted submissions, and all others with their reasons."""
+    """Accepted submissions, and all others with their reasons.
+
+    Both results and the join between them need the validated table, so it is written once to the shared folder.
+    """
+    validated = stage(validated, "validated")
     valid = validated.where("reject_reason IS NULL")
-    accepted = accept_updates(valid, max_per_author)
+    accepted = stage(accept_updates(valid, max_per_author), "accepted")
     rejected = validated.where("reject_reason IS NOT NULL").unionByName(acceptance_rejects(valid, accepted))
     return accepted, rejected
 
@@ -293,6 +305,7 @@ def submission_order(candidates: DataFrame) -> DataFrame:
 
 
 def select_quorum(accepted: DataFrame, rounds: DataFrame) -> DataFrame:
+    """The submissions to merge. ``accepted`` is read twice, to count and to choose: best a written table."""
     return take_max_updates(accepted, quorum(accepted, rounds))
 
 

@@ -89,13 +89,16 @@ def tokenize(
     unk_id: int = SPECIALS.index("<unk>"),
     vocab_size: int | None = None,
     attention_mask: bool = False,
+    clustered: bool = False,
 ) -> DataFrame:
     """One row per document with its token ids; all raw columns but ``keep`` are dropped.
 
-    ``keep`` must identify a document. Where ``docs`` is already partitioned by some of these columns, putting the
-    ids back together needs no further shuffle.
+    ``keep`` must identify a document. The text is partitioned by it before it is taken apart, so that putting the
+    ids back together needs no shuffle; pass ``clustered`` for a table already partitioned by some of these columns.
     """
     keep = list(keep)
+    if not clustered:
+        docs = docs.select(*keep, text_col).repartition(*keep)
     exploded = docs.select(*keep, F.posexplode_outer(pretokens(F.col(text_col))).alias("pos", "token"))
     coded = join_vocab(exploded, vocab, unk_id, vocab_size)
     pairs = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))))

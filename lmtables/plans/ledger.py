@@ -9,6 +9,7 @@ from lmtables.functions import identifiers as ids
 from lmtables.operators import submissions as S
 from lmtables.plans.registry import query
 from lmtables.plans.tables import Inputs, with_tables
+from lmtables.session import stage
 from lmtables.sources.documents import quarantine, scan_json_docs
 
 MAX_PER_AUTHOR = 2
@@ -135,14 +136,16 @@ def accepted(inputs: Inputs) -> DataFrame:
 
 
 def chosen(inputs: Inputs) -> DataFrame:
-    return S.select_quorum(accepted(inputs), inputs("rounds"))
+    return S.select_quorum(stage(accepted(inputs), "accepted"), inputs("rounds"))
 
 
 def located(inputs: Inputs) -> DataFrame:
     candidates = S.open_submissions(inputs("submissions")).join(
         S.latest_revisions(inputs("submission_events")), ["repo_id", "pr_num"]
     )
-    return candidates.join(S.metadata_locations(candidates, inputs("repo_files")), ["repo_id", "pr_num"])
+    return candidates.withColumn("round_folder", ids.round_prefix(F.col("round"))).join(
+        S.metadata_locations(inputs("repo_files")), ["repo_id", "revision", "round_folder"]
+    )
 
 
 @query(
@@ -514,7 +517,7 @@ NORMS_SQL = "SELECT repo_id, pr_num, value AS verified_norm FROM submissions"
     ),
 )
 def _summary(inputs: Inputs) -> DataFrame:
-    accepted_rows = accepted(inputs)
+    accepted_rows = stage(accepted(inputs), "accepted")
     norms = inputs("submissions").select("repo_id", "pr_num", F.col("value").alias("verified_norm"))
     summary = S.round_summary(
         accepted_rows, S.select_quorum(accepted_rows, inputs("rounds")), inputs("rounds"), norms
