@@ -40,9 +40,9 @@ def all_finite(values: Column) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    """Row softmax with the maximum taken off first; the divisions run in float as the model's do."""
-    peak = F.array_max(logits)
-    weights = F.transform(logits, lambda v: F.exp((v - peak).cast("double")))
+    """Row softmax with the maximum taken off first, as floats."""
+    peak = F.array_max(logits).cast("double")
+    weights = F.transform(logits, lambda v: F.exp(v.cast("double") - peak))
     total = F.aggregate(weights, F.lit(0.0), lambda acc, v: acc + v)
     return F.transform(weights, lambda v: (v / total).cast("float"))
 

@@ -20,17 +20,11 @@ def tensor_manifest(rows: DataFrame, *keys: str) -> DataFrame:
 def verify_updates(updates: DataFrame, deltas: DataFrame, base: DataFrame, *, strict: bool) -> DataFrame:
     """Verification of the named updates (update_id, base_model_revision); all other payload is left unread."""
     wanted = updates.select("update_id", F.col("base_model_revision").alias("revision"))
-    payload = deltas.join(wanted, "update_id")
+    payload = deltas.join(wanted.select("update_id"), "update_id", "left_semi")
     models = base.join(wanted.select("revision").distinct(), "revision", "left_semi")
-    # Start from the names of all wanted updates, so that one without any payload is reported too.
-    report = tensors.verify_deltas(
-        payload, tensor_manifest(payload, "update_id", "revision"), tensor_manifest(models, "revision"), strict=strict
+    return tensors.verify_deltas(
+        tensors.tensor_stats(payload), tensor_manifest(models, "revision"), wanted, strict=strict
     )
-    problem = F.coalesce("problem", F.when(F.col("tensor_count").isNull(), "keys"))
-    if strict:
-        failed = F.raise_error(F.concat(F.lit("Update has no payload: "), F.col("update_id"))).cast("string")
-        problem = F.when(F.col("tensor_count").isNull(), failed).otherwise(F.col("problem"))
-    return updates.select("update_id").join(report, "update_id", "left").withColumn("problem", problem)
 
 
 def merge_round(

@@ -342,10 +342,12 @@ HALF_SQL = ROUNDED_SQL.format(low=-14, bits=10)
     ),
 )
 def _verified(inputs: Inputs) -> DataFrame:
+    manifest_rows = delta_manifest(inputs)
+    payload = deltas(inputs, "bfloat16").join(manifest_rows.select("update_id", "name", "shape"), ["update_id", "name"])
     report = tensors.verify_deltas(
-        deltas(inputs, "bfloat16").select("update_id", "name", "chunk_id", "values"),
-        delta_manifest(inputs),
+        tensors.tensor_stats(payload),
         model_manifest(inputs),
+        manifest_rows.select("update_id", "revision").distinct(),
         strict=False,
     )
     return report.withColumn("verified_norm", F.round("verified_norm", 6))

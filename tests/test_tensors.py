@@ -151,24 +151,24 @@ def test_rounding_is_to_even():
     assert V.round_to_dtype(values, "bfloat16")[3:].tolist() == [np.inf, -np.inf]
 
 
-def manifest(rows, *keys):
-    return rows.groupBy(*keys, "name").agg(F.array(F.sum(F.size("values")).cast("bigint")).alias("shape"))
-
-
 def test_verification_reports_the_first_problem(spark):
     base, deltas = updates(spark, [0.1, 0.2, 0.3, 0.4])
+    shape = F.element_at(
+        F.create_map(*[x for n, s in TENSORS.items() for x in (F.lit(n), F.array(F.lit(math.prod(s)).cast("bigint")))]), F.col("name")
+    )
     deltas = deltas.drop("exact").where("NOT (update_id = 'u2' AND name = 'norm')")
-    deltas = deltas.where("NOT (update_id = 'u3' AND name = 'embed' AND chunk_id = 3)")
+    deltas = deltas.where("NOT (update_id = 'u3' AND name = 'embed' AND chunk_id = 3)").withColumn("shape", shape)
     spoiled = F.when(F.col("update_id") == "u4", F.transform("values", lambda _: F.lit(float("nan")).cast("float")))
     deltas = deltas.withColumn("values", F.coalesce(spoiled, F.col("values")))
-    delta_manifest = manifest(deltas, "update_id").withColumn("revision", F.lit("r"))
-    model_manifest = manifest(base).withColumn("revision", F.lit("r"))
-    report = tensors.verify_deltas(deltas, delta_manifest, model_manifest, strict=False)
-    found = {r.update_id: r for r in report.collect()}
-    assert {k: r.problem for k, r in found.items()} == {"u1": None, "u2": "keys", "u3": "shape", "u4": "non_finite"}
+    model_manifest = base.select("name", shape.alias("shape"), F.lit("r").alias("revision")).distinct()
+    wanted = spark.createDataFrame([(f"u{i}", "r") for i in range(1, 6)], "update_id STRING, revision STRING")
+    stats = tensors.tensor_stats(deltas)
+    found = {r.update_id: r for r in tensors.verify_deltas(stats, model_manifest, wanted, strict=False).collect()}
+    assert {k: r.problem for k, r in found.items()} == {"u1": None, "u2": "keys", "u3": "shape", "u4": "non_finite", "u5": "keys"}
     assert found["u1"].verified_norm == pytest.approx(0.1 * math.sqrt(21), rel=1e-6)
+    assert found["u5"].tensor_count == 0
     with pytest.raises(Exception, match="Delta verification failed"):
-        tensors.verify_deltas(deltas, delta_manifest, model_manifest, strict=True).collect()
+        tensors.verify_deltas(stats, model_manifest, wanted, strict=True).collect()
 
 
 def plain_shards(sizes, limit):
