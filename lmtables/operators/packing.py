@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lmtables.operators.prefix import BUCKET, bucket_of, running_total
+from lmtables.operators.prefix import running_total
 from lmtables.operators.tokens import pretokens, tokenize
 
 
@@ -123,7 +123,8 @@ def pack_blocks(
 
 def doc_lengths(docs: DataFrame, text_col: str = "text", order: str = "doc_id", split: str = "split") -> DataFrame:
     """Token count per document straight from the text, without a vocabulary."""
-    return docs.select(split, order, F.size(pretokens(F.col(text_col))).cast("bigint").alias("value"))
+    words = F.coalesce(F.size(pretokens(F.col(text_col))), F.lit(0))
+    return docs.select(split, order, F.greatest(words, F.lit(0)).cast("bigint").alias("value"))
 
 
 def pack_corpus(
@@ -135,24 +136,14 @@ def pack_corpus(
     order: str = "doc_id",
     split: str = "split",
     unk_id: int = 3,
-    vocab_size: int | None = None,
     order_bits: int = 63,
 ) -> DataFrame:
-    """Text to blocks in two payload shuffles.
+    """Text to blocks with two shuffles of ids and none of text.
 
-    The text is partitioned once by the buckets of the running total. Ids are put back together, offsets taken and
-    lists cut on that same partitioning; only the pieces are shuffled again, to the block they belong to.
+    Documents are coded where they are read; ids move once to the bucket of their running total, and their pieces once
+    to the block they belong to. The lengths that the totals need are counted without coding.
     """
-    clustered = docs.select(split, order, text_col, bucket_of(F.col(order)).alias(BUCKET)).repartition(split, BUCKET)
-    tokens = tokenize(
-        clustered,
-        vocab,
-        text_col,
-        keep=(split, BUCKET, order),
-        unk_id=unk_id,
-        vocab_size=vocab_size,
-        clustered=True,
-    )
+    tokens = tokenize(docs, vocab, text_col, keep=(split, order), unk_id=unk_id)
     return pack_blocks(
         tokens, block_size, order, split=split, lengths=doc_lengths(docs, text_col, order, split), order_bits=order_bits
     )

@@ -77,12 +77,9 @@ def running_total(
     """Adds ``out``, the running total of ``value`` inside each group, ordered by an integer key, then ``ties``.
 
     ``lengths`` (keys, order, ``value``) may be given where the values are cheaper to compute than ``df`` itself.
-    A ``df`` that is already partitioned by its keys and a column ``order_bucket`` is not shuffled again.
     """
     keys = list(keys)
-    valued = df.withColumn("value", value.cast("bigint"))
-    if BUCKET not in df.columns:
-        valued = valued.withColumn(BUCKET, bucket_of(F.col(order)))
+    valued = df.withColumn("value", value.cast("bigint")).withColumn(BUCKET, bucket_of(F.col(order)))
     if lengths is None:
         lengths = valued.select(*keys, order, "value")
     offsets = bucket_offsets(lengths, keys, order, "value", order_bits).withColumnRenamed("bucket", BUCKET)

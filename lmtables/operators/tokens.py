@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
+from lmtables.functions.lookup import id_lookup
 from lmtables.operators.prefix import top_rows
 
 # The special tokens, in id order.
 SPECIALS = ("<pad>", "<bos>", "<eos>", "<unk>")
 PRETOKEN_PATTERN = r"\S+"
-BROADCAST_VOCAB_LIMIT = 1_000_000
+# Largest vocabulary that is sent to every worker, some tens of MB.
+LOOKUP_LIMIT = 1_000_000
 
 
 def pretokens(text: Column) -> Column:
@@ -70,16 +72,25 @@ def special_ids(vocab: DataFrame, names: Mapping[str, str]) -> DataFrame:
     )
 
 
-def join_vocab(exploded: DataFrame, vocab: DataFrame, unk_id: int, vocab_size: int | None = None) -> DataFrame:
-    """Token rows with ids; unknown tokens get ``unk_id``. A vocabulary of bounded size is sent to all tasks."""
-    side = vocab.select("token", "token_id")
-    if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_LIMIT:
-        side = F.broadcast(side)
-    return exploded.join(side, "token", "left").withColumn(
+def join_vocab(exploded: DataFrame, vocab: DataFrame, unk_id: int) -> DataFrame:
+    """Token rows with ids; unknown tokens get ``unk_id``.
+
+    Without a hint: a small vocabulary is broadcast by adaptive execution, and with a large one the partitions of
+    frequent tokens are split by its skew handling.
+    """
+    return exploded.join(vocab.select("token", "token_id"), "token", "left").withColumn(
         "token_id", F.coalesce("token_id", F.lit(unk_id)).cast("int")
     )
 
 
+def small_vocab(vocab: DataFrame, limit: int = LOOKUP_LIMIT) -> tuple[pa.Array, pa.Array] | None:
+    """Tokens and ids on the driver, or None for a vocabulary of more than ``limit`` entries."""
+    table = vocab.select("token", F.col("token_id").cast("int").alias("token_id")).limit(limit + 1).toArrow()
+    if table.num_rows > limit:
+        return None
+    return tuple(table.column(name).combine_chunks() for name in ("token", "token_id"))
+
+
 def tokenize(
     docs: DataFrame,
     vocab: DataFrame,
@@ -87,24 +98,30 @@ def tokenize(
     keep: Sequence[str] = ("split", "doc_id"),
     *,
     unk_id: int = SPECIALS.index("<unk>"),
-    vocab_size: int | None = None,
+    lookup_limit: int = LOOKUP_LIMIT,
     attention_mask: bool = False,
-    clustered: bool = False,
 ) -> DataFrame:
     """One row per document with its token ids; all raw columns but ``keep`` are dropped.
 
-    ``keep`` must identify a document. The text is partitioned by it before it is taken apart, so that putting the
-    ids back together needs no shuffle; pass ``clustered`` for a table already partitioned by some of these columns.
+    The vocabulary is counted and read here, once. Up to ``lookup_limit`` entries it is sent to the workers, and each
+    document is coded where it was read: no shuffle, and no row per token. A larger one is joined.
     """
     keep = list(keep)
-    if not clustered:
-        docs = docs.select(*keep, text_col).repartition(*keep)
-    exploded = docs.select(*keep, F.posexplode_outer(pretokens(F.col(text_col))).alias("pos", "token"))
-    coded = join_vocab(exploded, vocab, unk_id, vocab_size)
-    pairs = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))))
-    tokens = coded.groupBy(*keep).agg(pairs.alias("pairs")).select(
-        *keep, F.transform("pairs", lambda p: p["token_id"]).alias("input_ids")
-    )
+    small = small_vocab(vocab, lookup_limit)
+    if small is None:
+        tokens = _tokenize_by_join(docs, vocab, text_col, keep, unk_id)
+    else:
+        encode = id_lookup(docs.sparkSession, *small, unk_id)
+        words = F.coalesce(pretokens(F.col(text_col)), F.array().cast("array<string>"))
+        tokens = docs.select(*keep, encode(words).alias("input_ids"))
     if attention_mask:
         tokens = tokens.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
     return tokens
+
+
+def _tokenize_by_join(docs: DataFrame, vocab: DataFrame, text_col: str, keep: list[str], unk_id: int) -> DataFrame:
+    """Token rows joined with the vocabulary and put together again; ``keep`` must identify a document."""
+    exploded = docs.select(*keep, F.posexplode_outer(pretokens(F.col(text_col))).alias("pos", "token"))
+    coded = join_vocab(exploded, vocab, unk_id)
+    pairs = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))))
+    return coded.groupBy(*keep).agg(pairs.alias("pairs")).select(*keep, F.col("pairs.token_id").alias("input_ids"))

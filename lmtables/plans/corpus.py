@@ -48,7 +48,7 @@ def vocab(inputs: Inputs) -> DataFrame:
 
 
 def blocks(inputs: Inputs) -> DataFrame:
-    return packing.pack_corpus(corpus(inputs), vocab(inputs), BLOCK_SIZE, vocab_size=VOCAB_SIZE)
+    return packing.pack_corpus(corpus(inputs), vocab(inputs), BLOCK_SIZE)
 
 
 def as_text(column: str):
@@ -109,7 +109,7 @@ def _special_ids(inputs: Inputs) -> DataFrame:
     ),
 )
 def _tokenize(inputs: Inputs) -> DataFrame:
-    coded = tokens.tokenize(corpus(inputs), vocab(inputs), vocab_size=VOCAB_SIZE)
+    coded = tokens.tokenize(corpus(inputs), vocab(inputs))
     return coded.select(
         "split", "doc_id", as_text("input_ids").alias("input_ids"), F.size("input_ids").cast("bigint").alias("n")
     )
@@ -126,7 +126,7 @@ def _tokenize(inputs: Inputs) -> DataFrame:
 def _token_vocab_join(inputs: Inputs) -> DataFrame:
     exploded = corpus(inputs).select("split", F.explode(tokens.pretokens(F.col("text"))).alias("token"))
     return (
-        tokens.join_vocab(exploded, vocab(inputs), 3, VOCAB_SIZE)
+        tokens.join_vocab(exploded, vocab(inputs), 3)
         .groupBy("split", "token_id")
         .agg(F.count("*").alias("occurrences"))
     )
@@ -201,7 +201,7 @@ SCOPE_SQL = (
     ),
 )
 def _pack_scope(inputs: Inputs) -> DataFrame:
-    coded = tokens.tokenize(corpus(inputs), vocab(inputs), vocab_size=VOCAB_SIZE)
+    coded = tokens.tokenize(corpus(inputs), vocab(inputs))
     packed = packing.pack_blocks(coded, BLOCK_SIZE, batch_rows=BATCH_ROWS, num_proc=NUM_PROC)
     return packed.select("split", "scope", "block_idx", as_text("input_ids").alias("input_ids"))
 

@@ -24,10 +24,12 @@ def build_session(app_name: str = "lmtables", **conf: object) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    """Shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
     fallback = tempfile.mkdtemp(prefix="lmtables-checkpoint-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback

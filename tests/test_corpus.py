@@ -77,13 +77,40 @@ def test_pack_corpus_equals_tokenize_then_pack(spark):
     assert 3 in {i for r in one for i in r.input_ids}
 
 
-def test_packing_shuffles_the_text_once(spark):
+def test_packing_moves_ids_twice_and_no_text(spark):
     docs = spark.createDataFrame([("train", 1, "a b")], "split STRING, doc_id BIGINT, text STRING")
     vocab = spark.createDataFrame([("a", 4)], "token STRING, token_id INT")
-    plan = packing.pack_corpus(docs, vocab, 2, vocab_size=10)._jdf.queryExecution().executedPlan().toString()
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "doc_id" in line.split("(")[1]]
-    assert not exchanges
-    assert "SinglePartition" not in plan
+    plan = packing.pack_corpus(docs, vocab, 2)._jdf.queryExecution().executedPlan()
+    shuffles = [line for line in plan.toString().splitlines() if "Exchange " in line]
+    assert not any("SinglePartition" in line for line in shuffles)
+    assert packing.pack_corpus(docs, vocab, 2).count() == 1
+    wide = exchanged_columns(plan)
+    assert not any("text" in columns for columns in wide)
+    assert sum("input_ids" in columns or "pieces" in columns or "buf" in columns for columns in wide) == 2
+
+
+def exchanged_columns(plan) -> list[set[str]]:
+    """Column names that each shuffle of a plan moves."""
+    found, kids = [], plan.children()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return exchanged_columns(plan.initialPlan())
+    if plan.nodeName() == "Exchange":
+        output = plan.output()
+        found.append({output.apply(i).name() for i in range(output.size())})
+    for i in range(kids.size()):
+        found += exchanged_columns(kids.apply(i))
+    return found
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_lookup_and_join_give_the_same_ids(spark, limit):
+    docs = spark.createDataFrame(
+        [("train", 1, "a b  c a"), ("train", 2, ""), ("train", 3, None), ("validation", 4, "zz <unk>\tb")],
+        "split STRING, doc_id BIGINT, text STRING",
+    ).repartition(3)
+    vocab = spark.createDataFrame([("<unk>", 3), ("a", 4), ("b", 5)], "token STRING, token_id INT")
+    coded = tokens.tokenize(docs, vocab, lookup_limit=limit).orderBy("doc_id").collect()
+    assert [r.input_ids for r in coded] == [[4, 5, 3, 4], [], [], [3, 3, 5]]
 
 
 def test_empty_and_null_texts_stay(spark):
