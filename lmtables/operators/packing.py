@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lmtables.functions.numbers import whole_div
 from lmtables.operators.prefix import running_total
 from lmtables.operators.tokens import pretokens, tokenize
 
@@ -36,23 +37,23 @@ def batch_scope(
     """
     indexed = running_total(rows, [split], order, F.lit(1), "row_index", order_bits=order_bits)
     if num_proc == 1:
-        return indexed.withColumn("scope", F.floor(F.col("row_index") / batch_rows).cast("bigint")).drop("row_index")
+        return indexed.withColumn("scope", whole_div(F.col("row_index"), batch_rows)).drop("row_index")
     # One row per split name, so a broadcast cannot grow with the data.
     totals = F.broadcast(rows.groupBy(split).agg(F.count("*").alias("split_rows")))
-    share = F.floor(F.col("split_rows") / num_proc)
+    share = whole_div(F.col("split_rows"), num_proc)
     rest = F.col("split_rows") % num_proc
     long_part = rest * (share + 1)
-    shard = F.when(F.col("row_index") < long_part, F.floor(F.col("row_index") / (share + 1))).otherwise(
-        rest + F.floor((F.col("row_index") - long_part) / F.greatest(share, F.lit(1)))
+    shard = F.when(F.col("row_index") < long_part, whole_div(F.col("row_index"), share + 1)).otherwise(
+        rest + whole_div(F.col("row_index") - long_part, F.greatest(share, F.lit(1)))
     )
     first = F.col("shard") * share + F.least(F.col("shard"), rest)
-    calls_per_shard = F.floor((share + batch_rows) / batch_rows)
+    calls_per_shard = whole_div(share + batch_rows, batch_rows)
     return (
         indexed.join(totals, split)
         .withColumn("shard", shard)
         .withColumn(
             "scope",
-            (F.col("shard") * calls_per_shard + F.floor((F.col("row_index") - first) / batch_rows)).cast("bigint"),
+            F.col("shard") * calls_per_shard + whole_div(F.col("row_index") - first, batch_rows),
         )
         .drop("shard", "split_rows", "row_index")
     )
@@ -61,7 +62,7 @@ def batch_scope(
 def cut_pieces(placed: DataFrame, block_size: int, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per (document, block) overlap with the slice of each list that falls into the block."""
     spans = F.sequence(
-        F.floor(F.col("start") / block_size), F.floor((F.col("start") + F.col("n") - 1) / block_size)
+        whole_div(F.col("start"), block_size), whole_div(F.col("start") + F.col("n") - 1, block_size)
     )
     low = F.greatest(F.col("block_idx") * block_size - F.col("start"), F.lit(0)).cast("int")
     high = F.least((F.col("block_idx") + 1) * block_size - F.col("start"), F.col("n")).cast("int")
@@ -155,7 +156,7 @@ def pack_stats(
     """Blocks, kept and dropped tokens per split from list lengths alone; no payload moves."""
     keys = [split] if scope is None else [split, scope]
     per_scope = lengths.groupBy(*keys).agg(F.sum(value).alias("tokens"))
-    full = F.floor(F.col("tokens") / block_size)
+    full = whole_div(F.col("tokens"), block_size)
     return per_scope.groupBy(split).agg(
         F.sum(full).alias("blocks"),
         F.sum("tokens").alias("tokens"),

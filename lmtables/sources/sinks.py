@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lmtables.functions.numbers import whole_div
 from lmtables.operators.shards import shard_plan, with_shard_names
 
 
@@ -28,7 +29,7 @@ def sink_tensor_shards(
     placed = tensors.join(plan.select(owner, "name", "shard"), [owner, "name"])
     for key, value in (metadata or {}).items():
         placed = placed.withColumn(key, F.lit(value))
-    part = F.floor(F.col("chunk_id") / chunks_per_file)
+    part = whole_div(F.col("chunk_id"), chunks_per_file)
     (
         placed.withColumn("part", part)
         .repartition(owner, "shard", "part")

@@ -188,3 +188,13 @@ def test_scan_formats(spark, tmp_path):
         scan_corpus(spark, {"validation": str(tmp_path / "p")})
     with pytest.raises(ValueError):
         scan_corpus(spark, "x", fmt="orcish")
+
+
+def test_cutting_stays_exact_for_large_offsets(spark):
+    start = 2**55 + 4
+    df = spark.createDataFrame([("train", start, 3, [7, 8, 9])], "split STRING, start BIGINT, n BIGINT, input_ids ARRAY<INT>")
+    rows = packing.cut_pieces(df, 5, ["split"], ["input_ids"]).orderBy("block_idx").collect()
+    assert [(r.block_idx, r.input_ids) for r in rows] == [
+        ((start + i) // 5, [7 + j for j in range(3) if (start + j) // 5 == (start + i) // 5])
+        for i in sorted({min(j for j in range(3) if (start + j) // 5 == b) for b in {(start + j) // 5 for j in range(3)}})
+    ]
