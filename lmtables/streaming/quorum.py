@@ -25,9 +25,14 @@ OUTPUT_SCHEMA = (
 
 
 def keep_earliest(rows: pd.DataFrame, max_per_author: int) -> pd.DataFrame:
-    """First row per identity, then the first identities per author. Applying it to parts first changes nothing."""
+    """First row per identity, first identities per author, then the first ``max_updates`` of the round, by time.
+
+    Applying it to parts first changes nothing: whatever a part cuts off has enough accepted rows before it, and a row
+    that is displaced later gives way to an earlier one.
+    """
     ordered = rows.sort_values(TIME, kind="stable").drop_duplicates(IDENTITY)
-    return ordered.groupby([*KEY, "author"], sort=False, dropna=False).head(max_per_author)
+    accepted = ordered.groupby([*KEY, "author"], sort=False, dropna=False).head(max_per_author)
+    return accepted[accepted.groupby(KEY, sort=False).cumcount() < accepted["max_updates"]]
 
 
 class QuorumProcessor(StatefulProcessor):
@@ -44,20 +49,19 @@ class QuorumProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         if self.emitted.exists():
             return
-        held = self._held(key)
-        limits = None
+        held, minimum = self._held(key), None
         for batch in rows:
-            limits = batch[["min_updates", "max_updates"]].iloc[-1]
+            minimum = batch["min_updates"].iloc[-1]
+            held["max_updates"] = batch["max_updates"].iloc[-1]
             held = self._merged(held, batch)
-        accepted = keep_earliest(held, self.max_per_author)
-        if limits is not None and len(accepted) >= limits["min_updates"]:
-            chosen = accepted.sort_values(TIME, kind="stable").head(int(limits["max_updates"]))
+        chosen = keep_earliest(held, self.max_per_author)
+        if minimum is not None and len(chosen) >= minimum:
             self.emitted.update((True,))
             self.candidates.clear()
             columns = [*KEY, "pr_num", "created_at", *CARRIED]
             yield chosen[columns].assign(merge_rank=pd.Series(range(1, len(chosen) + 1), index=chosen.index, dtype="int32"))
         else:
-            self._store(held if self.withdrawals else accepted)
+            self._store(held if self.withdrawals else chosen)
 
     def _merged(self, held: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         if self.withdrawals:
@@ -81,9 +85,9 @@ class QuorumProcessor(StatefulProcessor):
 
 
 def combine_locally(stream: DataFrame, max_per_author: int) -> DataFrame:
-    """Cuts each task's rows to what can still be accepted, before the shuffle on the round.
+    """Cuts each task's rows to what can still be chosen, before the shuffle on the round.
 
-    A round with most of the input then sends a few rows per author and task, and the result is the same.
+    A round with most of the input then sends at most ``max_updates`` rows per task, and the result is the same.
     """
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -80,16 +80,17 @@ def test_one_batch_equals_the_batch_operators(spark, tmp_path):
     assert drain(spark, tmp_path, 3, 5, 2) == expected
 
 
-@pytest.mark.parametrize("seed", range(20))
+@pytest.mark.parametrize("seed", range(40))
 def test_trimming_parts_first_changes_nothing(seed):
     rng = random.Random(seed)
     rows = pd.DataFrame(
-        [("r", 0, rng.choice("abc"), rng.choice("uvwxyz"), rng.randrange(30), n) for n in range(60)],
+        [("r", number % 2, rng.choice("abc"), rng.choice("uvwxyz"), rng.randrange(30), number) for number in range(90)],
         columns=[*IDENTITY, "created_at", "pr_num"],
-    )
+    ).assign(max_updates=rng.choice([1, 2, 4, 100]))
+    rows = rows.sample(frac=1, random_state=seed)
     whole = keep_earliest(rows, 2)
     kept = None
-    for begin in range(0, 60, 7):
+    for begin in range(0, len(rows), 7):
         part = rows.iloc[begin : begin + 7]
         kept = keep_earliest(part if kept is None else pd.concat([kept, part]), 2)
     assert set(kept["pr_num"]) == set(whole["pr_num"])
