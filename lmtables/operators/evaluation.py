@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lmtables.functions.vectors import log_sum_exp
-from lmtables.operators.prefix import running_total
+from lmtables.operators.prefix import running_total, top_rows
 
 # The label that is left out of the loss, and the weight of the routing loss.
 IGNORE_LABEL = -100
@@ -66,9 +66,9 @@ def position_ids(
     ).drop("mask_count")
     if last is None:
         return placed
-    newest = masks.groupBy(sequence).agg(F.count("*").alias("length"))
-    ranked = running_total(placed, [sequence], order, F.lit(1), "place", order_bits=order_bits)
-    return ranked.join(newest, sequence).where(F.col("place") >= F.col("length") - last).drop("place", "length")
+    return top_rows(placed, [sequence], [F.col(order).desc()], last, rank="place_from_end", salt_by=order).drop(
+        "place_from_end"
+    )
 
 
 def parameter_inventory(manifest: DataFrame) -> DataFrame:

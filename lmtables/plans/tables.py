@@ -204,7 +204,8 @@ TABLES: dict[str, Derived] = {
         "embeddings",
         (
             {
-                "revision": "'rev-0'",
+                # The model is named by the width of its vectors.
+                "revision": ("'rev-' || CAST(size(embedding) AS STRING)", "'rev-' || CAST(len(embedding) AS STRING)"),
                 "name": "'block.' || CAST(label AS STRING) || '.weight'",
                 "chunk_id": "CAST(vec_id AS INT)",
                 "label": "CAST(label AS INT)",
@@ -279,6 +280,7 @@ TABLES: dict[str, Derived] = {
             {"vec_id": "vec_id", "label": "label", "embedding": "embedding", "w": each("1", "2", "3", "4")},
             {
                 "update_id": "'update-' || CAST(w AS STRING)",
+                "revision": ("'rev-' || CAST(size(embedding) AS STRING)", "'rev-' || CAST(len(embedding) AS STRING)"),
                 "w": "CAST(w AS INT)",
                 "name": "'block.' || CAST(label AS STRING) || '.weight'",
                 "chunk_id": "CAST(vec_id AS INT)",

@@ -75,7 +75,7 @@ def model_manifest(inputs: Inputs) -> DataFrame:
 
 
 def delta_manifest(inputs: Inputs) -> DataFrame:
-    return manifest(inputs("local"), "update_id").withColumn("revision", F.lit("rev-0"))
+    return manifest(inputs("local"), "update_id", "revision")
 
 
 def update_rows(inputs: Inputs) -> DataFrame:
@@ -301,7 +301,7 @@ def _key_diff(inputs: Inputs) -> DataFrame:
 )
 def _shapes(inputs: Inputs) -> DataFrame:
     local = inputs("local").where("NOT (w = 2 AND label = 6 AND chunk_id % 2 = 0)")
-    have = manifest(local, "update_id").withColumn("revision", F.lit("rev-0"))
+    have = manifest(local, "update_id", "revision")
     bad = tensors.shape_mismatches(have, model_manifest(inputs), tensors.stored_sizes(local, ["update_id"]))
     return bad.select(
         "update_id",

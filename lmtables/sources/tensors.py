@@ -18,16 +18,21 @@ TOKENIZER_FILE = "tokenizer_config.json"
 WEIGHT_FILES = ("model.safetensors", "model.safetensors.index.json")
 
 
+def index_entries(index: DataFrame) -> DataFrame:
+    """(name, shard) rows of an index, a ``weight_map`` of name to file."""
+    return index.select(F.explode("weight_map").alias("name", "shard"))
+
+
 def distinct_shards(index: DataFrame) -> DataFrame:
-    """Sorted shard files that an index (a ``weight_map`` of name to file) points to."""
-    return index.select(F.explode("weight_map").alias("name", "shard")).select("shard").distinct().orderBy("shard")
+    """Sorted shard files that an index points to."""
+    return index_entries(index).select("shard").distinct().orderBy("shard")
 
 
 def scan_tensor_shards(tensors: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Tensors of the shards an index names; of all shards where there is no index."""
     if index is None:
         return tensors
-    return tensors.join(distinct_shards(index), "shard", "left_semi")
+    return tensors.join(index_entries(index).select("shard"), "shard", "left_semi")
 
 
 def require_shards(tensors: DataFrame) -> DataFrame:
