@@ -433,7 +433,8 @@ def _state(inputs: Inputs) -> DataFrame:
 )
 def _already(inputs: Inputs) -> DataFrame:
     updates = inputs("updates")
-    ledger = S.advance_ledger(_ledger_rows(updates.where("status = 'merged'")), _ledger_rows(updates.limit(0)))
+    merged = _ledger_rows(updates.where("status = 'merged'"))
+    ledger = S.advance_ledger(merged.where("last_submitted_round < 10"), merged.where("last_submitted_round >= 10"))
     return S.not_yet_submitted(updates.select("repo_id", "pr_num", "worker_id", "round"), ledger).select(
         "repo_id", "pr_num", "worker_id", "round"
     )

@@ -155,7 +155,7 @@ def merged_store(inputs: Inputs) -> TableStore:
     models = inputs("base").join(shapes, "name").withColumn("repo_id", F.lit(REPO))
     store.replace_partitions("models", models)
     store.replace_partitions("deltas", deltas.join(shapes, "name"))
-    request = models.limit(1).selectExpr("repo_id", "revision AS base_model_revision", POLICY)
+    request = models.selectExpr("repo_id", "revision AS base_model_revision", POLICY).distinct()
     store.append("rounds", R.init_rounds(request, store.read("rounds"), MERGE_TIME))
     accepted = (
         inputs("local")

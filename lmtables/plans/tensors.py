@@ -141,8 +141,8 @@ def _duplicates(inputs: Inputs) -> DataFrame:
 )
 def _lookup(inputs: Inputs) -> DataFrame:
     base = inputs("base")
-    wanted = base.select("name").where("name IN ('block.2.weight', 'block.5.weight')").unionByName(
-        base.limit(1).select(F.lit("block.99.weight").alias("name"))
+    wanted = base.selectExpr("explode(array(name, 'block.99.weight')) AS name").where(
+        "name IN ('block.2.weight', 'block.5.weight', 'block.99.weight')"
     )
     found = source.lookup_tensors(base, ["block.2.weight", "block.5.weight", "block.99.weight"]).select(
         "name", "chunk_id", V.fixed_point(F.col("values")).alias("content"), F.lit(True).alias("found")

@@ -55,6 +55,8 @@ def lock_ready_rounds(store: TableStore, accepted: DataFrame | None, now: Column
     usable = stage(fresh.join(known_bad, [*ROUND, "update_id"], "left_anti"), "usable")
     while True:
         chosen = stage(select_quorum(usable, states), "chosen")
+        if chosen.isEmpty():
+            return
         report = verify_updates(chosen, store.read("deltas"), store.read("models"), strict=strict)
         bad = stage(report.where("problem IS NOT NULL").join(chosen.select(*ROUND, "update_id"), "update_id"), "bad")
         if bad.isEmpty():
@@ -139,3 +141,17 @@ def active_momentum(store: TableStore) -> DataFrame:
         "completed_round IS NOT NULL"
     )
     return store.read("momentum").join(last, ["repo_id", "completed_round"], "left_semi")
+
+
+def publishing_sink(store: TableStore, now: Callable[[], str], **options: object) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that merges the rounds a quorum stream hands on.
+
+    A repeated batch finds its rounds already moved on and changes nothing; one that was cut off is finished from the
+    tables, as in :func:`coordinator_step`.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        chosen = stage(batch.drop("merge_rank"), f"chosen-{batch_id}")
+        coordinator_step(store, chosen, now(), **options)
+
+    return sink

@@ -122,3 +122,28 @@ def test_intake_replaces_a_repeated_batch(spark, tmp_path):
         sink(batch, 0)
     assert [r.pr_num for r in spark.read.parquet(str(tmp_path / "valid")).collect()] == [1]
     assert [(r.pr_num, r.reject_reason) for r in spark.read.parquet(str(tmp_path / "rejected")).collect()] == [(2, "round")]
+
+
+def test_stream_to_merged_model(spark, tmp_path):
+    import numpy as np
+
+    from lmtables.streaming.publish import publishing_sink
+    from tests.test_publish import NOW, expected_values, new_store, state, submit, values
+
+    use_rocksdb(spark)
+    store = new_store(spark, tmp_path / "store")
+    submit(spark, store, 0, (0.1, 0.3), repos=("a",)).write.parquet(
+        str(tmp_path / "in")
+    )
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(str(tmp_path / "in")).schema)
+    for attempt in range(2):
+        stream = submission_stream(spark, str(tmp_path / "in"), schema)
+        writer = (
+            quorum_stream(stream, store.read("rounds"))
+            .writeStream.foreachBatch(publishing_sink(store, lambda: NOW))
+            .option("checkpointLocation", str(tmp_path / f"log{attempt}"))
+        )
+        start(writer, once=True).awaitTermination()
+        assert np.allclose(values(store, "a"), expected_values([(0.1, 0.3)]), atol=1e-5)
+    assert state(store)["a"]["round"] == 1 and state(store)["b"]["round"] == 0
+    assert store.read("markers").count() == 1
