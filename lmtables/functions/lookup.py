@@ -21,7 +21,10 @@ def id_lookup(spark: SparkSession, words: pa.Array, ids: pa.Array, unk_id: int)
 
     def encode(batch: pa.Array) -> pa.Array:
         known, by_place = shared.value
-        places = pc.fill_null(pc.index_in(batch.flatten(), value_set=known), len(known)).to_numpy()
+        flat = batch.flatten()
+        if known.type != flat.type:
+            known = known.cast(flat.type)
+        places = pc.fill_null(pc.index_in(flat, value_set=known), len(known)).to_numpy()
         offsets = batch.offsets.to_numpy()
         return pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(by_place[places]))
 

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lmtables.sources.corpus import spread_small
+
 Expression = str | tuple[str, str]
 
 
@@ -334,7 +336,7 @@ TABLES: dict[str, Derived] = {
     ),
 }
 
-ROUND_POLICY = {"outer_lr": 0.7, "outer_momentum": 0.9, "local_steps": 500, "update_dtype": "bfloat16"}
+KEYS = {"documents": "doc_id", "events": "event_id", "embeddings": "vec_id", "conversations": "conv_id"}
 
 
 class Inputs:
@@ -350,7 +352,10 @@ class Inputs:
     def __call__(self, name: str) -> DataFrame:
         if name == "rounds":
             return self._rounds()
-        return TABLES[name].spark(self.given)
+        return TABLES[name].spark(self._spread)
+
+    def _spread(self, name: str) -> DataFrame:
+        return spread_small(self.given(name), KEYS[name])
 
     def _rounds(self) -> DataFrame:
         policy = (
