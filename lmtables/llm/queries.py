@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmtables.llm import quotient_dedup, url_aliases
+from lmtables.llm import prefix_counts, quotient_dedup, source_schedule, url_aliases, vector_packing, zstd_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -20,9 +23,21 @@ URL_RULES = (
 )
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Adds the folder of this package to the Python path of workers, where it is not installed or sent by the job."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def register(name: str, sql: str | None = None) -> Callable:
     def keep(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            let_workers_import(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return build
@@ -54,3 +69,25 @@ def op1_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_quotient_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op4_zstd_quality")
+def op4_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return zstd_quality.score(docs, zstd_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op6_source_schedule")
+def op6_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = source_schedule.mix(table(spark, sf_dir, "documents")).taken()
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@register("op7_prefix_counts")
+def op7_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op9_vector_packing")
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
