@@ -10,7 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmtables.llm import prefix_counts, quotient_dedup, source_schedule, url_aliases, vector_packing, zstd_quality
+from lmtables.llm import (
+    prefix_counts,
+    quotient_dedup,
+    source_schedule,
+    url_aliases,
+    vector_packing,
+    wrapper,
+    zstd_quality,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,3 +99,8 @@ def op7_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_vector_packing")
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op8_wrapper")
+def op8_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract_text(table(spark, sf_dir, "pages"))
