@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmtables.llm import (
+    heavy_light,
     prefix_counts,
     quotient_dedup,
     source_schedule,
@@ -104,3 +105,8 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_wrapper")
 def op8_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract_text(table(spark, sf_dir, "pages"))
+
+
+@register("op10_heavy_light")
+def op10_heavy_light(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heavy_light.jaccard_components(table(spark, sf_dir, "documents"))
