@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lmtables.llm.prefix_counts import byte_letters
 from lmtables.session import stage
 
 GROUP_ROWS = 8192
@@ -23,37 +27,80 @@ LONGEST_CACHED = 48
 FULL = 1 << 62
 
 
-class WordEncoder:
-    """Ids of whole texts for vocabularies that never join across ASCII white space: each distinct word is encoded once."""
+# Fixed value: the pre-token pattern of this kind of vocabulary, for text in lower case.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+# Latin text needs no look at single characters.
+BEYOND = re.compile("[^\x00-\u024f]")
+
+
+class PieceEncoder:
+    """Ids of whole texts for word-end BPE vocabularies in ``tokenizers`` format, each distinct word and piece encoded once.
+
+    Words are normalized (NFC, lower case) and split as the vocabulary file says; the merges are the library's. Words
+    with characters that are not assigned in Python's tables, which the library may class otherwise, go to the library
+    whole.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def encode(self, texts: Sequence[str]) -> Iterator[array]:
-        for text in texts:
-            words = text.encode().split()  # bytes split on ASCII white space only
-            known = self.known
-            missing = list({w for w in words if w not in known})
-            extra = {}
-            if missing:
-                if len(known) > CACHED:
-                    known.clear()
-                    missing = list(set(words))
-                found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-                for word, encoding in zip(missing, found):
-                    (known if len(word) <= LONGEST_CACHED else extra)[word] = tuple(encoding.ids)
-            if extra:
-                known = known | extra
-            yield array("I", chain.from_iterable(map(known.__getitem__, words)))
+        self.merge = self.tokenizer.model.tokenize
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {token.content: i for i, token in added.items()}
+        self.splits = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.words: dict[bytes, tuple[int, ...]] = {}
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        plain = piece.isascii() and piece.isprintable()  # such bytes stand for themselves
+        letters = piece if plain else "".join(map(self.letters.__getitem__, piece.encode()))
+        found = tuple([t.id for t in self.merge(letters)])
+        if len(piece) <= LONGEST_CACHED:
+            if len(self.pieces) > CACHED:
+                self.pieces.clear()
+            self.pieces[piece] = found
+        return found
+
+    def _plain(self, word: str) -> tuple[int, ...]:
+        if not word.isascii():
+            word = unicodedata.normalize("NFC", word)
+        # A capital sigma has one lower case here, whatever stands around it.
+        word = word.lower() if "\u03a3" not in word else "".join(map(str.lower, word))
+        found: list[int] = []
+        for piece in PIECE.findall(word):
+            found += self.pieces.get(piece) or self._piece(piece)
+        return tuple(found)
+
+    def _word(self, data: bytes) -> tuple[int, ...]:
+        word = data.decode()
+        if not data.isascii() and BEYOND.search(word) and any(unicodedata.category(c) == "Cn" for c in word):
+            found = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        elif "<|" not in word:
+            found = self._plain(word)
+        else:
+            parts = ((self.special[p],) if p in self.special else self._plain(p) for p in self.splits.split(word))
+            found = tuple(chain.from_iterable(parts))
+        if len(data) <= LONGEST_CACHED:
+            if len(self.words) > CACHED:
+                self.words.clear()
+            self.words[data] = found
+        return found
+
+    def encode(self, text: str) -> array:
+        """Ids of the words between ASCII white space, which no rule of such a vocabulary looks across."""
+        known, ids = self.words.get, array("I")
+        for word in text.encode().split():
+            found = known(word)
+            ids.extend(self._word(word) if found is None else found)
+        return ids
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
 
 
 def token_pieces(
@@ -68,7 +115,8 @@ def token_pieces(
         encode = encoder(path).encode
         for batch in batches:
             source, start, length, crc, total, held = [], [], [], [], [], []
-            for row, ids in enumerate(encode([t or "" for t in batch.column(1).to_pylist()])):
+            for row, text_ in enumerate(batch.column(1).to_pylist()):
+                ids = encode(text_ or "")
                 ids.append(end_id)
                 values = np.frombuffer(ids, np.uint32).astype("<u4", copy=False)
                 for begin in range(0, len(values), capacity):
