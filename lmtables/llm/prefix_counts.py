@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
@@ -58,6 +59,7 @@ class PrefixCounter:
         for token, i in self.vocab.items():
             self.ending.add_word(token.decode("latin-1"), (len(token), i))
         self.ending.make_automaton()
+        self.library = None
         self.fits: dict[int, bool] = {}
         self.words: dict[str, list[int]] = {}
         self.chunks: dict[str, int] = {}
@@ -111,13 +113,23 @@ class PrefixCounter:
     def chunk_count(self, chunk: str) -> int:
         known = self.chunks.get(chunk)
         if known is None:
-            known = sum(self.word_counts(word)[-1] for word in WORD.findall(chunk))
+            known = sum(self.word_counts(word)[-1] for word in self.split(chunk))
             if len(chunk) <= LONGEST_CACHED:
                 if len(self.chunks) > CACHED:
                     self.chunks.clear()
                 self.chunks[chunk] = known
         return known
 
+    def split(self, chunk: str) -> list[str]:
+        """Pre-tokens; characters that are not assigned in Python's tables are classed by the library itself."""
+        if chunk.isascii() or not any(unicodedata.category(c) == "Cn" for c in chunk):
+            return WORD.findall(chunk)
+        if self.library is None:
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            self.library = ByteLevel(add_prefix_space=False)
+        return [chunk[start:end] for _, (start, end) in self.library.pre_tokenize_str(chunk)]
+
     def parts(self, text: str) -> Iterator[tuple[bool, str]]:
         """The text between special strings, and these strings."""
         if self.special is None or not self.special.search(text):
