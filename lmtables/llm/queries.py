@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmtables.llm import (
+    graph_ann,
     heavy_light,
     prefix_counts,
     quotient_dedup,
@@ -110,3 +111,8 @@ def op8_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_heavy_light")
 def op10_heavy_light(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heavy_light.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op2_graph_ann")
+def op2_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
