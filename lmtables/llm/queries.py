@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmtables.llm import (
+    chat_tree,
     graph_ann,
     heavy_light,
     prefix_counts,
@@ -116,3 +117,12 @@ def op10_heavy_light(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_graph_ann")
 def op2_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op5_chat_tree")
+def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select(*added.columns).unionByName(added)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return chat_tree.read_back(chat_tree.chat_forest(conversations, path), path)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lmtables.llm.totals import before
 from lmtables.session import stage
 
 # The fractional part of the golden ratio as a whole number of 2**-PHASE_BITS; a slot number has at most 40 bits.
@@ -65,20 +66,6 @@ def golden_point(slot: Column) -> Column:
     return (high + low) % whole
 
 
-def before(df: DataFrame, group: str, bucket: str, order: Sequence[str], value: str) -> DataFrame:
-    """Adds ``before``: the sum of ``value`` over earlier rows of the group, by bucket and then by ``order``.
-
-    Totals per bucket are added up first, so a window holds the buckets of a group or the rows of one bucket.
-    """
-    earlier = W.partitionBy(group).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    inside = W.partitionBy(group, bucket).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    totals = df.groupBy(group, bucket).agg(F.sum(value).alias("_total"))
-    offsets = totals.select(group, bucket, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
-    inner = df.withColumn("_inner", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    placed = inner.join(offsets, [group, bucket])
-    return placed.withColumn("before", F.col("_offset") + F.col("_inner")).drop("_offset", "_inner")
-
-
 def schedule(spark: SparkSession, sources: DataFrame, most: float) -> DataFrame:
     """The slots of the mix in order: ``slot``, ``place`` (of the source), ``block``, ``epoch``.
 
