@@ -123,6 +123,7 @@ def mix(
     block_words: int = 1024,
     least_blocks: int = 1024,
     seed: str = "mix",
+    row: str | None = None,
 ) -> Mix:
     """Plans a mix of ``share`` times all words with the sources near their targets (see ``source_targets``).
 
@@ -130,7 +131,7 @@ def mix(
     ``least_blocks`` gets smaller ones. ``schedule`` gives each slot a block. Running totals are taken inside hash
     buckets and over bucket totals, never over a source. Documents without words lie in no block. Null sources are one
     source; repeated rows are rows of their own; other columns are not read. The order depends on keys and texts only,
-    so reruns agree.
+    so reruns agree. ``row`` names a column that numbers the rows, where the caller wants to join the result to them.
     """
     mark = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit("")))))
     held = stage(
@@ -139,7 +140,7 @@ def mix(
             F.col(source).alias("source"),
             word_count(F.col(text)).alias("size"),
             mark.alias("mark"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         ),
         "sizes",
     )

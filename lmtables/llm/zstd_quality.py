@@ -188,3 +188,17 @@ def score(docs: DataFrame, model: QualityModel, *, key: str = "doc_id", text: st
         "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
     )
+
+
+def accept(docs: DataFrame, model: QualityModel, *, text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose whole text scores ``threshold`` or more."""
+
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        measure = _differences(model)
+        for batch in batches:
+            values = model.probability(measure(batch.column(place).to_pylist()))
+            yield batch.filter(pa.array(values >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
