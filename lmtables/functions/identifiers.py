@@ -45,7 +45,8 @@ def parent_dir(path: Column) -> Column:
 
 
 def identity(author: Column, worker_id: Column) -> Column:
-    return F.concat_ws("/", author, worker_id)
+    """Author and worker; a null one leaves its place empty, so that two identities never become one."""
+    return F.concat(F.coalesce(author, F.lit("")), F.lit("/"), F.coalesce(worker_id, F.lit("")))
 
 
 def update_id(repo_id: Column, round_number: Column, worker_id: Column, attempt: Column | int = 0) -> Column:

@@ -64,7 +64,7 @@ def round_to_dtype(values: np.ndarray, dtype: str) -> np.ndarray:
         bits = values.view(np.uint32)
         rounded = ((bits.astype(np.uint64) + 0x7FFF + ((bits >> 16) & 1)) & 0xFFFF0000).astype(np.uint32)
         return np.where(np.isnan(values), np.float32(np.nan), rounded.view(np.float32))
-    raise ValueError(f"Unsupported dtype {dtype!r}; choose from {', '.join(DTYPE_BYTES)}.")
+    raise ValueError(f"No rounding to {dtype!r} is known, only to {', '.join(DTYPE_BYTES)}.")
 
 
 def cast_dtype(values: Column, dtype: str) -> Column:

@@ -38,8 +38,7 @@ def batch_scope(
     indexed = running_total(rows, [split], order, F.lit(1), "row_index", order_bits=order_bits)
     if num_proc == 1:
         return indexed.withColumn("scope", whole_div(F.col("row_index"), batch_rows)).drop("row_index")
-    # One row per split name, so a broadcast cannot grow with the data.
-    totals = F.broadcast(rows.groupBy(split).agg(F.count("*").alias("split_rows")))
+    totals = rows.groupBy(split).agg(F.count("*").alias("split_rows")).withColumnRenamed(split, "_split")
     share = whole_div(F.col("split_rows"), num_proc)
     rest = F.col("split_rows") % num_proc
     long_part = rest * (share + 1)
@@ -49,7 +48,8 @@ def batch_scope(
     first = F.col("shard") * share + F.least(F.col("shard"), rest)
     calls_per_shard = whole_div(share + batch_rows, batch_rows)
     return (
-        indexed.join(totals, split)
+        indexed.join(totals, F.col(split).eqNullSafe(F.col("_split")))
+        .drop("_split")
         .withColumn("shard", shard)
         .withColumn(
             "scope",
@@ -166,7 +166,7 @@ def pack_stats(
 
 def require_blocks(stats: DataFrame, split: str = "split", name: str = "train") -> DataFrame:
     """Raises when the named split has no full block."""
-    message = F.lit("Tokenization produced no full training blocks; use a smaller block size.")
+    message = F.lit("No block of the training split is full: the corpus is shorter than one block.")
     return stats.withColumn(
         "blocks",
         F.when((F.col(split) == name) & (F.col("blocks") <= 0), F.raise_error(message).cast("bigint")).otherwise(

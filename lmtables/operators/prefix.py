@@ -12,6 +12,12 @@ from pyspark.sql import Window as W
 # and 2**21 at the top, whatever the number of rows and however the keys are spread over 63 bits.
 LEVEL_SHIFTS = (8, 25, 42)
 BUCKET = "order_bucket"
+GROUP = "order_group"
+
+
+def group_of(keys: Sequence[str]) -> Column:
+    """All keys in one column that is never null, so that groups with a null key meet in joins like others."""
+    return F.struct(*keys) if keys else F.lit(0)
 
 
 def bucket_of(order: Column) -> Column:
@@ -26,39 +32,38 @@ def bucket_of(order: Column) -> Column:
 def bucket_offsets(
     lengths: DataFrame, keys: Sequence[str], order: str, value: str, order_bits: int = 63
 ) -> DataFrame:
-    """For each group and bucket, the total of all earlier buckets.
+    """For each group (``group_of`` its keys) and bucket, the total of all earlier buckets.
 
     ``lengths`` is a narrow table (keys, order, value). Each level adds up the one below and takes its running
     totals only inside a parent bucket, so the work stays spread even when one group has nearly all rows.
     ``order_bits`` may be lowered when the ordering key is known to be smaller; rows that break it raise.
     """
-    keys = list(keys)
     shifts = [shift for shift in LEVEL_SHIFTS if shift == LEVEL_SHIFTS[0] or shift < order_bits]
     key = F.col(order).cast("bigint")
     if order_bits < 63:
         too_wide = F.raise_error(F.lit(f"ordering key {order} needs more than {order_bits} bits")).cast("bigint")
         key = F.when(F.shiftright(F.abs(key), order_bits) > 0, too_wide).otherwise(key)
     level = (
-        lengths.select(*keys, bucket_of(key).alias("bucket"), F.col(value).alias("total"))
-        .groupBy(*keys, "bucket")
+        lengths.select(group_of(keys).alias(GROUP), bucket_of(key).alias("bucket"), F.col(value).alias("total"))
+        .groupBy(GROUP, "bucket")
         .agg(F.sum("total").alias("total"))
     )
-    return _offsets(level, keys, [b - a for a, b in zip(shifts, shifts[1:])])
+    return _offsets(level, [b - a for a, b in zip(shifts, shifts[1:])])
 
 
-def _offsets(level: DataFrame, keys: list[str], steps: list[int]) -> DataFrame:
+def _offsets(level: DataFrame, steps: list[int]) -> DataFrame:
     if not steps:
-        inside = W.partitionBy(*keys).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-        return level.select(*keys, "bucket", F.coalesce(F.sum("total").over(inside), F.lit(0)).alias("offset"))
+        inside = W.partitionBy(GROUP).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+        return level.select(GROUP, "bucket", F.coalesce(F.sum("total").over(inside), F.lit(0)).alias("offset"))
     parent = F.shiftright("bucket", steps[0])
-    inside = W.partitionBy(*keys, "parent").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(GROUP, "parent").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     placed = level.withColumn("parent", parent).select(
-        *keys, "parent", "bucket", F.coalesce(F.sum("total").over(inside), F.lit(0)).alias("inner")
+        GROUP, "parent", "bucket", F.coalesce(F.sum("total").over(inside), F.lit(0)).alias("inner")
     )
-    above = level.groupBy(*keys, parent.alias("bucket")).agg(F.sum("total").alias("total"))
-    above = _offsets(above, keys, steps[1:]).select(*keys, F.col("bucket").alias("parent"), "offset")
-    return placed.join(above, [*keys, "parent"]).select(
-        *keys, "bucket", (F.col("inner") + F.col("offset")).alias("offset")
+    above = level.groupBy(GROUP, parent.alias("bucket")).agg(F.sum("total").alias("total"))
+    above = _offsets(above, steps[1:]).select(GROUP, F.col("bucket").alias("parent"), "offset")
+    return placed.join(above, [GROUP, "parent"]).select(
+        GROUP, "bucket", (F.col("inner") + F.col("offset")).alias("offset")
     )
 
 
@@ -76,21 +81,23 @@ def running_total(
 ) -> DataFrame:
     """Adds ``out``, the running total of ``value`` inside each group, ordered by an integer key, then ``ties``.
 
+    Rows whose group keys are null form a group as well; a null order comes first.
+
     ``lengths`` (keys, order, ``value``) may be given where the values are cheaper to compute than ``df`` itself.
     """
-    keys = list(keys)
     valued = df.withColumn("value", value.cast("bigint")).withColumn(BUCKET, bucket_of(F.col(order)))
+    valued = valued.withColumn(GROUP, group_of(keys))
     if lengths is None:
         lengths = valued.select(*keys, order, "value")
     offsets = bucket_offsets(lengths, keys, order, "value", order_bits).withColumnRenamed("bucket", BUCKET)
-    inside = W.partitionBy(*keys, BUCKET).orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(GROUP, BUCKET).orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
     local = F.sum("value").over(inside)
     local = local if inclusive else local - F.col("value")
     return (
         valued.withColumn("local", local)
-        .join(offsets, [*keys, BUCKET])
+        .join(offsets, [GROUP, BUCKET])
         .withColumn(out, (F.col("local") + F.col("offset")).cast("bigint"))
-        .drop("value", BUCKET, "local", "offset")
+        .drop("value", GROUP, BUCKET, "local", "offset")
     )
 
 
@@ -102,9 +109,13 @@ def top_rows(
     *,
     rank: str,
     salt_by: str,
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
-    """The first ``limit`` rows of each group with their rank; a hot group is cut down per salt before it meets."""
+    """The first ``limit`` rows of each group with their rank; a hot group is cut down per salt before it meets.
+
+    There are as many salts as the session has shuffle partitions, unless told otherwise.
+    """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = F.lit(limit) if isinstance(limit, int) else limit
     salted = df.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
     per_salt = W.partitionBy(*keys, "salt").orderBy(*order)

@@ -62,6 +62,12 @@ def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column | str, force
     )
 
 
+def policy_rejects(requests: DataFrame) -> DataFrame:
+    """The requests that ``init_rounds`` leaves out, with the reason; nulls in a policy make it invalid."""
+    usable = F.coalesce(F.expr("policy.min_updates > 0 AND policy.min_updates <= policy.max_updates"), F.lit(False))
+    return requests.where(~usable).withColumn("reject_reason", F.lit("policy"))
+
+
 def pending_lists(chosen: DataFrame) -> DataFrame:
     """The chosen submissions of each round as one ordered list of at most ``max_updates`` entries."""
     entry = F.struct(

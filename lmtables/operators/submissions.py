@@ -246,9 +246,11 @@ def accept_updates(valid: DataFrame, max_per_author: int = 1) -> DataFrame:
 
 def acceptance_rejects(valid: DataFrame, accepted: DataFrame) -> DataFrame:
     """Valid submissions that were not accepted, with the reason the sequential rule would give."""
-    taken = accepted.select(*IDENTITY, F.col("pr_num").alias("taken_by"))
+    taken = accepted.select(*(F.col(c).alias(f"_{c}") for c in IDENTITY), F.col("pr_num").alias("taken_by"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in IDENTITY]
     return (
-        valid.join(taken, list(IDENTITY), "left")
+        valid.join(taken, same, "left")
+        .drop(*(f"_{c}" for c in IDENTITY))
         .where("taken_by IS NULL OR taken_by <> pr_num")
         .withColumn("reject_reason", F.when(F.col("taken_by").isNull(), "author_limit").otherwise("duplicate_identity"))
         .drop("taken_by")

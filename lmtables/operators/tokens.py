@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lmtables.functions.lookup import id_lookup
-from lmtables.operators.prefix import top_rows
 
 # The special tokens, in id order.
 SPECIALS = ("<pad>", "<bos>", "<eos>", "<unk>")
@@ -36,7 +36,8 @@ def build_vocab(
 ) -> DataFrame:
     """The ``vocab_size`` entries (specials first, then by frequency, ties by token) with their ids.
 
-    The ranking window without partitions sees at most ``vocab_size`` rows per salt, a bound set by the caller.
+    Each partition keeps its ``vocab_size`` first words only; the ranking window without partitions sees
+    ``vocab_size`` rows, a bound set by the caller.
     """
     spark = docs.sparkSession
     places = vocab_size - len(specials)
@@ -46,7 +47,8 @@ def build_vocab(
     if specials:
         counted = counted.where(~F.col("token").isin(*specials))
     order = [F.col("freq").desc(), F.col("token").asc()]
-    ranked = top_rows(counted, [], order, places, rank="rank", salt_by="token")
+    top = counted.orderBy(*order).limit(places)
+    ranked = top.withColumn("rank", F.row_number().over(W.orderBy(*order)))
     words = ranked.select("token", (F.col("rank") - 1 + len(specials)).cast("int").alias("token_id"), "freq")
     if not specials:
         return words
@@ -104,7 +106,7 @@ def tokenize(
     """One row per document with its token ids; all raw columns but ``keep`` are dropped.
 
     The vocabulary is counted and read here, once. Up to ``lookup_limit`` entries it is sent to the workers, and each
-    document is coded where it was read: no shuffle, and no row per token. A larger one is joined.
+    document is coded where it was read: no shuffle, and no row per token. A larger one is joined, with the same rows.
     """
     keep = list(keep)
     small = small_vocab(vocab, lookup_limit)
@@ -120,8 +122,12 @@ def tokenize(
 
 
 def _tokenize_by_join(docs: DataFrame, vocab: DataFrame, text_col: str, keep: list[str], unk_id: int) -> DataFrame:
-    """Token rows joined with the vocabulary and put together again; ``keep`` must identify a document."""
-    exploded = docs.select(*keep, F.posexplode_outer(pretokens(F.col(text_col))).alias("pos", "token"))
+    """Token rows joined with the vocabulary and put together again, by a number per document.
+
+    So documents with the same ``keep`` columns, or nulls in them, stay apart as they do in the lookup.
+    """
+    numbered = docs.select(*keep, F.col(text_col).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    exploded = numbered.select(*keep, "_row", F.posexplode_outer(pretokens(F.col("_text"))).alias("pos", "token"))
     coded = join_vocab(exploded, vocab, unk_id)
     pairs = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token_id"))))
-    return coded.groupBy(*keep).agg(pairs.alias("pairs")).select(*keep, F.col("pairs.token_id").alias("input_ids"))
+    return coded.groupBy(*keep, "_row").agg(pairs.alias("pairs")).select(*keep, F.col("pairs.token_id").alias("input_ids"))

@@ -23,12 +23,12 @@ def build_deltas(base: DataFrame, local: DataFrame, dtype: str) -> DataFrame:
     joined = local.select("update_id", "name", "chunk_id", "shape", F.col("values").alias("local")).join(
         base.select("name", "chunk_id", F.col("values").alias("base")), ["name", "chunk_id"], "left"
     )
-    missing = F.raise_error(F.concat(F.lit("Base checkpoint is missing trainable tensor "), F.col("name")))
+    missing = F.raise_error(F.concat(F.lit("The base model has no tensor to compare with "), F.col("name")))
     exact = V.subtract(F.col("base").cast("array<float>"), F.col("local").cast("array<float>"))
     checked = joined.withColumn(
         "exact", F.when(F.col("base").isNull(), missing.cast("array<float>")).otherwise(exact)
     )
-    infinite = F.raise_error(F.concat(F.lit("Non-finite delta in "), F.col("name")))
+    infinite = F.raise_error(F.concat(F.lit("A difference is infinite or not a number, in "), F.col("name")))
     checked = checked.withColumn(
         "exact", F.when(V.all_finite(F.col("exact")), F.col("exact")).otherwise(infinite.cast("array<float>"))
     )
@@ -79,10 +79,20 @@ def update_documents(
     tokens = tokens_per_update(
         F.col("local_steps"), F.col("batch_size"), F.col("accumulation"), F.col("block_size")
     )
+    # Metadata fields of the protocol that are copied as they are.
     copied = (
-        "update_id worker_id round base_model_revision delta_norm_reported tensor_count local_steps train_loss "
-        "dataset_name dataset_config_name block_size"
-    ).split()
+        "update_id",
+        "worker_id",
+        "round",
+        "base_model_revision",
+        "delta_norm_reported",
+        "tensor_count",
+        "local_steps",
+        "train_loss",
+        "dataset_name",
+        "dataset_config_name",
+        "block_size",
+    )
     body = ids.json_sorted(
         {
             "protocol_version": F.lit(ids.PROTOCOL_VERSION),

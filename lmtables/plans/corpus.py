@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lmtables.operators import packing, tokens
 from lmtables.plans.registry import query
 from lmtables.plans.tables import Inputs, with_tables
-from lmtables.sources.corpus import scan_corpus, split_counts, spread_small
+from lmtables.sources.corpus import scan_corpus, split_counts
 
 VOCAB_SIZE = 8000
 BLOCK_SIZE = 256
@@ -36,12 +36,11 @@ LENGTHS_SQL = "SELECT split, doc_id, CAST(len(regexp_extract_all(text, '\\S+'))
 
 
 def corpus(inputs: Inputs) -> DataFrame:
-    rows = scan_corpus(
+    return scan_corpus(
         inputs.spark,
         f"{inputs.sf_dir}/documents.parquet",
         split=F.expr("CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END"),
     )
-    return spread_small(rows, "doc_id")
 
 
 def vocab(inputs: Inputs) -> DataFrame:

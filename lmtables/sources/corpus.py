@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "json", "text", "csv", "orc")
-SPREAD_BELOW = 256 * 1024 * 1024
 
 
 def scan_corpus(
@@ -48,16 +47,5 @@ def scan_corpus(
     return whole
 
 
-def spread_small(rows: DataFrame, key: str, below_bytes: int = SPREAD_BELOW) -> DataFrame:
-    """Spreads a small table over all cores, by a key; a larger one has enough splits of its own and stays as it is.
-
-    A small file often has a single row group, which one task would otherwise read and process alone.
-    """
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= below_bytes:
-        return rows
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def split_counts(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("split").agg(F.count("*").alias("examples"))

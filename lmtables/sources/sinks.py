@@ -20,12 +20,15 @@ def sink_tensor_shards(
     chunks_per_file: int = 4096,
     metadata: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Writes chunks under ``owner=.../shard=prefix-00001-of-00003`` and returns the plan that was written.
+    """Writes chunks under ``owner=...``, with their shard (``prefix-00001-of-00003``), and returns the plan.
 
-    A shard is spread over several files when it has many chunks, so a tensor above the shard size does not pass
-    through one task. Empty input raises.
+    All that an owner had before is replaced, so a second write with another limit leaves no old shards. A shard is
+    spread over several files when it has many chunks, so a tensor above the shard size does not pass through one task.
+    Empty input raises before anything is written.
     """
     plan = with_shard_names(shard_plan(manifest, max_shard_bytes, owner), prefix, owner)
+    if plan.isEmpty():
+        raise ValueError("There are no tensors to write.")
     placed = tensors.join(plan.select(owner, "name", "shard"), [owner, "name"])
     for key, value in (metadata or {}).items():
         placed = placed.withColumn(key, F.lit(value))
@@ -37,11 +40,9 @@ def sink_tensor_shards(
         .sortWithinPartitions(owner, "shard", "name", "chunk_id")
         .write.option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
-        .partitionBy(owner, "shard")
+        .partitionBy(owner)
         .parquet(path)
     )
-    if tensors.sparkSession.read.schema(placed.schema).parquet(path).isEmpty():
-        raise ValueError("Cannot write an empty tensor collection.")
     return plan
 
 

@@ -145,7 +145,7 @@ def test_special_id_fallbacks(spark, names, expected):
 
 def test_no_train_block_raises(spark):
     lengths = spark.createDataFrame([("train", 1, 5)], "split STRING, doc_id BIGINT, value BIGINT")
-    with pytest.raises(Exception, match="no full training blocks"):
+    with pytest.raises(Exception, match="No block of the training split is full"):
         packing.require_blocks(packing.pack_stats(lengths, 8)).collect()
 
 

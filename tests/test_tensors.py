@@ -92,7 +92,7 @@ def test_token_weights_and_clip_keep_the_denominator(spark):
 
 def test_weights_must_be_positive(spark):
     _, deltas = updates(spark, [1.0])
-    with pytest.raises(Exception, match="weight must be positive"):
+    with pytest.raises(Exception, match="add up to nothing"):
         scales_of(deltas, [0], weighting="tokens").collect()
     with pytest.raises(ValueError):
         scales_of(deltas, [1], weighting="other")
@@ -139,7 +139,7 @@ def test_narrow_types(spark, dtype, value, expected):
 
 
 def test_unknown_type_raises(spark):
-    with pytest.raises(ValueError, match="Unsupported dtype"):
+    with pytest.raises(ValueError, match="No rounding to"):
         V.cast_dtype(F.col("x"), "int8")
 
 
@@ -205,7 +205,7 @@ def test_sink_writes_named_shards(spark, tmp_path):
     assert back.count() == rows.count()
     assert {r.shard for r in back.select("shard").distinct().collect()} == {"delta-00001-of-00002", "delta-00002-of-00002"}
     assert back.where("delta_sign <> 'base-minus-local'").isEmpty()
-    with pytest.raises(ValueError, match="empty tensor collection"):
+    with pytest.raises(ValueError, match="no tensors to write"):
         sink_tensor_shards(rows.limit(0), sized.limit(0), str(tmp_path / "none"), prefix="delta", max_shard_bytes=64)
 
 
