@@ -214,6 +214,9 @@ def build_index(rows: DataFrame, keep: int) -> DataFrame:
         "dim", shard.cast("long").alias("shard"), "vector", "ids", F.get("ids", F.lit(0)).alias("first"), "longest"
     )
     schema = "dim int, shard long, vectors binary, ids binary, sizes binary, graph binary, entry int"
+    # Building takes far longer than its bytes suggest, so partitions go by shards and are not coalesced by size.
+    tasks = dims.agg(F.sum("shards")).first()[0] or 1
+    dealt = dealt.repartition(2 * tasks, "dim", "shard")
     return stage(dealt.groupBy("dim", "shard").applyInPandas(_index, schema), "graphs")
 
 
