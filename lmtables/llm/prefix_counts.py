@@ -181,7 +181,8 @@ class PrefixCounter:
         k = len(counts) - 1
         while counts[k] > budget:
             k -= 1
-        best, upper = ends[k], ends[k + 1] if k + 1 < len(ends) else ends[k]
+        # White space and cut special strings may merge with the chunk behind them and need less than at its start.
+        best, upper = ends[k], ends[min(k + 3, len(ends) - 1)]
         return max((s for s in range(best, upper + 1) if self.at(text, ends, counts, s) <= budget), default=best)
 
 
