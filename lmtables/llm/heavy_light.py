@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -17,12 +19,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 from lmtables.llm.components import connected_components
 from lmtables.session import stage
 
-SKETCH_BITS = 20  # counters of the frequency sketch: its size does not depend on the data
+SKETCH_BITS = 23  # counters of the frequency sketch: its size does not depend on the data
 FILTER_BITS = 24
 SLICE_BITS = 14
 MERGED_AT_ONCE = 64
-PARITY_WORDS = 16  # 64-bit words of a set's parity bitmap
-LIST_ROWS = 200_000  # an inverted list expected to be longer is split
+LEAST_PARITY_BITS, MOST_PARITY_BITS = 1024, 32768  # of a set's parity bitmap
+REPRESENTATIVES, ROUNDS = 8, 4
+CHARS_AT_ONCE = 1 << 21
+LONG_LIST = 50_000  # an inverted list that the sketch expects to be longer does not meet in one task
 LARGEST_SMALL = 400  # far beyond the sizes for which subsets can be cheaper
 SCAN_COST = 1.0  # of reading a posting, against writing one signature
 
@@ -44,38 +48,90 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of runs of ``words`` words; a shorter text is one run, an empty one has none.
+def _runs(hashed: np.ndarray, size: int) -> np.ndarray:
+    total = np.full(max(0, len(hashed) - size + 1), size, np.uint64)
+    for i in range(size):
+        total = mixed(total + hashed[i : i + len(total)] * STEPS[i % len(STEPS)])
+    return total
+
+
+def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its runs of ``words`` words.
 
-    Words are runs of characters other than ASCII white space, with A-Z in lower case.
+    Words are runs of characters other than ASCII white space, with A-Z in lower case. A shorter text is one run, an
+    empty one has none. Texts are hashed side by side, a bounded number of characters at a time.
     """
-    tokens = (text or "").encode().lower().split()
-    if not tokens:
-        return np.empty(0, np.uint64)
-    size = min(words, len(tokens))
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
-    runs = len(tokens) - size + 1
-    total = np.full(runs, size, np.uint64)
-    for i in range(size):
-        total = mixed(total + hashed[i : i + runs] * STEPS[i % len(STEPS)])
-    return np.unique(total)
+    begin = 0
+    while begin < len(texts):
+        end, chars = begin, 0
+        while end < len(texts) and (end == begin or chars < CHARS_AT_ONCE):
+            chars += len(texts[end] or "")
+            end += 1
+        tokens = [(t or "").encode().lower().split() for t in texts[begin:end]]
+        sizes = [len(t) for t in tokens]
+        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(tokens)), np.uint64, sum(sizes))
+        whole, place = _runs(hashed, words), 0
+        for size in sizes:
+            if size >= words:
+                yield np.unique(whole[place : place + size - words + 1])
+            else:
+                yield _runs(hashed[place : place + size], size) if size else np.empty(0, np.uint64)
+            place += size
+        begin = end
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    return next(shingle_sets([text], words))
 
 
 def set_key(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
-def _parity(values: np.ndarray) -> np.ndarray:
-    bits = np.bincount((values & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def short_key(key: bytes) -> int:
+    return int.from_bytes(key[:8], "big", signed=True)
+
+
+def _parity(values: np.ndarray, bits: int) -> np.ndarray:
+    """One bit per residue of the shingles: whether an odd number of them has it."""
+    odd = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _parity_bits(size: int) -> int:
+    """As many as shingles or up to twice as many, within bounds, so that the bitmaps of two sets of nearly one size
+    differ in length by a factor of two at most."""
+    bits = LEAST_PARITY_BITS
+    while bits < size and bits < MOST_PARITY_BITS:
+        bits *= 2
+    return bits
+
+
+def _slices(counters: np.ndarray) -> list[tuple[int, bytes]]:
+    parts = counters.reshape(-1, 1 << SLICE_BITS)
+    return [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(parts) if part.any()]
+
+
+def _slice_array(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+def _joined(rows: list, size: int, kind: type) -> np.ndarray:
+    out = np.zeros(size, kind)
+    for row in rows:
+        out[row["slice"] << SLICE_BITS : (row["slice"] + 1) << SLICE_BITS] = _slice_array(row["data"], kind)
+    return out
 
 
 def merge_counters(parts: DataFrame, bits: int) -> np.ndarray:
-    """Adds up counters of 2**bits, given as rows (part, slice, data: uint32), a bounded number of them at a time."""
+    """Adds up 2**bits counters, given as rows (part, slice, data), a bounded number of parts at a time. Counters stop
+    at their largest value, which only makes very frequent shingles equal in order."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(d, np.uint32).astype(np.uint64) for d in rows["data"])
-        data = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32).tobytes()
+        total = np.zeros(1 << SLICE_BITS, np.uint32)
+        for data in rows["data"]:
+            total = np.minimum(total + _slice_array(data, np.uint16), np.iinfo(np.uint16).max)
+        data = zlib.compress(total.astype(np.uint16).tobytes(), 1)
         return pd.DataFrame({"part": [rows["part"].iloc[0] // MERGED_AT_ONCE], "slice": [rows["slice"].iloc[0]], "data": [data]})
 
     count = (parts.agg(F.max("part")).first()[0] or 0) + 1
@@ -86,42 +142,36 @@ def merge_counters(parts: DataFrame, bits: int) -> np.ndarray:
         if count <= 1:
             break
         parts = stage(parts, "counters")
-    out = np.zeros(1 << bits, np.uint32)
-    for row in parts.collect():  # 2**bits counters whatever the data
-        out[row["slice"] << SLICE_BITS : (row["slice"] + 1) << SLICE_BITS] = np.frombuffer(row["data"], np.uint32)
-    return out
-
-
-def _slices(counters: np.ndarray) -> list[tuple[int, bytes]]:
-    parts = counters.reshape(-1, 1 << SLICE_BITS)
-    return [(i, parts[i].tobytes()) for i in range(len(parts)) if parts[i].any()]
+    return _joined(parts.collect(), 1 << bits, np.uint16)  # 2**bits counters whatever the data
 
 
 def _described(shape: Shape, kind: pa.DataType):
     """Documents with key, size and parity bitmap of their sets; after them the task's sketch of shingle frequencies."""
-    names = ["id", "key", "n", "parity", "slice", "data"]
+    names = ["id", "digest", "short", "n", "parity", "brief", "slice", "data"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-        top = np.uint64(64 - SKETCH_BITS)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint16)
+        top, most = np.uint64(64 - SKETCH_BITS), np.iinfo(np.uint16).max
         for batch in batches:
-            keys, sizes, parity = [], [], []
-            for text in batch.column(1).to_pylist():
-                values = shingles(text, shape.words)
+            keys, sizes, parity, brief = [], [], [], []
+            for values in shingle_sets(batch.column(1).to_pylist(), shape.words):
                 keys.append(set_key(values) if len(values) else None)
                 sizes.append(len(values))
-                parity.append(_parity(values) if len(values) else None)
-                np.add.at(sketch, (values >> top).astype(np.int64), 1)
+                parity.append(_parity(values, _parity_bits(len(values))) if len(values) else None)
+                brief.append(_parity(values, LEAST_PARITY_BITS) if len(values) else None)
+                cells, times = np.unique(values >> top, return_counts=True)
+                sketch[cells] = np.minimum(sketch[cells] + times, most)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(parity, pa.list_(pa.int64()))]
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array([k and short_key(k) for k in keys], pa.int64())]
+                + [pa.array(sizes, pa.int64()), *(pa.array(p, pa.list_(pa.int64())) for p in (parity, brief))]
                 + [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
                 names,
             )
         found = _slices(sketch)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(len(found), kind), pa.nulls(len(found), pa.binary()), pa.nulls(len(found), pa.int64())]
-            + [pa.nulls(len(found), pa.list_(pa.int64()))]
+            + [pa.nulls(len(found), pa.int64()), *[pa.nulls(len(found), pa.list_(pa.int64()))] * 2]
             + [pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())],
             names,
         )
@@ -157,14 +207,14 @@ def _signatures(shape: Shape, sketch, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for batch in batches:
-            keys, sigs, splits, repeats = [], [], [], []
-            for text in batch.column(0).to_pylist():
-                values = shingles(text, shape.words)
+            keys, sizes, sigs, splits, repeats = [], [], [], [], []
+            for values in shingle_sets(batch.column(0).to_pylist(), shape.words):
                 size = len(values)
                 if not size:
                     continue
                 often = counts[(values >> top).astype(np.int64)]
-                order = np.lexsort([values, often])
+                # Values are sorted, so a stable sort puts equal leading bits in order as well.
+                order = np.argsort(often.astype(np.uint64) << np.uint64(48) | values >> np.uint64(16), kind="stable")
                 least = shape.least_overlap(size)
                 written = 0
                 if size <= limit:
@@ -180,55 +230,90 @@ def _signatures(shape: Shape, sketch, limit: int):
                     sigs.append(values[head])
                     splits.append(often[head])
                     written += len(head)
-                keys.append(set_key(values))
+                keys.append(short_key(set_key(values)))
+                sizes.append(size)
                 repeats.append(written)
             if not keys:
                 continue
-            key = pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(keys)), repeats)))
-            split = np.concatenate(splits).astype(np.int64) // LIST_ROWS
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sigs).view(np.int64)), key, pa.array(split.astype(np.int32))], ["sig", "key", "split"]
-            )
+            columns = [np.concatenate(sigs).view(np.int64), np.repeat(np.array(keys, np.int64), repeats)]
+            columns.append(np.repeat(np.array(sizes, np.int32), repeats))
+            columns.append(np.concatenate(splits) >= LONG_LIST)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "short", "n", "long"])
 
     return run
 
 
-def _shared_lists(signatures: DataFrame) -> DataFrame:
+def _shared_lists(signatures: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
     """Entries of lists with two different sets at least: ``sig``, ``key``, ``lo`` (the first key of the list).
 
-    Lists that the sketch expects to be long do not meet in one task: their ends are found by an aggregate that
-    combines first.
+    A list in order of size falls apart where the next set is too large for a link with the one before; what is alone
+    then goes. Lists are first told apart by half of each set's digest, which keeps the one large shuffle narrow. Lists
+    that the sketch expects to be long do not meet in one task: their ends are found by an aggregate that combines first.
     """
-    same = W.partitionBy("sig")
-    short = (
-        signatures.where("split = 0")
-        .select("sig", "key", F.min("key").over(same).alias("lo"), F.max("key").over(same).alias("hi"))
-        .where("lo <> hi")
+    by_size = W.partitionBy("sig").orderBy("n", "short")
+    smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    follows = F.coalesce(_near_in_size(smaller, F.col("n"), shape), F.lit(False))
+    followed = F.coalesce(_near_in_size(F.col("n"), larger, shape), F.lit(False))
+    begins = F.max(F.when(~F.col("follows"), F.col("n"))).over(by_size)
+    short = signatures.where("NOT long").select("sig", "short", "n", follows.alias("follows"), followed.alias("followed"))
+    parts = short.withColumn("begins", begins).where("follows OR followed").select("sig", "begins", "short")
+    same = W.partitionBy("sig", "begins")
+    brief = parts.select(
+        F.xxhash64("sig", "begins").alias("sig"), "short", F.min("short").over(same).alias("lo"), F.max("short").over(same).alias("hi")
+    ).where("lo <> hi")
+    long = signatures.where("long").select("sig", "short")
+    ends = long.groupBy("sig").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo <> hi")
+    shared = stage(brief.unionByName(long.join(ends, "sig")).select("sig", "short", "lo").distinct(), "shared")
+    named = sets.select("short", "key")
+    return (
+        shared.join(named, "short")
+        .join(named.select(F.col("short").alias("lo"), F.col("key").alias("first")), "lo")
+        .select("sig", "key", F.col("first").alias("lo"))
     )
-    long = signatures.where("split > 0").select("sig", "key")
-    ends = long.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
-    return short.unionByName(long.join(ends, "sig")).select("sig", "key", "lo").distinct()
+
+
+def _halved(bits: Column) -> Column:
+    half = (F.size(bits) / 2).cast("int")
+    return F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda a, b: a.bitwiseXOR(b))
 
 
 def _most_shared(left: Column, right: Column, n_left: Column, n_right: Column) -> Column:
-    """No more shingles than this are shared: each differing bit of the parity bitmaps is a shingle of one set only."""
-    differing = F.aggregate(
-        F.zip_with(left, right, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, bits: total + bits
+    """No more shingles than this are shared: each differing parity bit stands for a shingle of one set only. The longer
+    bitmap is folded to the length of the other."""
+    left, right = (
+        F.when(F.size(left) > F.size(right), _halved(left)).otherwise(left),
+        F.when(F.size(right) > F.size(left), _halved(right)).otherwise(right),
     )
+    return _by_bits(left, right, n_left, n_right)
+
+
+def _by_bits(left: Column, right: Column, n_left: Column, n_right: Column) -> Column:
+    counts = F.zip_with(left, right, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    differing = F.aggregate(counts, F.lit(0), lambda total, bits: total + bits)
     return F.floor((n_left + n_right - differing) / 2)
 
 
+def _near_in_size(n_left: Column, n_right: Column, shape: Shape) -> Column:
+    return F.least(n_left, n_right) * 100 >= F.greatest(n_left, n_right) * shape.percent
+
+
 def _linked(shared: Column, n_left: Column, n_right: Column, shape: Shape) -> Column:
     return shared * 100 >= (n_left + n_right - shared) * shape.percent
 
 
-def _with_bound(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds sizes and ``bound``, the most that a pair (x, y) can share."""
+def _sized(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     for end in ("x", "y"):
-        side = sets.select(F.col("key").alias(end), F.col("n").alias(f"n_{end}"), F.col("parity").alias(f"p_{end}"))
-        pairs = pairs.join(side, end)
-    bound = _most_shared(F.col("p_x"), F.col("p_y"), F.col("n_x"), F.col("n_y"))
-    return pairs.withColumn("bound", bound).drop("p_x", "p_y")
+        pairs = pairs.join(sets.select(F.col("key").alias(end), F.col("n").alias(f"n_{end}")), end)
+    return pairs
+
+
+def _bounded(sized: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
+    """Adds ``bound``, the most that a pair (x, y) of nearly equal sizes can share, by their bitmaps; others go."""
+    pairs = sized.where(_near_in_size(F.col("n_x"), F.col("n_y"), shape))
+    for end in ("x", "y"):
+        pairs = pairs.join(sets.select(F.col("key").alias(end), F.col("parity").alias(f"p_{end}")), end)
+    by_bits = _most_shared(F.col("p_x"), F.col("p_y"), F.col("n_x"), F.col("n_y"))
+    return pairs.select("x", "y", "n_x", "n_y", F.least("n_x", "n_y", by_bits).alias("bound"))
 
 
 def _key_filter(keys: DataFrame) -> np.ndarray:
@@ -246,44 +331,39 @@ def _key_filter(keys: DataFrame) -> np.ndarray:
         )
 
     def union(rows: pd.DataFrame) -> pd.DataFrame:
-        data = np.bitwise_or.reduce([np.frombuffer(d, np.uint32) for d in rows["data"]]).tobytes()
-        return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "data": [data]})
+        data = np.bitwise_or.reduce([_slice_array(d, np.uint32) for d in rows["data"]]).tobytes()
+        return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "data": [zlib.compress(data, 1)]})
 
     parts = keys.mapInArrow(run, "slice int, data binary").groupBy("slice").applyInPandas(union, "slice int, data binary")
-    out = np.zeros(1 << FILTER_BITS >> 5, np.uint32)
-    for row in parts.collect():
-        out[row["slice"] << SLICE_BITS : (row["slice"] + 1) << SLICE_BITS] = np.frombuffer(row["data"], np.uint32)
-    return out
+    return _joined(parts.collect(), 1 << FILTER_BITS >> 5, np.uint32)
 
 
 def _filter_place(key: bytes) -> int:
     return int.from_bytes(key[:8], "little") & ((1 << FILTER_BITS) - 1)
 
 
-def _texts(docs: DataFrame, keys: DataFrame, shape: Shape) -> DataFrame:
-    """One text for each key asked for: ``key``, ``text``. A filter of fixed size drops most other texts where they are
-    read; the join behind it makes the result exact."""
-    spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(_key_filter(keys))
+def _texts(docs: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
+    """One text for each of the given sets (key, digest): ``key``, ``text``. A filter of fixed size drops most other texts
+    where they are read; the join behind it makes the result exact."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_key_filter(sets.select("digest")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in batches:
-            rows, keys_ = [], []
-            for i, text in enumerate(batch.column(0).to_pylist()):
-                values = shingles(text, shape.words)
+            rows, digests = [], []
+            for i, values in enumerate(shingle_sets(batch.column(0).to_pylist(), shape.words)):
                 if len(values):
-                    key = set_key(values)
-                    place = _filter_place(key)
+                    digest = set_key(values)
+                    place = _filter_place(digest)
                     if int(bits[place >> 5]) >> (place & 31) & 1:
                         rows.append(i)
-                        keys_.append(key)
+                        digests.append(digest)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys_, pa.binary()), batch.column(0).take(pa.array(rows, pa.int64()))], ["key", "text"]
+                [pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows, pa.int64()))], ["digest", "text"]
             )
 
-    found = docs.mapInArrow(run, "key binary, text string")
-    return stage(found.join(keys, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")), "texts")
+    found = docs.mapInArrow(run, "digest binary, text string")
+    return stage(found.join(sets, "digest").groupBy("key").agg(F.min("text").alias("text")), "texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
@@ -291,9 +371,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     names = ["x", "y", "n_x", "n_y", "shared"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}
 
-        def values(key: bytes, text: str) -> np.ndarray:
+        def values(key: int, text: str) -> np.ndarray:
             if key not in held:
                 if len(held) >= 256:
                     held.clear()
@@ -311,7 +391,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     with_texts = pairs.select("x", "y", "n_x", "n_y")
     for end in ("x", "y"):
         with_texts = with_texts.join(texts.select(F.col("key").alias(end), F.col("text").alias(f"t_{end}")), end)
-    return stage(with_texts.mapInArrow(run, "x binary, y binary, n_x long, n_y long, shared long"), "verified")
+    return stage(with_texts.mapInArrow(run, "x long, y long, n_x long, n_y long, shared long"), "verified")
 
 
 def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
@@ -324,10 +404,11 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     1. One pass over the texts gives sizes, keys and parity bitmaps of the sets and a frequency sketch of fixed size.
     2. The boundary between small and large sets is the one of least cost; ``_signatures`` writes subsets or list
        entries. Lists with one set are dropped.
-    3. Every set is compared with the first set of each of its lists, exactly, and components are formed.
-    4. In lists with several components left, sets of different components are compared as well, unless sizes, parity
-       bitmaps or the known distances to the list's first set rule a link out. So no link is missed, and no list or
-       group of copies becomes all of its pairs.
+    3. Every set is compared with the first set of each of its lists, exactly, and components are formed; then with a
+       few others of one list with several components left.
+    4. In lists that still have several components, sets of different components are compared as well, unless sizes,
+       parity bitmaps or the known distances to the list's first set rule a link out. So no link is missed, and no list
+       or group of copies becomes all of its pairs.
     """
     shape = Shape(words, percent)
     kind = docs.schema[key].dataType
@@ -337,77 +418,129 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     described = stage(
         source.mapInArrow(
             _described(shape, to_arrow_type(kind)),
-            f"id {kind.simpleString()}, key binary, n long, parity array<long>, slice int, data binary",
+            f"id {kind.simpleString()}, digest binary, short long, n long, parity array<long>, brief array<long>, "
+            "slice int, data binary",
         ).withColumn("part", F.spark_partition_id().cast("long")),
         "described",
     )
-    rows = described.where("slice IS NULL").select("id", "key", "n")
-    found = described.where("slice IS NULL AND key IS NOT NULL")
-    sets = stage(found.groupBy("key").agg(F.any_value("n").alias("n"), F.any_value("parity").alias("parity")), "sets")
+    rows = described.where("slice IS NULL").select("id", "digest", "n")
+    found = described.where("slice IS NULL AND digest IS NOT NULL")
+    distinct = found.groupBy("digest").agg(*(F.any_value(c).alias(c) for c in ("short", "n", "parity", "brief")))
+    # From here on a set goes by its number, half as wide as its digest.
+    sets = stage(distinct.withColumn("key", F.monotonically_increasing_id()), "sets")
     sketch = spark.sparkContext.broadcast(
         merge_counters(described.where("slice IS NOT NULL").select("part", "slice", "data"), SKETCH_BITS)
     )
     small = sets.where(F.col("n") <= LARGEST_SMALL).groupBy("n").count().collect()
     limit = boundary({row["n"]: row["count"] for row in small}, shape)
-    signatures = texts_only.mapInArrow(_signatures(shape, sketch, limit), "sig long, key binary, split int")
-    lists = stage(_shared_lists(signatures), "lists")
+    signatures = texts_only.mapInArrow(_signatures(shape, sketch, limit), "sig long, short long, n int, long boolean")
+    lists = stage(_shared_lists(signatures, sets, shape), "lists")
+    texts = _texts(texts_only, sets.join(lists.select("key").distinct(), "key").select("key", "digest"), shape)
 
-    first = lists.where("key <> lo").select(F.col("key").alias("x"), F.col("lo").alias("y")).distinct()
-    first = stage(_with_bound(first, sets), "first")
-    possible = first.where(_linked(F.col("bound"), F.col("n_x"), F.col("n_y"), shape))
-    texts = _texts(texts_only, lists.select("key").distinct(), shape)
-    checked = _verified(possible, texts, shape)
-    is_link = _linked(F.col("shared"), F.col("n_x"), F.col("n_y"), shape)
-    links = checked.where(is_link).select("x", "y")
-    members = stage(connected_components(links, "x", "y"), "members")
-
-    second = stage(_with_bound(_open_pairs(lists, sets, first, checked, members, shape), sets), "second")
-    second = second.where(_linked(F.col("bound"), F.col("n_x"), F.col("n_y"), shape))
-    if not second.isEmpty():
-        more = _verified(second, texts, shape).where(is_link).select("x", "y")
+    def checked(pairs: DataFrame) -> DataFrame:
+        possible = pairs.where(_linked(F.col("bound"), F.col("n_x"), F.col("n_y"), shape))
+        return _verified(possible, texts, shape)
+
+    def links(found: DataFrame) -> DataFrame:
+        return found.where(_linked(F.col("shared"), F.col("n_x"), F.col("n_y"), shape)).select("x", "y")
+
+    def joined(members: DataFrame, found: DataFrame) -> DataFrame:
         # Stars of the components so far stand for their links.
         stars = members.where("node <> component").select(F.col("node").alias("x"), F.col("component").alias("y"))
-        members = connected_components(stars.unionByName(more), "x", "y")
+        return stage(connected_components(stars.unionByName(links(found)), "x", "y"), "members")
 
-    classes = rows.where("key IS NOT NULL").join(members, F.col("key") == F.col("node"), "left")
+    first = lists.where("key <> lo").select(F.col("key").alias("x"), F.col("lo").alias("y")).distinct()
+    first = stage(_sized(first, sets), "first")
+    near = stage(_bounded(first, sets, shape), "near")
+    compared = checked(near)
+    members = stage(connected_components(links(compared), "x", "y"), "members")
+    entries = _open_entries(lists, members)
+    size, round_ = entries.count(), 0
+    while size and round_ < ROUNDS:
+        pairs = _bounded(_sized(_representative_pairs(entries, round_), sets), sets, shape)
+        found = checked(pairs)
+        new = links(found).count()
+        members = joined(members, found)
+        entries = _open_entries(entries.drop("component"), members)
+        size, round_ = entries.count(), round_ + 1
+        if 50 * new < sets.count() ** 0.5:  # hardly anything is left to connect
+            break
+    if size:
+        known = first.join(near.select("x", "y", "bound"), ["x", "y"], "left").join(
+            compared.select("x", "y", "shared"), ["x", "y"], "left"
+        )
+        pairs = _bounded(_sized(_rest_of_pairs(entries, sets, known, shape), sets), sets, shape)
+        members = joined(members, checked(pairs))
+
+    classes = rows.where("digest IS NOT NULL").join(sets.select("digest", "key"), "digest")
+    classes = classes.join(members, F.col("key") == F.col("node"), "left")
     classes = classes.select("id", "n", F.coalesce("component", "key").alias("class"))
     least = classes.groupBy("class").agg(F.min("id").alias("component_id"))
     linked = classes.join(least, "class").select("id", "n", "component_id")
-    alone = rows.where("key IS NULL").select("id", "n", F.col("id").alias("component_id"))
+    alone = rows.where("digest IS NULL").select("id", "n", F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _open_pairs(
-    lists: DataFrame, sets: DataFrame, first: DataFrame, checked: DataFrame, members: DataFrame, shape: Shape
-) -> DataFrame:
+def _open_entries(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """Entries, with their components, of the lists in which several components are left."""
+    component = F.coalesce("component", "key").alias("component")
+    entries = lists.join(members, F.col("key") == F.col("node"), "left").select("sig", "key", "lo", component)
+    ends = entries.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    return stage(entries.join(ends.select("sig"), "sig"), "open")
+
+
+def _representative_pairs(entries: DataFrame, round_: int) -> DataFrame:
+    """Each set of a list with several components against a few others of one of its lists: ``x``, ``y``.
+
+    These comparisons connect most of what is connected and are as many as sets, times a constant. Another round takes
+    other lists and other representatives. What they leave open is compared in full afterwards.
+    """
+    rank = F.row_number().over(W.partitionBy("sig").orderBy(F.xxhash64("key", F.lit(round_))))
+    few = entries.select("sig", "key", "component", rank.alias("rank")).where(F.col("rank") <= REPRESENTATIVES)
+    others = few.select("sig", F.col("key").alias("other"), F.col("component").alias("c"))
+    chosen = F.min_by("sig", F.xxhash64("sig", F.lit(round_))).alias("sig")
+    one = entries.groupBy("key").agg(chosen, F.any_value("component").alias("component"))
+    pairs = one.join(others, "sig").where("component <> c")
+    return pairs.select(F.greatest("key", "other").alias("x"), F.least("key", "other").alias("y")).distinct()
+
+
+def _rest_of_pairs(entries: DataFrame, sets: DataFrame, known: DataFrame, shape: Shape) -> DataFrame:
     """Pairs of one list that are in different components and not ruled out: ``x``, ``y``.
 
-    Jaccard distance obeys the triangle inequality: if the distances of two sets to the first set of their list differ
-    by more than a link may span, the two are not linked. Distances that were not computed are bounded by the bitmaps.
+    ``known`` tells what a set (x) shares with the first set (y) of a list, exactly or at most. Jaccard distance obeys
+    the triangle inequality: if the distances of two sets to the first set differ by more than a link may span, the two
+    are not linked.
     """
-    shared = F.coalesce("shared", "bound")
+    shared = F.coalesce("shared", "bound", F.least("n_x", "n_y"))
     distance = 1 - shared / (F.col("n_x") + F.col("n_y") - shared)
-    known = first.join(checked.select("x", "y", "shared"), ["x", "y"], "left").select(
+    known = known.select(
         F.col("x").alias("key"),
         F.col("y").alias("lo"),
         distance.alias("near"),
         F.when(F.col("shared").isNull(), F.lit(1.0)).otherwise(distance).alias("far"),
     )
-    entries = (
-        lists.join(known, ["key", "lo"], "left")
-        .join(members, F.col("key") == F.col("node"), "left")
-        .select("sig", "key", "lo", "near", "far", F.coalesce("component", "key").alias("component"))
-    )
-    several = entries.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    counts = entries.groupBy("sig", "component").agg(F.count("*").alias("entries"))
+    largest = counts.groupBy("sig").agg(F.max_by("component", F.struct("entries", "component")).alias("largest"))
     # The first set itself has been compared with all others of its list.
-    left = entries.join(several.select("sig"), "sig").where("key <> lo").join(sets.select("key", "n"), "key")
-    open_ = stage(left.select("sig", "key", "near", "far", "component", "n"), "open")
-    a, b = open_.alias("a"), open_.alias("b")
+    left = (
+        entries.where("key <> lo")
+        .join(known, ["key", "lo"])
+        .join(sets.select("key", "n", "brief"), "key")
+        .join(largest, "sig")
+        .withColumn("outside", F.col("component") != F.col("largest"))
+    )
+    left = stage(left.drop("largest", "lo"), "left")
+    # Sets outside of the largest component of their list meet all others, so its own pairs are never formed.
+    a, b = left.where("outside").alias("a"), left.alias("b")
+    n_a, n_b = F.col("a.n"), F.col("b.n")
     span = 1 - shape.percent / 100 + 1e-9
     pairs = a.join(b, "sig").where(
-        (F.col("a.component") < F.col("b.component"))
-        & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * shape.percent)
+        (F.col("a.component") != F.col("b.component"))
+        & (~F.col("b.outside") | (F.col("a.key") < F.col("b.key")))
+        & _near_in_size(n_a, n_b, shape)
         & (F.col("a.near") - F.col("b.far") <= span)
         & (F.col("b.near") - F.col("a.far") <= span)
+        & _linked(_by_bits(F.col("a.brief"), F.col("b.brief"), n_a, n_b), n_a, n_b, shape)
     )
-    return pairs.select(F.col("a.key").alias("x"), F.col("b.key").alias("y")).distinct()
+    x, y = F.greatest("a.key", "b.key").alias("x"), F.least("a.key", "b.key").alias("y")
+    return pairs.select(x, y).distinct()
