@@ -243,12 +243,13 @@ def _signatures(shape: Shape, sketch, limit: int):
     return run
 
 
-def _shared_lists(signatures: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
+def _shared_lists(signatures: DataFrame, sets: DataFrame, shape: Shape, any_long: bool) -> DataFrame:
     """Entries of lists with two different sets at least: ``sig``, ``key``, ``lo`` (the first key of the list).
 
     A list in order of size falls apart where the next set is too large for a link with the one before; what is alone
     then goes. Lists are first told apart by half of each set's digest, which keeps the one large shuffle narrow. Lists
     that the sketch expects to be long do not meet in one task: their ends are found by an aggregate that combines first.
+    Without such lists (``any_long``) the texts are not read again for them.
     """
     by_size = W.partitionBy("sig").orderBy("n", "short")
     smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
@@ -261,9 +262,11 @@ def _shared_lists(signatures: DataFrame, sets: DataFrame, shape: Shape) -> DataF
     brief = parts.select(
         F.xxhash64("sig", "begins").alias("sig"), "short", F.min("short").over(same).alias("lo"), F.max("short").over(same).alias("hi")
     ).where("lo <> hi")
-    long = signatures.where("long").select("sig", "short")
-    ends = long.groupBy("sig").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo <> hi")
-    shared = stage(brief.unionByName(long.join(ends, "sig")).select("sig", "short", "lo").distinct(), "shared")
+    if any_long:
+        long = signatures.where("long").select("sig", "short")
+        ends = long.groupBy("sig").agg(F.min("short").alias("lo"), F.max("short").alias("hi")).where("lo <> hi")
+        brief = brief.unionByName(long.join(ends, "sig"))
+    shared = stage(brief.select("sig", "short", "lo").distinct(), "shared")
     named = sets.select("short", "key")
     return (
         shared.join(named, "short")
@@ -388,7 +391,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
             columns = [batch.column(c) for c in names[:4]] + [pa.array(shared, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    with_texts = pairs.select("x", "y", "n_x", "n_y")
+    # Written tables have known sizes: few pairs reach the texts without a shuffle of all of these.
+    pairs = stage(pairs.select("x", "y", "n_x", "n_y"), "pairs")
+    keys = stage(pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct(), "keys")
+    texts = stage(texts.join(keys, "key", "left_semi"), "asked")
+    with_texts = pairs
     for end in ("x", "y"):
         with_texts = with_texts.join(texts.select(F.col("key").alias(end), F.col("text").alias(f"t_{end}")), end)
     return stage(with_texts.mapInArrow(run, "x long, y long, n_x long, n_y long, shared long"), "verified")
@@ -428,13 +435,12 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     distinct = found.groupBy("digest").agg(*(F.any_value(c).alias(c) for c in ("short", "n", "parity", "brief")))
     # From here on a set goes by its number, half as wide as its digest.
     sets = stage(distinct.withColumn("key", F.monotonically_increasing_id()), "sets")
-    sketch = spark.sparkContext.broadcast(
-        merge_counters(described.where("slice IS NOT NULL").select("part", "slice", "data"), SKETCH_BITS)
-    )
+    counters = merge_counters(described.where("slice IS NOT NULL").select("part", "slice", "data"), SKETCH_BITS)
+    any_long, sketch = bool((counters >= LONG_LIST).any()), spark.sparkContext.broadcast(counters)
     small = sets.where(F.col("n") <= LARGEST_SMALL).groupBy("n").count().collect()
     limit = boundary({row["n"]: row["count"] for row in small}, shape)
     signatures = texts_only.mapInArrow(_signatures(shape, sketch, limit), "sig long, short long, n int, long boolean")
-    lists = stage(_shared_lists(signatures, sets, shape), "lists")
+    lists = stage(_shared_lists(signatures, sets, shape, any_long), "lists")
     texts = _texts(texts_only, sets.join(lists.select("key").distinct(), "key").select("key", "digest"), shape)
 
     def checked(pairs: DataFrame) -> DataFrame:
