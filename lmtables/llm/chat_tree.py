@@ -119,10 +119,10 @@ def _encoded(path: str, learned: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(path).encode
         for batch in batches:
-            tokens, start, stop = [], [], []
+            tokens, start, stop = [], [], []  # tokens as arrays: lists of numbers take ten times the room
             for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):
                 ids, begin, end = encode(role, text)
-                tokens.append(ids)
+                tokens.append(np.array(ids, np.int32))
                 start.append(begin)
                 stop.append(end if role in learned else begin)
             columns = [batch.column(c) for c in ("node", "parent", "depth")] + [pa.array(tokens, pa.list_(pa.int32()))]
@@ -239,9 +239,7 @@ def chat_forest(
     with_shared = _after_previous(sorted_).withColumn("tree", F.get("nodes", F.lit(0)))
     own = F.aggregate(F.slice("lengths", F.col("shared") + 1, F.size("lengths")), F.lit(0).cast("long"), lambda t, x: t + x)
     laid = stage(before(with_shared.withColumn("own", own), "tree", "pid", ["path"], "own"), "laid")
-    starts = stage(
-        laid.select("nodes", "lengths", "shared", "before").mapInArrow(_placed, "node string, start long, position long"), "starts"
-    )
+    starts = laid.select("nodes", "lengths", "shared", "before").mapInArrow(_placed, "node string, start long, position long")
     placed = steps.join(nodes.select("node", "length"), "node").join(starts.select("node", "start"), "node")
     whole = placed.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "start", "length"))).alias("steps"))
     spans = stage(
@@ -266,7 +264,8 @@ def _read_back(path: str):
         decode = codec(path).decode
         for batch in batches:
             out = []
-            for leaf, pieces in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row in range(batch.num_rows):  # one conversation at a time as Python objects
+                leaf, pieces = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 formatted = "".join(decode(p["tokens"]) for p in pieces)
                 turns = [(unescape_role(r), unescape(t)) for r, t in TURN.findall(formatted)]
                 masked = [unescape(decode(p["tokens"][p["loss_from"] : p["loss_to"]])) for p in pieces]
