@@ -78,7 +78,9 @@ def align(left: tuple[list[int], list[str]], right: tuple[list[int], list[str]])
     return match, pairs[0, 0]
 
 
-def content_slots(parents: list[int], keys: list[str], pages: np.ndarray, constant: np.ndarray, chars: np.ndarray, links: np.ndarray) -> np.ndarray:
+def content_slots(
+    parents: list[int], keys: list[str], constant: np.ndarray, chars: np.ndarray, links: np.ndarray
+) -> np.ndarray:
     """Which nodes of a template hold content.
 
     The region is the deepest container with half of the text in varying slots, or of all text where nothing varies; an
@@ -175,7 +177,7 @@ def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for s in row.stats:
                 stats[:, s["slot"]] = s["pages"], s["low"], s["high"], s["chars"], s["links"]
             constant = (stats[0] > 1) & (stats[1] == stats[2])
-            keep = content_slots(parents, keys, stats[0], constant, stats[3], stats[4])
+            keep = content_slots(parents, keys, constant, stats[3], stats[4])
             own_parents, own_keys = read_skeleton(row.skeleton)
             out = np.zeros(len(own_keys), bool)
             for node, partner in enumerate(row.match):
