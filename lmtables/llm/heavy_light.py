@@ -25,7 +25,7 @@ SLICE_BITS = 14
 MERGED_AT_ONCE = 64
 LEAST_PARITY_BITS, MOST_PARITY_BITS = 1024, 32768  # of a set's parity bitmap
 REPRESENTATIVES, ROUNDS = 8, 4
-CHARS_AT_ONCE = 1 << 21
+ROWS_AT_ONCE = 256
 LONG_LIST = 50_000  # an inverted list that the sketch expects to be longer does not meet in one task
 LARGEST_SMALL = 400  # far beyond the sizes for which subsets can be cheaper
 SCAN_COST = 1.0  # of reading a posting, against writing one signature
@@ -55,21 +55,18 @@ def _runs(hashed: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
-def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array | list[str | None], words: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its runs of ``words`` words.
 
     Words are runs of characters other than ASCII white space, with A-Z in lower case. A shorter text is one run, an
-    empty one has none. Texts are hashed side by side, a bounded number of characters at a time.
+    empty one has none. Texts are hashed side by side; only ROWS_AT_ONCE of them are Python objects at a time.
     """
-    begin = 0
-    while begin < len(texts):
-        end, chars = begin, 0
-        while end < len(texts) and (end == begin or chars < CHARS_AT_ONCE):
-            chars += len(texts[end] or "")
-            end += 1
-        tokens = [(t or "").encode().lower().split() for t in texts[begin:end]]
+    for begin in range(0, len(texts), ROWS_AT_ONCE):
+        part = texts[begin : begin + ROWS_AT_ONCE]
+        tokens = [(t or "").encode().lower().split() for t in (part if isinstance(part, list) else part.to_pylist())]
         sizes = [len(t) for t in tokens]
         hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(tokens)), np.uint64, sum(sizes))
+        del tokens
         whole, place = _runs(hashed, words), 0
         for size in sizes:
             if size >= words:
@@ -77,7 +74,6 @@ def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
             else:
                 yield _runs(hashed[place : place + size], size) if size else np.empty(0, np.uint64)
             place += size
-        begin = end
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -154,7 +150,7 @@ def _described(shape: Shape, kind: pa.DataType):
         top, most = np.uint64(64 - SKETCH_BITS), np.iinfo(np.uint16).max
         for batch in batches:
             keys, sizes, parity, brief = [], [], [], []
-            for values in shingle_sets(batch.column(1).to_pylist(), shape.words):
+            for values in shingle_sets(batch.column(1), shape.words):
                 keys.append(set_key(values) if len(values) else None)
                 sizes.append(len(values))
                 parity.append(_parity(values, _parity_bits(len(values))) if len(values) else None)
@@ -208,7 +204,7 @@ def _signatures(shape: Shape, sketch, limit: int):
         counts = sketch.value
         for batch in batches:
             keys, sizes, sigs, splits, repeats = [], [], [], [], []
-            for values in shingle_sets(batch.column(0).to_pylist(), shape.words):
+            for values in shingle_sets(batch.column(0), shape.words):
                 size = len(values)
                 if not size:
                     continue
@@ -354,7 +350,7 @@ def _texts(docs: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
         bits = wanted.value
         for batch in batches:
             rows, digests = [], []
-            for i, values in enumerate(shingle_sets(batch.column(0).to_pylist(), shape.words)):
+            for i, values in enumerate(shingle_sets(batch.column(0), shape.words)):
                 if len(values):
                     digest = set_key(values)
                     place = _filter_place(digest)
