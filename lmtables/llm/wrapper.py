@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmtables.llm.page_tree import CONTAINERS, REGIONS, parse, read_skeleton, skeleton_id
+from lmtables.llm.page_tree import REGIONS, parse, read_skeleton, skeleton_id
 from lmtables.llm.url_aliases import url_host
 from lmtables.session import stage
 
@@ -83,40 +83,18 @@ def content_slots(
 ) -> np.ndarray:
     """Which nodes of a template hold content.
 
-    The region is the deepest container with half of the text in varying slots, or of all text where nothing varies; an
-    article or main element around it takes its place. All of the region counts but parts that are dropped by what they
-    are. Outside of an article or main element constant slots and lists of links are template as well.
+    All of an article or main element counts but parts that are dropped by what they are. Outside of them everything
+    counts that varies, or all where nothing varies, except for lists of links; how much text a part holds is not asked.
     """
     count = len(keys)
     dropped = np.array([k.startswith("!") for k in keys])
-    above = np.array(parents)
+    inside = np.array([_tag(k) in REGIONS for k in keys])
     for node in range(1, count):
-        dropped[node] |= dropped[above[node]]
+        dropped[node] |= dropped[parents[node]]
+        inside[node] |= inside[parents[node]]
     linked = links > LINKS * np.maximum(chars, 1)
-    mass = np.where(dropped | linked | constant, 0, chars).astype(float)
-    varies = mass.sum() > 0
-    if not varies:
-        mass = np.where(dropped | linked, 0, chars).astype(float)
-    for node in range(count - 1, 0, -1):
-        mass[above[node]] += mass[node]
-    region, below = 0, _children(parents)
-    while True:
-        inner = [c for c in below[region] if _tag(keys[c]) in CONTAINERS and mass[c] * 2 >= mass[0] > 0]
-        if not inner:
-            break
-        region = max(inner, key=lambda c: (mass[c], -c))
-    explicit, node = False, region
-    while node >= 0:
-        if _tag(keys[node]) in REGIONS:
-            region, explicit = node, True
-        node = parents[node]
-    keep = np.zeros(count, bool)
-    for node in range(count):
-        keep[node] = node == region or (node > 0 and keep[above[node]])
-    keep &= ~dropped
-    if not explicit:
-        keep &= ~linked & ~(constant & varies)
-    return keep
+    varies = np.where(dropped | linked | constant, 0, chars).sum() > 0
+    return ~dropped & (inside | ~linked & ~(constant & varies))
 
 
 def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,6 +44,32 @@ def test_content_without_names_is_found_by_alignment(spark):
     assert run(spark, pages) == [f"Title {i}\n\nBody text number {i} goes on and on.\n\nEnd {i}" for i in range(5)]
 
 
+def long_text(name, i, words):
+    return " ".join(f"{name}{i}x{w}" for w in range(words))
+
+
+@pytest.mark.parametrize(
+    "body, names",
+    [
+        ("<div id=content><h1>{0}</h1><div class=text><p>{1}</p></div></div>", "ab"),
+        ("<div class=intro><p>{0}</p></div><div class=rest><p>{1}</p></div>", "ab"),
+        ("<div class=part><p>{0}</p></div><div class=part><p>{1}</p></div><div class=part><p>{2}</p></div>", "abc"),
+        ("<section><h2>{0}</h2></section><section><h2>{1}</h2></section><section><h2>{2}</h2></section>", "abc"),
+        ("<div><p>{0}</p><ul><li>{1}</ul><p>{2}</p></div>", "aba"),
+        ("<div><p>{0}</p><table><tr><td>{1}</table><p>{2}</p></div>", "aba"),
+        ("<article><p>{0}</p></article><div><p>{1}</p></div><article><p>{2}</p></article>", "abc"),
+    ],
+)
+def test_content_is_whole_however_it_is_divided(spark, body, names):
+    """No part is lost because another one holds more text."""
+    pages, want = [], []
+    for i in range(4):
+        texts = [long_text(n + str(k), i, 6 + 8 * (n == "b")) for k, n in enumerate(names)]
+        pages.append((f"http://parts.com/{i}", f"<body><div class=top>Home News</div>{body.format(*texts)}<div>All rights kept</div></body>"))
+        want.append("\n\n".join(texts))
+    assert run(spark, pages) == want
+
+
 def test_copies_of_one_page_keep_their_article(spark):
     pages = [("http://h.com/same", page("<article><p>The same text.</p></article>"))] * 40
     assert run(spark, pages) == ["The same text."] * 40
