@@ -39,6 +39,8 @@ DROPPED_NAMES = set(
     "recommended pagination pager copyright disclaimer toolbar".split()
 )
 HEADER_NAMES = {"header", "masthead", "banner"}
+# Tags that also wrap a whole page.
+WRAPPING_TAGS = {"form", "fieldset"}
 # An open element that the start of another one ends, looked for up to the given container.
 ENDED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -63,9 +65,18 @@ def _names(value: str) -> set[str]:
     return found
 
 
+def _drop_mark(name: str, role: str, value: str, words: set[str]) -> str:
+    """How sure a drop is: ``!!!`` by a tag or role, ``!!`` by a name of nothing but such words, ``!`` by one word among
+    others, as in ``content-sidebar-wrap``, or by a tag that may wrap a page."""
+    if (name in DROPPED_TAGS and name not in WRAPPING_TAGS) or name == "header" or role in DROPPED_ROLES:
+        return "!!!"
+    named = [found for found in map(_names, value.split()) if found]
+    return "!!" if any(found <= words for found in named) else "!"
+
+
 @dataclass
 class PageTree:
-    """Nodes in page order: key (tag and class names), parent, whether dropped by what it is, whether inside an article
+    """Nodes in page order: key (tag and class names, marked where dropped by what it is), parent, whether dropped by what it is, whether inside an article
     or main element. Blocks: node, text, characters inside links. ``slot`` is the folded node of each node;
     ``keys`` and ``parents`` describe the folded tree."""
 
@@ -180,7 +191,8 @@ def parse(html: str | None) -> PageTree:
                 pop_to(cut)
         attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(found[4] or found[7] or "")}
         inside = open_.get("article", 0) + open_.get("main", 0) > 0
-        names = _names(attributes.get("class", "") + " " + attributes.get("id", ""))
+        value = attributes.get("class", "") + " " + attributes.get("id", "")
+        names = _names(value)
         role = attributes.get("role", "").lower()
         dropped = name not in NEVER_DROPPED and (
             name in DROPPED_TAGS
@@ -188,8 +200,10 @@ def parse(html: str | None) -> PageTree:
             or bool(names & DROPPED_NAMES)
             or (not inside and (name == "header" or bool(names & HEADER_NAMES)))
         )
+        words = DROPPED_NAMES if inside else DROPPED_NAMES | HEADER_NAMES
+        mark = _drop_mark(name, role, value, words) if dropped else ""
         tag.append(name)
-        key.append(".".join([("!" if dropped else "") + name, *sorted(names)]))
+        key.append(".".join([mark + name, *sorted(names)]))
         parent.append(stack[-1])
         stack.append(len(tag) - 1)
         open_[name] = open_.get(name, 0) + 1

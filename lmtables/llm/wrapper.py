@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmtables.llm.page_tree import REGIONS, parse, read_skeleton, skeleton_id
+from lmtables.llm.page_tree import DROPPED_NAMES, REGIONS, parse, read_skeleton, skeleton_id
 from lmtables.llm.url_aliases import url_host
 from lmtables.session import stage
 
@@ -78,6 +78,77 @@ def align(left: tuple[list[int], list[str]], right: tuple[list[int], list[str]])
     return match, pairs[0, 0]
 
 
+def dropped_slots(parents: list[int], keys: list[str], mass: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """Which nodes of a template are dropped by what they or elements around them are.
+
+    A drop is lifted where the element wraps the content: where it holds more varying text (``mass``; of all text if
+    none varies) than all that is not dropped, not counting what is dropped inside of it. A name of nothing but dropped
+    words is lifted only where nothing else varies, a tag or role never. An article or main element is free of drops
+    around it if it holds more than all that is not dropped, or is a main element, or if the drops may be lifted and no
+    other article is there.
+    """
+    count = len(keys)
+    mark = [len(k) - len(k.lstrip("!")) for k in keys]
+    lifted = np.array([m == 0 for m in mark])
+    freed = np.zeros(count, bool)
+    by: list[list[int]] = [[] for _ in keys]  # the drops that a node stands under, itself included
+    for node in range(count):
+        by[node] = (by[parents[node]] if node else []) + [node] * (mark[node] > 0)
+
+    def dropped() -> np.ndarray:
+        out = np.zeros(count, bool)
+        for node in range(count):
+            out[node] = not lifted[node] or (node > 0 and out[parents[node]] and not freed[node])
+        return out
+
+    def size(nodes: np.ndarray) -> tuple[float, float]:
+        return float(mass[nodes].sum()), float(chars[nodes].sum())
+
+    under: dict[int, list[int]] = {}  # the text that each drop is the innermost one of
+    for node in range(count):
+        if by[node]:
+            under.setdefault(by[node][-1], []).append(node)
+    alike: dict[tuple[int, str], list[int]] = {}  # siblings of one key are lifted together
+    for node in under:
+        alike.setdefault((parents[node], keys[node]), []).append(node)
+    waiting = []
+    for nodes in alike.values():
+        level = max(mark[d] for d in by[nodes[0]])
+        if level < 3:
+            waiting.append((size(np.array([n for d in nodes for n in under[d]])), level, nodes))
+    waiting.sort(key=lambda w: w[0], reverse=True)
+    gone = dropped()
+    for level in (1, 2):
+        for held, needs, nodes in waiting:
+            rest = size(~gone)
+            if needs <= level and held > rest and (needs == 1 or rest[0] == 0):
+                for d in nodes:
+                    lifted[by[d]] = True
+                gone = dropped()
+
+    named = [set(k.split(".")[1:]) & DROPPED_NAMES for k in keys]
+    inside, whole = [-1] * count, np.zeros(count, bool)
+    for node in range(count):
+        inside[node] = inside[parents[node]] if node else -1
+        if inside[node] < 0 and _tag(keys[node]) in REGIONS:
+            inside[node] = node
+    held_in: dict[int, list[int]] = {}
+    for node in range(count):
+        start = inside[node]
+        if start >= 0:
+            whole[node] = not gone[node]
+            if gone[start] and not named[start] and by[node] == by[start]:
+                held_in.setdefault(start, []).append(node)
+    alone, rest = size(whole)[1] == 0, size(~gone)
+    for around in {by[n][0] for n in held_in}:
+        starts = [n for n in held_in if by[n][0] == around]
+        more = size(np.array([m for n in starts for m in held_in[n]])) > rest
+        for n in starts:
+            marks = [mark[d] for d in by[n] if not lifted[d]]
+            freed[n] = more or _tag(keys[n]) == "main" or (alone and max(marks, default=0) == 1)
+    return dropped()
+
+
 def content_slots(
     parents: list[int], keys: list[str], constant: np.ndarray, chars: np.ndarray, links: np.ndarray
 ) -> np.ndarray:
@@ -86,14 +157,13 @@ def content_slots(
     All of an article or main element counts but parts that are dropped by what they are. Outside of them everything
     counts that varies, or all where nothing varies, except for lists of links; how much text a part holds is not asked.
     """
-    count = len(keys)
-    dropped = np.array([k.startswith("!") for k in keys])
+    linked = links > LINKS * np.maximum(chars, 1)
+    mass = np.where(linked | constant, 0, chars)
+    dropped = dropped_slots(parents, keys, mass, np.where(linked, 0, chars))
     inside = np.array([_tag(k) in REGIONS for k in keys])
-    for node in range(1, count):
-        dropped[node] |= dropped[parents[node]]
+    for node in range(1, len(keys)):
         inside[node] |= inside[parents[node]]
-    linked = links > LINKS * np.maximum(chars, 1)
-    varies = np.where(dropped | linked | constant, 0, chars).sum() > 0
+    varies = mass[~dropped].sum() > 0
     return ~dropped & (inside | ~linked & ~(constant & varies))
 
 

@@ -70,6 +70,36 @@ def test_content_is_whole_however_it_is_divided(spark, body, names):
     assert run(spark, pages) == want
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<form id=aspnetForm><label>Token {0}</label>{nav}<article>{text}</article><div class=comments>{side}</div></form>",
+        "<form action=/><div class=page>{nav}<div class=body>{text}</div></div></form>",
+        "<div class=content-sidebar-wrap>{nav}<div class=content>{text}</div><div class=sidebar>{side}</div></div>",
+        "<div class=sidebar-right>{nav}<div>{text}</div></div><footer>Imprint {0}</footer>",
+        "<form><div class=post-with-comments>{text}<section id=comments>{side}</section></div></form>",
+        "<div class='layout sidebar'><div>{text}</div></div>",
+        "<div class=side-widget>{side}</div><form><article>{text}</article></form>",
+        "<div class=sidebar><main>{text}</main></div>",
+        "<aside><article>{side}</article></aside><div class=content>{text}</div>",
+        "<article>{text}</article><div class=related-posts>{side}{side}{side}</div>",
+        "<article>{text}</article><ol class=commentlist><li><article class=comment-body>{side}{side}{side}</article></ol>",
+        "<div>{text}</div><section id=comments>{side}{side}{side}{side}</section>",
+    ],
+)
+def test_wrappers_of_the_content_are_not_dropped(spark, body):
+    """What wraps the content stays whatever its name is; what stands beside or inside of the content is still dropped."""
+    pages, want = [], []
+    for i in range(4):
+        lines = [long_text("title", i, 3), long_text("line", i, 40)]
+        text = f"<h1>{lines[0]}</h1><p>{lines[1]}</p>"
+        nav = f"<nav><a href=/{i}>link {i}</a></nav>"
+        html = body.format(i, text=text, nav=nav, side=f"<p>{long_text('side', i, 15)}</p>").replace("<label>Token %d" % i, "<label>Token")
+        pages.append((f"http://wrapped.com/{i}", f"<html><body>{html}</body></html>"))
+        want.append("\n\n".join(lines))
+    assert run(spark, pages) == want
+
+
 def test_copies_of_one_page_keep_their_article(spark):
     pages = [("http://h.com/same", page("<article><p>The same text.</p></article>"))] * 40
     assert run(spark, pages) == ["The same text."] * 40
