@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from lmtables.llm import wrapper
 from lmtables.llm.page_tree import parse
 from lmtables.llm.wrapper import align, extract_text
 
@@ -100,6 +101,52 @@ def test_wrappers_of_the_content_are_not_dropped(spark, body):
     assert run(spark, pages) == want
 
 
+def test_every_kind_of_page_of_a_host_has_a_template(spark):
+    """Articles whose trees differ from each other, on a host with more listings: menus and notices are found in both."""
+    menu = "<div class=top>Home News About</div>"
+    listing = "<body>{menu}<table><tbody><tr><th>{0}</th><td>{1}</td></tr></tbody><tfoot><tr><td>{2}</td></tr></tfoot></table></body>"
+    extra = ["<blockquote>quote {0}</blockquote>", "<h2>more {0}</h2>", "<pre>code {0}</pre>", "<ol><li>point {0}</ol>"]
+    pages, want = [], []
+    for i in range(9):
+        texts = [long_text(n, i, 5) for n in "abc"]
+        pages.append((f"http://mixed.com/list/{i}", listing.format(*texts, menu=menu)))
+        want.append("\n\n".join(texts))
+    for i, more in enumerate(extra):
+        text, more = long_text("text", i, 20), more.format(i)
+        body = f"<div class=page><div class=box><h1>title {i}</h1><div class=text><p>{text}</p>{more}</div></div><div class=hint>Subscribers read on</div></div>"
+        pages.append((f"http://mixed.com/{i}", f"<body>{menu}{body}</body>"))
+        want.append("\n\n".join([f"title {i}", text, re.sub("<[^>]*>", "", more)]))
+    assert run(spark, pages) == want
+
+
+def test_more_templates_than_models_of_one_round(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "MODELS", 2)
+    pages, want = [], []
+    for kind in range(5):
+        for i in range(2):
+            text = long_text(f"k{'abcde'[kind]}", i, 4)
+            wrap = [f"<div class=k{'abcde'[kind]}{d}>" for d in "pqrst"]
+            pages.append((f"http://many.com/{kind}/{i}", f"<body>{''.join(wrap)}<p>{text}</p><div>Menu</div></body>"))
+            want.append(text)
+    assert run(spark, pages) == want
+
+
+def test_constant_texts_beside_varying_ones(spark):
+    body = "<div><p>Our site uses cookies.</p><p>{0}</p><p>{1}</p><p>Tell your friends!</p></div>"
+    texts = [(long_text("one", i, 5), long_text("two", i, 1 + i)) for i in range(4)]
+    pages = [(f"http://same.com/{i}", f"<body>{body.format(*t)}</body>") for i, t in enumerate(texts)]
+    assert run(spark, pages) == ["\n\n".join(t) for t in texts]
+    pages = [(u, h.replace("<div>", "<article>").replace("</div>", "</article>")) for u, h in pages]
+    assert run(spark, pages) == ["\n\n".join(["Our site uses cookies.", *t, "Tell your friends!"]) for t in texts]
+
+
+def test_optional_parts(spark):
+    """What only some pages have is content as well, unless it is the same on these or link lists."""
+    more = ["", "<blockquote>quote</blockquote><div><pre>c</pre></div><div><h3>d</h3></div>", "<dl><dt>Ask us</dl>", "<dl><dt>Ask us</dl>"]
+    pages = [(f"http://some.com/{i}", f"<body><div><h1>t {i}</h1><p>text {i}</p>{m}</div></body>") for i, m in enumerate(more)]
+    assert run(spark, pages) == ["t 0\n\ntext 0", "t 1\n\ntext 1\n\nquote\n\nc\n\nd", "t 2\n\ntext 2", "t 3\n\ntext 3"]
+
+
 def test_copies_of_one_page_keep_their_article(spark):
     pages = [("http://h.com/same", page("<article><p>The same text.</p></article>"))] * 40
     assert run(spark, pages) == ["The same text."] * 40
