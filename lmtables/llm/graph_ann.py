@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from lmtables.session import stage
 
 SHARD_ROWS = 4096
+# Lengths in a shard differ by this factor at most.
+BAND = 16
 BLOCK_ROWS = 256
 DEGREE = 32
 BUILD_WIDTH = 64
@@ -131,7 +134,8 @@ def usable(vector: Column) -> Column:
 def _index(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("first", ignore_index=True)
     vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-    scaled = vectors / rows["longest"].iloc[0]
+    scaled = vectors / np.abs(vectors).max()
+    scaled /= np.sqrt((scaled * scaled).sum(axis=1).max())
     # One more coordinate gives all vectors one length: then the nearest are those of largest inner product.
     extra = np.sqrt(np.maximum(1 - (scaled * scaled).sum(axis=1), 0))
     graph, entry = build_graph(np.column_stack([scaled, extra]))
@@ -201,17 +205,23 @@ def build_index(rows: DataFrame, keep: int) -> DataFrame:
     """Graphs of all shards, one row each, from rows (id, vector, dim). All rows are indexed.
 
     Equal vectors are one node; the ``keep`` smallest of its ids stand for it, as ties go to smaller ids and no answer
-    has more. Nodes are dealt to shards of about SHARD_ROWS by a hash of the vector.
+    has more. Nodes are dealt to shards of about SHARD_ROWS by a hash of the vector, those of far other length than the
+    median to shards of their own: a graph is built in vectors scaled by the longest of its shard, and beside one that
+    is very long all others would be the same point.
     """
     rank = F.row_number().over(W.partitionBy("dim", "vector").orderBy("id"))
     ranked = rows.withColumn("rank", rank).where(F.col("rank") <= keep)
     nodes = ranked.groupBy("dim", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     nodes = stage(nodes, "nodes")
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x))
-    dims = nodes.groupBy("dim").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("shards"), F.max(length).alias("longest"))
-    shard = F.pmod(F.xxhash64("vector"), F.col("shards"))
-    dealt = nodes.join(dims, "dim").select(
-        "dim", shard.cast("long").alias("shard"), "vector", "ids", F.get("ids", F.lit(0)).alias("first"), "longest"
+    largest = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x / F.col("largest")) * (x / F.col("largest")))
+    sized = nodes.withColumn("largest", largest).withColumn("length", F.log("largest") + F.log(squares) / 2)
+    middle = sized.groupBy("dim").agg(F.percentile_approx("length", 0.5).alias("middle"))
+    banded = sized.join(middle, "dim").withColumn("band", F.round((F.col("length") - F.col("middle")) / math.log(BAND)).cast("long"))
+    dims = banded.groupBy("dim", "band").agg(F.ceil(F.count("*") / SHARD_ROWS).alias("shards"))
+    shard = F.col("band") * (1 << 32) + F.pmod(F.xxhash64("vector"), F.col("shards"))
+    dealt = banded.join(dims, ["dim", "band"]).select(
+        "dim", shard.cast("long").alias("shard"), "vector", "ids", F.get("ids", F.lit(0)).alias("first")
     )
     schema = "dim int, shard long, vectors binary, ids binary, sizes binary, graph binary, entry int"
     # Building takes far longer than its bytes suggest, so partitions go by shards and are not coalesced by size.
@@ -242,8 +252,8 @@ def nearest(vectors: DataFrame, queries: Column, *, key: str = "vec_id", vector:
         "blocks",
     )
     # Each block goes once to each shard, so a task holds one graph and one block.
-    shards = graphs.groupBy("dim").agg(F.max("shard").alias("last"))
-    sent = packed.join(shards, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).drop("last")
+    shards = graphs.groupBy("dim").agg(F.collect_list("shard").alias("shards"))
+    sent = packed.join(shards, "dim").withColumn("shard", F.explode("shards")).drop("shards")
     met = sent.join(graphs, ["dim", "shard"])
     found = met.mapInArrow(_searched(k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))

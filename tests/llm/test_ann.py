@@ -49,6 +49,21 @@ def test_recall_over_shards(spark, monkeypatch, scaled):
         assert np.allclose([s for _, s in found], [x[v] @ x[q] for v, _ in found])
 
 
+@pytest.mark.parametrize("lengths", ["one", "tail"])
+def test_recall_beside_very_long_vectors(spark, monkeypatch, lengths):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 24))
+    if lengths == "one":
+        x[7] *= 1e12 / np.linalg.norm(x[7])
+    else:
+        x *= np.exp(rng.normal(size=(2000, 1)) * 5)
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    monkeypatch.setattr(graph_ann, "SHARD_ROWS", 800)
+    got, want = run(spark, rows), exact(rows, lambda v: v % 20 == 0)
+    assert all(len(found) == 20 for found in got.values()) and len(got) == len(want)
+    assert recall(got, want) >= 0.95
+
+
 def test_copies_and_ties(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(40, 8)).astype(np.float32)
