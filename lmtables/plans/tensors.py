@@ -78,12 +78,22 @@ def delta_manifest(inputs: Inputs) -> DataFrame:
     return manifest(inputs("local"), "update_id", "revision")
 
 
+def verified(inputs: Inputs, dtype: str = "float32") -> DataFrame:
+    manifest_rows = delta_manifest(inputs)
+    payload = deltas(inputs, dtype).join(manifest_rows.select("update_id", "name", "shape"), ["update_id", "name"])
+    return tensors.verify_deltas(
+        tensors.tensor_stats(payload),
+        model_manifest(inputs),
+        manifest_rows.select("update_id", "revision").distinct(),
+        strict=False,
+    )
+
+
 def update_rows(inputs: Inputs) -> DataFrame:
-    """Three complete updates with their place, tokens and norms."""
-    norms = tensors.delta_norms(deltas(inputs).where("update_id <> 'update-4'"))
-    return norms.select(
+    """Updates that verification accepts, with their place, tokens and norms."""
+    return verified(inputs).where("problem IS NULL").select(
         "update_id",
-        F.col("delta_norm").alias("verified_norm"),
+        "verified_norm",
         F.substring("update_id", 8, 1).cast("int").alias("merge_rank"),
         (F.substring("update_id", 8, 1).cast("bigint") * 1000).alias("num_tokens"),
     )
@@ -342,15 +352,7 @@ HALF_SQL = ROUNDED_SQL.format(low=-14, bits=10)
     ),
 )
 def _verified(inputs: Inputs) -> DataFrame:
-    manifest_rows = delta_manifest(inputs)
-    payload = deltas(inputs, "bfloat16").join(manifest_rows.select("update_id", "name", "shape"), ["update_id", "name"])
-    report = tensors.verify_deltas(
-        tensors.tensor_stats(payload),
-        model_manifest(inputs),
-        manifest_rows.select("update_id", "revision").distinct(),
-        strict=False,
-    )
-    return report.withColumn("verified_norm", F.round("verified_norm", 6))
+    return verified(inputs, "bfloat16").withColumn("verified_norm", F.round("verified_norm", 6))
 
 
 @query(
