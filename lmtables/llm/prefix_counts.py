@@ -162,7 +162,7 @@ class PrefixCounter:
         return ends, counts
 
     def at(self, text: str, ends: list[int], counts: list[int], size: int) -> int:
-        """Tokens of text[:size], from the stored index and the counts inside the one chunk that is cut.
+        """Tokens of text[:size], from the stored index and an encoding of the one chunk that is cut.
 
         White space at the cut and a special string that is cut are split anew with the rest of their surroundings.
         """
@@ -219,8 +219,8 @@ def count_tokens(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
 def prefix_index(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Stored prefix counts: key, ``ends`` (code points), ``counts`` (tokens up to each end), first 0 and 0.
 
-    ``PrefixCounter.at`` and ``longest_prefix`` answer every prefix and every budget from these without encoding the
-    text again: what is cut inside a chunk is looked up in the counts of that chunk alone.
+    ``PrefixCounter.at`` and ``longest_prefix`` answer every prefix and every budget from these and the text. A chunk
+    that is cut is encoded anew from its start, for each size that is tried; text without white space is one chunk.
     """
     kind = docs.schema[key].dataType.simpleString()
     integers = pa.list_(pa.int32())
