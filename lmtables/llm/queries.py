@@ -15,6 +15,7 @@ from lmtables.llm import (
     graph_ann,
     heavy_light,
     prefix_counts,
+    prefix_trie,
     quotient_dedup,
     source_schedule,
     url_aliases,
@@ -167,3 +168,71 @@ def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select(*added.columns).unionByName(added)
     path = public_tokenizers.path("byte_bpe_50k.json")
     return chat_tree.read_back(chat_tree.chat_forest(conversations, path), path)
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Each conversation with its first crc32(id) % 6 turns taken from the conversation of its hundred, if that is there."""
+    first = turns.select(F.col("id").alias("base"), F.col("turns").alias("first"))
+    taken = (F.crc32(F.col("id").cast("string")) % 6).cast("int")
+    with_first = turns.withColumn("base", F.col("id") - F.col("id") % 100).join(first, "base", "left")
+    begin = F.coalesce(F.slice("first", F.lit(1), taken), F.slice("turns", F.lit(1), F.lit(0)))
+    return with_first.select("id", F.concat(begin, F.slice("turns", taken + 1, F.size("turns"))).alias("turns"))
+
+
+# crc32 of a number's decimal digits, bit by bit.
+CRC32 = """
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''),
+        lambda c: list_transform(range(8), lambda k: (CAST(ascii(c) AS BIGINT) >> CAST(k AS INTEGER)) & 1)))),
+        lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)
+"""
+
+
+@register(
+    "op11_prefix_trie",
+    f"""
+    WITH said AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    marked AS (
+        SELECT *, substr(sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text), 1, 32) AS mark, length(text) AS size FROM said
+    ),
+    turns AS (
+        SELECT conv_id, mark, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, mark) AS n FROM marked
+    ),
+    convs AS (SELECT conv_id, {CRC32.format("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+    taken AS (
+        SELECT c.conv_id, 0 AS part, n, mark, size FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id - c.conv_id % 100 AND n <= h
+        UNION ALL SELECT c.conv_id, 1, n, mark, size FROM convs AS c JOIN turns AS t ON t.conv_id = c.conv_id AND n > h
+    ),
+    paths AS (
+        SELECT conv_id, list(mark ORDER BY part, n) FILTER (mark IS NOT NULL) AS marks, list(size ORDER BY part, n) FILTER (mark IS NOT NULL) AS sizes
+        FROM convs LEFT JOIN taken USING (conv_id) GROUP BY conv_id
+    ),
+    deep AS (SELECT *, coalesce(len(marks), 0) AS total, unnest(range(coalesce(len(marks), 0) + 1)) AS d FROM paths),
+    prefixes AS (
+        SELECT conv_id, d, total, coalesce(array_to_string(marks[1:d], ''), '') AS name,
+               CASE WHEN d > 0 THEN coalesce(array_to_string(marks[1:d - 1], ''), '') END AS parent,
+               CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size
+        FROM deep
+    ),
+    nodes AS (
+        SELECT name, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               (count(*) - 1) * any_value(size) AS saved,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = total), '')) AS ends_sha256
+        FROM prefixes GROUP BY name
+    ),
+    children AS (SELECT parent AS name, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+    above AS (
+        SELECT p.name, sum(CASE WHEN c.n IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(s.saved) AS saved
+        FROM nodes AS s LEFT JOIN children AS c USING (name) JOIN prefixes AS p ON p.conv_id = s.conv_id AND p.d <= s.depth
+        GROUP BY p.name
+    )
+    SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+           CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM nodes AS n JOIN above AS a USING (name) LEFT JOIN children AS c USING (name) LEFT JOIN nodes AS o ON o.name = n.parent
+    """,
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie.prefix_trie(rebuilt(prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))))
+    columns = ("n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return trie.nodes.select("conv_id", "depth", "parent_conv_id", *columns)
