@@ -134,8 +134,9 @@ class ShardReader:
     a partial aggregate; every other node is whole.
     """
 
-    def __init__(self, skeleton: frozenset[bytes]) -> None:
+    def __init__(self, skeleton: frozenset[bytes], ids_at_once: int) -> None:
         self.skeleton = skeleton
+        self.ids_at_once = ids_at_once
         self.open: list[OpenNode] = []
         self.rows: list[tuple] = []
         self.path: bytes | None = None
@@ -157,7 +158,7 @@ class ShardReader:
         node.n_convs += 1
         node.conv_id = id_ if node.conv_id is None else min(node.conv_id, id_)
         node.ids.append(id_)
-        if len(node.ids) >= IDS_AT_ONCE:
+        if len(node.ids) >= self.ids_at_once:
             self._chunk(node)
 
     def _chunk(self, node: OpenNode) -> None:
@@ -197,9 +198,9 @@ class ShardReader:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SHARD)], schema=SHARD)
 
 
-def _shards(skeleton):
+def _shards(skeleton, ids_at_once: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = ShardReader(skeleton.value)
+        reader = ShardReader(skeleton.value, ids_at_once)
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("id", "path", "sizes", "shard"))):
                 reader.read(*row)
@@ -246,7 +247,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([digest.hexdigest()])], ["name", "told"])
 
 
-def prefix_trie(conversations: DataFrame, *, shards: int | None = None) -> PrefixTrie:
+def prefix_trie(conversations: DataFrame, *, shards: int | None = None, ids_at_once: int = IDS_AT_ONCE) -> PrefixTrie:
     """The trie of conversations given as ``id`` (an integer) and ``turns`` (array of mark, size), see
     :func:`conversation_turns`.
 
@@ -259,7 +260,7 @@ def prefix_trie(conversations: DataFrame, *, shards: int | None = None) -> Prefi
     partitions if not given), so that even equal conversations are dealt to many. A node that goes on beyond its shard
     starts a splitter's path: the trie of these paths, the skeleton, is sent to all shards. It has a node per splitter
     and turn of one conversation at most, whatever the number of conversations. Shards finish all other nodes
-    in one sorted pass that holds one path; partial aggregates of the skeleton's nodes are combined by name, and the
+    in one sorted pass that holds one path and ``ids_at_once`` ids of a node; partial aggregates of the skeleton's nodes are combined by name, and the
     skeleton, which is small, is then summed from its leaves up. A conversation is one row, of 24 bytes a turn.
     """
     spark = conversations.sparkSession
@@ -274,7 +275,7 @@ def prefix_trie(conversations: DataFrame, *, shards: int | None = None) -> Prefi
 
     dealt = paths.mapInArrow(_dealt(sent[0]), "id long, path binary, sizes array<long>, shard int")
     in_order = dealt.repartitionById(len(splitters) + 1, "shard").sortWithinPartitions("shard", "path", "id")
-    read = stage(in_order.mapInArrow(_shards(sent[1]), SHARD_TYPE), "shards")
+    read = stage(in_order.mapInArrow(_shards(sent[1], ids_at_once), SHARD_TYPE), "shards")
     for value in sent:
         value.unpersist()
 

@@ -14,6 +14,7 @@ from lmtables.llm import (
     chat_tree,
     graph_ann,
     heavy_light,
+    merkle,
     prefix_counts,
     prefix_trie,
     quotient_dedup,
@@ -23,6 +24,7 @@ from lmtables.llm import (
     wrapper,
     zstd_quality,
 )
+from lmtables.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -236,3 +238,91 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     trie = prefix_trie.prefix_trie(rebuilt(prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))))
     columns = ("n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
     return trie.nodes.select("conv_id", "depth", "parent_conv_id", *columns)
+
+
+@register(
+    "op12_merkle",
+    f"""
+    WITH RECURSIVE told AS (
+        SELECT doc_id, source, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+               text, {CRC32.format("doc_id")} % 5 = 0 AS tampered
+        FROM documents
+    ),
+    leaves AS (
+        SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN tampered THEN sha256(head || coalesce(strlen(text) || ':' || translate(text,
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed
+        FROM told
+    ),
+    placed AS (
+        SELECT *, row_number() OVER () AS r,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+        FROM leaves
+    ),
+    trees AS (
+        SELECT source, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+        UNION ALL
+        SELECT source, level + 1, list_transform(range((len(nodes) + 15) // 16),
+               lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], ''))) FROM trees WHERE len(nodes) > 1
+    ),
+    subroots AS (
+        SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS spot FROM trees WHERE len(nodes) = 1
+    ),
+    top AS (
+        SELECT 0 AS level, list(subroot ORDER BY spot) AS nodes FROM subroots
+        UNION ALL
+        SELECT level + 1, list_transform(range((len(nodes) + 15) // 16),
+               lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], ''))) FROM top WHERE len(nodes) > 1
+    ),
+    ways AS (
+        SELECT r, level AS step, nodes, place // CAST(16 ** level AS BIGINT) AS p
+        FROM placed AS d JOIN trees AS t ON t.source IS NOT DISTINCT FROM d.source WHERE len(nodes) > 1
+        UNION ALL
+        SELECT r, 100 + level, nodes, spot // CAST(16 ** level AS BIGINT)
+        FROM placed AS d JOIN subroots AS s ON s.source IS NOT DISTINCT FROM d.source CROSS JOIN top WHERE len(nodes) > 1
+    ),
+    steps AS (
+        SELECT r, row_number() OVER (PARTITION BY r ORDER BY step) AS k,
+               array_to_string(nodes[p // 16 * 16 + 1:p], '') AS l, array_to_string(nodes[p + 2:p // 16 * 16 + 16], '') AS g
+        FROM ways
+    ),
+    proofs AS (SELECT r, string_agg(l || g, '' ORDER BY k) AS proof FROM steps GROUP BY r),
+    folds AS (
+        SELECT r, CAST(0 AS BIGINT) AS k, coalesce(changed, leaf) AS digest FROM placed
+        UNION ALL
+        SELECT r, f.k + 1, sha256(l || digest || g) FROM folds AS f JOIN steps AS s USING (r) WHERE s.k = f.k + 1
+    ),
+    ends AS (SELECT r, arg_max(digest, k) AS folded_root FROM folds GROUP BY r)
+    SELECT doc_id, leaf, subroot, nodes[1] AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+           folded_root = nodes[1] AS verified
+    FROM placed AS d JOIN subroots AS s ON s.source IS NOT DISTINCT FROM d.source CROSS JOIN top
+        JOIN ends USING (r) LEFT JOIN proofs USING (r)
+    WHERE len(nodes) = 1
+    """,
+)
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    leaves = docs.select(
+        "source",
+        F.col("doc_id").alias("id"),
+        merkle.leaf_digest([*fields, F.col("text")]).alias("digest"),
+        F.when(tampered, merkle.leaf_digest([*fields, F.translate("text", capitals, capitals.lower())])).alias("changed"),
+    )
+    made = merkle.manifest(stage(leaves, "digests"))
+    read = made.witnesses.withColumn("held", F.coalesce("changed", "digest"))
+    rows = merkle.folded(read, "held", made.sources, keep=["id", "digest", "subroot"])
+    root = F.lit(made.root.hex() if made.root else None).cast("string")
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.hex("digest")).alias("leaf"),
+        F.lower(F.hex("subroot")).alias("subroot"),
+        root.alias("root"),
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == root).alias("verified"),
+    )

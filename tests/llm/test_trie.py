@@ -7,7 +7,6 @@ from collections import defaultdict
 
 import pytest
 
-from lmtables.llm import prefix_trie as module
 from lmtables.llm.prefix_trie import conversation_turns, prefix_trie
 from lmtables.llm.queries import rebuilt
 
@@ -60,8 +59,8 @@ def found(trie):
     return sorted(map(tuple, trie.nodes.select(*FIGURES).collect()), key=repr)
 
 
-def check(spark, rows, shards):
-    trie = prefix_trie(conversation_turns(table(spark, rows)), shards=shards)
+def check(spark, rows, shards, **options):
+    trie = prefix_trie(conversation_turns(table(spark, rows)), shards=shards, **options)
     said = spoken(rows)
     assert found(trie) == sorted(by_hand(said), key=repr)
     names = {r.name: r for r in trie.nodes.collect()}
@@ -78,10 +77,9 @@ def test_any_shards(spark, shards):
     check(spark, rows, shards)
 
 
-def test_equal_conversations_go_to_many_shards(spark, monkeypatch):
-    monkeypatch.setattr(module, "IDS_AT_ONCE", 4)
+def test_equal_conversations_go_to_many_shards(spark):
     rows = [(c, t, "u", "same") for c in range(-30, 200) for t in range(2)]
-    check(spark, rows, 7)
+    check(spark, rows, 7, ids_at_once=4)
 
 
 def test_nulls_ties_repeats_and_long_texts(spark):
