@@ -15,6 +15,7 @@ from lmtables.llm import (
     graph_ann,
     heavy_light,
     merkle,
+    minhash,
     prefix_counts,
     prefix_trie,
     quotient_dedup,
@@ -326,3 +327,8 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == root).alias("verified"),
     )
+
+
+@register("op13_minhash")
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
