@@ -102,18 +102,30 @@ def missing_keys(raw: Column) -> Column:
 
 def metadata_reason(raw: Column, meta: Column, round_number: Column, base_revision: Column) -> Column:
     """First rule that a metadata document breaks, NULL if none; nulls fail every comparison."""
+    return F.coalesce(
+        _document_reason(raw, meta, round_number), _base_reason(meta, base_revision), _content_reason(meta)
+    )
 
-    def positive(field: str) -> Column:
-        return F.coalesce(meta[field] > 0, F.lit(False))
 
+def _document_reason(raw: Column, meta: Column, round_number: Column) -> Column:
     return (
         F.when(F.json_object_keys(raw).isNull(), "unreadable_metadata")
         .when(F.size(missing_keys(raw)) > 0, "missing_keys")
         .when(~meta["protocol_version"].eqNullSafe(F.lit(PROTOCOL_VERSION)), "protocol")
         .when(~meta["round"].eqNullSafe(round_number), "round")
-        .when(~meta["base_model_revision"].eqNullSafe(base_revision), "base_revision")
-        .when(~F.coalesce(F.size(meta["delta_files"]) > 0, F.lit(False)), "no_delta_files")
-        .when(~(positive("local_steps") & positive("num_tokens")), "non_positive")
+    )
+
+
+def _base_reason(meta: Column, base_revision: Column) -> Column:
+    return F.when(~meta["base_model_revision"].eqNullSafe(base_revision), "base_revision")
+
+
+def _content_reason(meta: Column) -> Column:
+    def positive(field: str) -> Column:
+        return F.coalesce(meta[field] > 0, F.lit(False))
+
+    return F.when(~F.coalesce(F.size(meta["delta_files"]) > 0, F.lit(False)), "no_delta_files").when(
+        ~(positive("local_steps") & positive("num_tokens")), "non_positive"
     )
 
 
@@ -145,18 +157,39 @@ def is_safe_path(path: Column, folder: Column) -> Column:
     return F.coalesce(path.startswith(folder) & path.endswith(PAYLOAD_SUFFIX), F.lit(False))
 
 
-def validate_submissions(
-    submissions: DataFrame,
-    events: DataFrame,
-    files: DataFrame,
-    documents: DataFrame,
-    rounds: DataFrame,
-    allowed: DataFrame | None = None,
+def revision_listing(files: DataFrame) -> DataFrame:
+    """Metadata and payload files of each revision: ``metadata_paths``, ``payload_paths``, from one read of the listing."""
+    is_metadata = F.col("path").startswith(UPDATE_ROOT + "/") & F.col("path").endswith("/" + METADATA_FILE)
+    is_payload = F.col("path").endswith(PAYLOAD_SUFFIX)
+    return files.where(is_metadata | is_payload).groupBy("repo_id", "revision").agg(
+        F.collect_list(F.when(is_metadata, F.col("path"))).alias("metadata_paths"),
+        F.collect_list(F.when(is_payload, F.col("path"))).alias("payload_paths"),
+    )
+
+
+def revision_documents(documents: DataFrame) -> DataFrame:
+    """The documents of each revision: ``bodies``, an array of path and body."""
+    return documents.groupBy("repo_id", "revision").agg(F.collect_list(F.struct("path", "body")).alias("bodies"))
+
+
+def first_payload_problem(delta_files: Column, folder: Column, listed: Column) -> Column:
+    """First bad path of a document, in its order: unsafe before missing; NULL if there is none."""
+    problems = F.transform(
+        delta_files,
+        lambda p: F.when(~is_safe_path(p, folder), "unsafe_path").when(
+            ~F.coalesce(F.array_contains(listed, p), F.lit(False)), "missing_file"
+        ),
+    )
+    return F.get(F.filter(problems, lambda p: p.isNotNull()), F.lit(0))
+
+
+def _read_candidates(
+    submissions: DataFrame, events: DataFrame, files: DataFrame, documents: DataFrame, allowed: DataFrame | None
 ) -> DataFrame:
-    """Candidates with their parsed metadata and ``reject_reason`` (NULL for a valid one).
+    """Candidates with their parsed metadata and ``early_reason``, a fault that shows before any document is read.
 
-    ``submissions.round`` names the round a submission is held against. Each table is read once for each fact taken
-    from it (the listing for metadata files and for payload files), and payload tables are not touched at all.
+    Listing and documents come as one row per revision, so that both meet the candidates in one exchange of these. A
+    candidate without a revision, or with an early fault, looks for one that does not exist: no null keys meet.
     """
     candidates = open_submissions(submissions)
     if allowed is None:
@@ -164,33 +197,30 @@ def validate_submissions(
     else:
         names = allowed.select("author", F.lit(True).alias("admitted")).distinct()
         candidates = candidates.join(names, "author", "left")
-    base = rounds.select(*ROUND, "base_model_revision")
-    bodies = documents.select("repo_id", "revision", F.col("path").alias("metadata_path"), "body")
+    fault = F.when(F.col("admitted").isNull(), "not_allowlisted").when(F.col("revision").isNull(), "no_commits")
+    nowhere = F.concat(F.lit("\0"), F.col("pr_num").cast("string"))
     located = (
         candidates.join(latest_revisions(events), ["repo_id", "pr_num"], "left")
-        .withColumn("round_folder", round_prefix(F.col("round")))
-        .join(metadata_locations(files), ["repo_id", "revision", "round_folder"], "left")
-        .withColumn(
-            "early_reason",
-            F.when(F.col("admitted").isNull(), "not_allowlisted")
-            .when(F.col("revision").isNull(), "no_commits")
-            .when(F.coalesce("metadata_files", F.lit(0)) != 1, "metadata_count"),
-        )
-        .withColumn("metadata_path", F.when(F.col("early_reason").isNull(), F.col("metadata_path")))
+        .withColumn("fault", fault)
+        .withColumn("looked_up", F.when(F.col("fault").isNull(), F.col("revision")).otherwise(nowhere))
     )
-    document = ["repo_id", "revision", "metadata_path"]
-    judged = (
-        located.join(bodies, document, "left")
-        .join(payload_problems(documents, files), document, "left")
-        .join(base, list(ROUND), "left")
+    for found in (revision_listing(files), revision_documents(documents)):
+        located = located.join(found.withColumnRenamed("revision", "looked_up"), ["repo_id", "looked_up"], "left")
+    prefix = round_prefix(F.col("round"))
+    in_round = F.filter(F.coalesce("metadata_paths", F.array().cast("array<string>")), lambda p: p.startswith(prefix))
+    path = F.when(F.size("in_round") == 1, F.get("in_round", F.lit(0)))
+    body = F.get(F.filter("bodies", lambda d: d["path"] == F.col("metadata_path")), F.lit(0))["body"]
+    return (
+        located.withColumn("in_round", in_round)
+        .withColumn("early_reason", F.coalesce("fault", F.when(F.size("in_round") != 1, "metadata_count")))
+        .withColumn("metadata_path", path)
+        .withColumn("body", body)
         .withColumn("meta", F.from_json("body", METADATA_SCHEMA))
     )
-    reason = F.coalesce(
-        F.col("early_reason"),
-        metadata_reason(F.col("body"), F.col("meta"), F.col("round"), F.col("base_model_revision")),
-        F.col("payload_problem"),
-    )
-    return judged.select(
+
+
+def _facts() -> list[Column | str]:
+    return [
         *ROUND,
         "pr_num",
         "created_at",
@@ -201,7 +231,51 @@ def validate_submissions(
         "revision",
         "metadata_path",
         "meta",
-        reason.alias("reject_reason"),
+    ]
+
+
+def _payload_reason() -> Column:
+    return first_payload_problem(F.col("meta.delta_files"), parent_dir(F.col("metadata_path")), F.col("payload_paths"))
+
+
+def validate_submissions(
+    submissions: DataFrame,
+    events: DataFrame,
+    files: DataFrame,
+    documents: DataFrame,
+    rounds: DataFrame,
+    allowed: DataFrame | None = None,
+) -> DataFrame:
+    """Candidates with their parsed metadata and ``reject_reason`` (NULL for a valid one).
+
+    ``submissions.round`` names the round a submission is held against. The listing and the documents are read once and
+    payload tables are not touched at all.
+    """
+    base = rounds.select(*ROUND, "base_model_revision")
+    judged = _read_candidates(submissions, events, files, documents, allowed).join(base, list(ROUND), "left")
+    document = metadata_reason(F.col("body"), F.col("meta"), F.col("round"), F.col("base_model_revision"))
+    return judged.select(*_facts(), F.coalesce("early_reason", document, _payload_reason()).alias("reject_reason"))
+
+
+def screen_submissions(
+    submissions: DataFrame,
+    events: DataFrame,
+    files: DataFrame,
+    documents: DataFrame,
+    allowed: DataFrame | None = None,
+) -> DataFrame:
+    """As :func:`validate_submissions`, for rounds that may not be open yet.
+
+    The base revision can only be judged once the round is open, so ``base_model_revision`` says what the metadata
+    claims. ``reject_reason`` has the faults that come before that rule, ``later_reason`` the first one behind it.
+    """
+    judged = _read_candidates(submissions, events, files, documents, allowed)
+    document = _document_reason(F.col("body"), F.col("meta"), F.col("round"))
+    return judged.select(
+        *_facts(),
+        F.col("meta.base_model_revision").alias("base_model_revision"),
+        F.coalesce("early_reason", document).alias("reject_reason"),
+        F.coalesce(_content_reason(F.col("meta")), _payload_reason()).alias("later_reason"),
     )
 
 
