@@ -17,7 +17,7 @@ from lmtables.operators import rounds as R
 from lmtables.session import checkpoint_root
 from lmtables.streaming.intake import start, submission_stream, validating_sink
 from lmtables.streaming.publish import active_momentum, coordinator_step
-from lmtables.streaming.quorum import quorum_stream, use_rocksdb
+from lmtables.streaming.quorum import EVENT_TYPES, quorum_stream, round_events, submission_events, use_rocksdb
 from lmtables.streaming.store import TableStore
 
 
@@ -33,18 +33,18 @@ def stream_of_submissions(inputs: Inputs) -> DataFrame:
     return raw.selectExpr(*[f"{e} AS {name}" for name, e in SUBMISSION_BASE.items()])
 
 
-def intake(inputs: Inputs) -> str:
+def intake(inputs: Inputs, *, rounds_known: bool = True) -> str:
     """Runs the intake over all submissions and returns the folder of its results."""
     folder = workspace(inputs, "intake")
 
     def tables() -> dict[str, DataFrame]:
-        return {
+        given = {
             "events": inputs("submission_events"),
             "files": inputs("repo_files"),
             "documents": inputs("documents_json"),
-            "rounds": inputs("rounds"),
             "allowed": inputs("allowed_authors"),
         }
+        return given | ({"rounds": inputs("rounds")} if rounds_known else {})
 
     sink = validating_sink(tables, f"{folder}/valid", f"{folder}/rejected")
     writer = stream_of_submissions(inputs).writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/log")
@@ -74,6 +74,52 @@ def _rejects(inputs: Inputs) -> DataFrame:
     return results(inputs, intake(inputs), "rejected").select("repo_id", "round", "pr_num", "reject_reason")
 
 
+# Events arrive as files of ten days, two of them out of order, and the stream runs after each. Every other submission
+# of most rounds comes a file later, and these rounds open when all of theirs are there; the others open first.
+DAYS = 10
+ARRIVAL = (0, 2, 1, 3, 4, 5)
+LATE = "round % 4 <> 0"
+
+
+def arrivals(inputs: Inputs, folder: str) -> str:
+    """Writes what the intake let through, and the openings of the rounds, by the file they arrive in."""
+    valid = submission_events(results(inputs, folder, "valid"))
+    opened = inputs("rounds").selectExpr(
+        "repo_id", "round", "base_model_revision", "policy", "'open' AS status", "CAST(round AS BIGINT) AS seq",
+        "named_struct('source_round', CAST(NULL AS INT)) AS last_merge",
+    )
+    file = f"CAST(floor(round / {DAYS}) AS INT)"
+    events = valid.withColumn("file", F.expr(f"{file} + CASE WHEN {LATE} THEN CAST(pr_num % 2 AS INT) ELSE 0 END")).unionByName(
+        round_events(opened).withColumn("file", F.expr(f"{file} + CASE WHEN {LATE} THEN 3 ELSE 0 END"))
+    )
+    events.write.partitionBy("file").parquet(f"{folder}/arriving")
+    return f"{folder}/arriving"
+
+
+def decisions_by_stream(inputs: Inputs, folder: str, max_per_author: int, *, trim: bool = True) -> DataFrame:
+    """Decisions of the quorum stream, which goes on from its checkpoint after each file."""
+    use_rocksdb(inputs.spark)
+    arriving = arrivals(inputs, folder)
+    schema = ", ".join(f"{c} {t}" for c, t in EVENT_TYPES.items())
+    inputs.spark.createDataFrame([], schema).write.parquet(f"{folder}/arrived")
+    for file in ARRIVAL:
+        rows = inputs.spark.read.schema(f"{schema}, file INT").parquet(arriving).where(F.col("file") == file)
+        rows.drop("file").write.mode("append").parquet(f"{folder}/arrived")
+        writer = (
+            quorum_stream(submission_stream(inputs.spark, f"{folder}/arrived", schema), max_per_author, trim=trim)
+            .writeStream.format("parquet")
+            .option("path", f"{folder}/decided")
+            .option("checkpointLocation", f"{folder}/quorum-log")
+        )
+        start(writer, once=True).awaitTermination()
+    return inputs.spark.read.parquet(f"{folder}/decided")
+
+
+def chosen_by_stream(inputs: Inputs, max_per_author: int) -> DataFrame:
+    decided = decisions_by_stream(inputs, intake(inputs, rounds_known=False), max_per_author)
+    return decided.where("decision = 'chosen'")
+
+
 @query(
     "late_round_reject",
     chain_sql(
@@ -82,29 +128,13 @@ def _rejects(inputs: Inputs) -> DataFrame:
     ),
 )
 def _late(inputs: Inputs) -> DataFrame:
-    return (
-        results(inputs, intake(inputs), "rejected")
-        .where(F.col("reject_reason").isin("round", "base_revision"))
-        .groupBy("repo_id", "round", "reject_reason")
-        .agg(F.count("*").alias("late"))
-    )
-
-
-def chosen_by_stream(inputs: Inputs, max_per_author: int) -> DataFrame:
-    """Both streams one after the other; all rows of a round arrive in the same batch."""
-    use_rocksdb(inputs.spark)
-    folder = intake(inputs)
-    valid = results(inputs, folder, "valid").drop("batch")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in valid.schema.fields)
-    stream = inputs.spark.readStream.schema(schema).parquet(f"{folder}/valid/batch=*")
-    writer = (
-        quorum_stream(stream, inputs("rounds"), max_per_author)
-        .writeStream.format("parquet")
-        .option("path", f"{folder}/chosen")
-        .option("checkpointLocation", f"{folder}/quorum-log")
-    )
-    start(writer, once=True).awaitTermination()
-    return inputs.spark.read.parquet(f"{folder}/chosen")
+    """For another round: seen at once. On another base: told when the round opens, maybe many batches later."""
+    folder = intake(inputs, rounds_known=False)
+    at_once = results(inputs, folder, "rejected").where("reject_reason = 'round'").select("repo_id", "round", "reject_reason")
+    # Untrimmed: a repeated submission of one identity is turned away as well.
+    decided = decisions_by_stream(inputs, folder, MAX_PER_AUTHOR, trim=False).where("reason = 'base_revision'")
+    later = decided.select("repo_id", "round", F.col("reason").alias("reject_reason"))
+    return at_once.unionByName(later).groupBy("repo_id", "round", "reject_reason").agg(F.count("*").alias("late"))
 
 
 @query(

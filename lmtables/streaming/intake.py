@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from lmtables.operators.submissions import validate_submissions
+from lmtables.operators.submissions import screen_submissions, validate_submissions
 from lmtables.session import stage
 
 # Fixed value: seconds between two polls.
@@ -25,7 +25,12 @@ def submission_stream(
 
 
 def start(writer: DataStreamWriter, *, once: bool, poll_seconds: int = POLL_SECONDS) -> StreamingQuery:
-    """One pass over what is there, or a pass per poll interval."""
+    """One pass over what is there, or a pass per poll interval.
+
+    State with timers asks for batches without data for ever, so a single pass goes without them: its timers fire with
+    the next data, those of a polling stream at the next poll.
+    """
+    SparkSession.active().conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not once).lower())
     if once:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{poll_seconds} seconds").start()
@@ -37,11 +42,14 @@ def validating_sink(
     """A ``foreachBatch`` function that splits a batch into valid and rejected submissions.
 
     ``tables`` gives events, files, documents, rounds and the allow list as of now; a submission for another round
-    or base revision is late and goes to the rejects with its reason. A repeated batch replaces its own output.
+    or base revision is late and goes to the rejects with its reason. Without ``rounds`` it is only screened: what
+    depends on the opening of its round is left to the quorum stream. A repeated batch replaces its own output.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        judged = stage(validate_submissions(batch, **tables()), "judged")
+        given = tables()
+        judge = validate_submissions if "rounds" in given else screen_submissions
+        judged = stage(judge(batch, **given), "judged")
         columns = [c for c in judged.columns if c != "meta"]
         for condition, path in (("reject_reason IS NULL", valid_path), ("reject_reason IS NOT NULL", reject_path)):
             judged.where(condition).select(*columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

@@ -19,6 +19,7 @@ from lmtables.operators import rounds as R
 from lmtables.operators.merge import merge_round, verify_updates
 from lmtables.operators.submissions import ROUND, select_quorum
 from lmtables.session import stage
+from lmtables.streaming.quorum import quorum_stream, reopening_events, round_events, submission_events, union_events
 from lmtables.streaming.store import TableStore
 
 
@@ -31,10 +32,11 @@ def coordinator_step(
     max_delta_norm: float = 0.0,
     momentum_dtype: str = "float32",
     strict: bool = False,
+    reopen: bool = False,
     after: Callable[[str], None] = lambda point: None,
 ) -> None:
     """``accepted`` holds accepted submissions of open rounds; ``after`` is called behind each write (for tests)."""
-    lock_ready_rounds(store, accepted, now, strict=strict)
+    lock_ready_rounds(store, accepted, now, strict=strict, reopen=reopen)
     after("lock")
     publish_merges(
         store, now, weighting=weighting, max_delta_norm=max_delta_norm, momentum_dtype=momentum_dtype, after=after
@@ -42,27 +44,35 @@ def coordinator_step(
     finalize_merges(store, now, after=after)
 
 
-def lock_ready_rounds(store: TableStore, accepted: DataFrame | None, now: Column | str, *, strict: bool) -> None:
+def lock_ready_rounds(
+    store: TableStore, accepted: DataFrame | None, now: Column | str, *, strict: bool, reopen: bool = False
+) -> None:
     """Verifies the payload of the chosen submissions and locks their rounds.
 
-    A bad payload raises when ``strict``; otherwise it is put aside and the quorum is tested again without it.
+    A bad payload raises when ``strict``; otherwise it is put aside and the quorum is tested again without it. With
+    ``reopen``, ``accepted`` are sets chosen elsewhere: a set with a bad payload is not locked at all, as what is put
+    aside reopens its round there and another set will come.
     """
     if accepted is None:
         return
     states = R.current_states(store.read("rounds")).where("status = 'open'")
     fresh = accepted.join(states.select(*ROUND, "base_model_revision"), list(ROUND))
-    known_bad = store.read("quarantine").select("repo_id", "round", "update_id")
-    usable = stage(fresh.join(known_bad, [*ROUND, "update_id"], "left_anti"), "usable")
+    known_bad = store.read("quarantine").select(*ROUND, "pr_num")
+    left_out = [*ROUND] if reopen else [*ROUND, "pr_num"]
+    if reopen:
+        known_bad = fresh.join(known_bad, [*ROUND, "pr_num"], "left_semi")
+    usable = stage(fresh.join(known_bad.select(*left_out), left_out, "left_anti"), "usable")
     while True:
         chosen = stage(select_quorum(usable, states), "chosen")
         if chosen.isEmpty():
             return
         report = verify_updates(chosen, store.read("deltas"), store.read("models"), strict=strict)
-        bad = stage(report.where("problem IS NOT NULL").join(chosen.select(*ROUND, "update_id"), "update_id"), "bad")
+        named = chosen.select(*ROUND, "pr_num", "update_id")
+        bad = stage(report.where("problem IS NOT NULL").join(named, "update_id"), "bad")
         if bad.isEmpty():
             break
         store.append("quarantine", bad)
-        usable = usable.join(bad.select(*ROUND, "update_id"), [*ROUND, "update_id"], "left_anti")
+        usable = usable.join(bad.select(*left_out), left_out, "left_anti")
     store.append("rounds", R.lock_rounds(states, chosen, now))
 
 
@@ -144,14 +154,23 @@ def active_momentum(store: TableStore) -> DataFrame:
 
 
 def publishing_sink(store: TableStore, now: Callable[[], str], **options: object) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges the rounds a quorum stream hands on.
+    """A ``foreachBatch`` function that merges the sets a quorum stream hands on.
 
-    A repeated batch finds its rounds already moved on and changes nothing; one that was cut off is finished from the
-    tables, as in :func:`coordinator_step`.
+    A bad payload goes to the table ``quarantine``, from which the stream reopens the round; the states it writes open
+    the next round there. A repeated batch finds its rounds already moved on and changes nothing; one that was cut
+    off is finished from the tables, as in :func:`coordinator_step`.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        chosen = stage(batch.drop("merge_rank"), f"chosen-{batch_id}")
-        coordinator_step(store, chosen, now(), **options)
+        chosen = batch.where("decision = 'chosen'").drop("decision", "attempt", "reason", "merge_rank")
+        coordinator_step(store, stage(chosen, f"chosen-{batch_id}"), now(), reopen=True, **options)
 
     return sink
+
+
+def round_stream(store: TableStore, submissions: DataFrame, max_per_author: int = 1, **options: object) -> DataFrame:
+    """The quorum stream of a store: submissions, every state that is written to it, and what is put aside."""
+    events = union_events(
+        submission_events(submissions), round_events(store.stream("rounds")), reopening_events(store.stream("quarantine"))
+    )
+    return quorum_stream(events, max_per_author, **options)

@@ -1,11 +1,15 @@
-"""The stateful part of discovery: hold candidates per round until there are enough, then emit them once."""
+"""The stateful part of discovery: rounds and submissions as events, chosen sets as decisions.
+
+A round is a key of the state. It opens, collects, hands on a chosen set, may come back when a payload was bad, and is
+finished; each of these is an event of the stream, in any order and in any batch.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -13,118 +17,283 @@ KEY = ["repo_id", "round"]
 IDENTITY = [*KEY, "author", "worker_id"]
 TIME = ["created_at", "pr_num"]
 CARRIED = ["author", "worker_id", "update_id", "num_tokens", "revision", "metadata_path"]
-COLUMNS = [*KEY, "pr_num", "created_at", *CARRIED, "min_updates", "max_updates"]
+HELD = [*CARRIED, "base_model_revision", "later_reason"]
+ROW = [*KEY, "pr_num", "created_at", *HELD]
 VALUE_SCHEMA = (
     "created_us BIGINT, author STRING, worker_id STRING, update_id STRING, num_tokens BIGINT, revision STRING, "
-    "metadata_path STRING"
+    "metadata_path STRING, base_model_revision STRING, later_reason STRING"
 )
-OUTPUT_SCHEMA = (
-    "repo_id STRING, round INT, pr_num BIGINT, created_at TIMESTAMP, author STRING, worker_id STRING, update_id STRING, "
-    "num_tokens BIGINT, revision STRING, metadata_path STRING, merge_rank INT"
+EVENT_TYPES = {
+    "kind": "string", "repo_id": "string", "round": "int", "pr_num": "bigint", "created_at": "timestamp",
+    "author": "string", "worker_id": "string", "update_id": "string", "num_tokens": "bigint", "revision": "string",
+    "metadata_path": "string", "base_model_revision": "string", "later_reason": "string", "seq": "bigint",
+    "min_updates": "int", "max_updates": "int",
+}
+DECISION_SCHEMA = (
+    "decision STRING, attempt INT, reason STRING, repo_id STRING, round INT, pr_num BIGINT, created_at TIMESTAMP, "
+    "author STRING, worker_id STRING, update_id STRING, num_tokens BIGINT, revision STRING, metadata_path STRING, "
+    "merge_rank INT"
 )
+DECISION_COLUMNS = [c.split(" ")[0] for c in DECISION_SCHEMA.split(", ")]
+ROWS_AT_ONCE = 4096
+WAIT_MS = 7 * 24 * 3600 * 1000
+CLOSED_MS = 7 * 24 * 3600 * 1000
+
+
+def _events(rows: DataFrame, kind: Column, columns: list[str]) -> DataFrame:
+    known = {"kind": kind} | {c: F.col(c) for c in columns}
+    return rows.select(*(known.get(c, F.lit(None)).cast(t).alias(c) for c, t in EVENT_TYPES.items()))
+
+
+def submission_events(rows: DataFrame) -> DataFrame:
+    """From submissions that passed the rules that need no round. With ``base_model_revision``, what the metadata
+    claims, the base is judged against the opening; with ``later_reason`` so are the faults behind that rule."""
+    optional = [c for c in ("base_model_revision", "later_reason") if c in rows.columns]
+    return _events(rows, F.lit("submission"), [*KEY, *TIME, *CARRIED, *optional])
+
+
+def withdrawal_events(rows: DataFrame) -> DataFrame:
+    return _events(rows, F.lit("withdrawal"), [*KEY, "pr_num"])
+
+
+def reopening_events(quarantine: DataFrame) -> DataFrame:
+    """From submissions with a bad payload: their round goes on without them."""
+    return _events(quarantine, F.lit("reopening"), [*KEY, "pr_num"])
+
 
+def round_events(states: DataFrame) -> DataFrame:
+    """From states of rounds as they are written: an open state opens its round and finishes the one merged before."""
+    opened = F.struct(
+        F.lit("opening").alias("kind"), "round", "base_model_revision", "seq",
+        F.col("policy.min_updates").alias("min_updates"), F.col("policy.max_updates").alias("max_updates"),
+    )
+    finished = F.struct(
+        F.lit("finished").alias("kind"), F.col("last_merge.source_round").alias("round"),
+        F.lit(None).cast("string").alias("base_model_revision"), "seq",
+        F.lit(None).cast("int").alias("min_updates"), F.lit(None).cast("int").alias("max_updates"),
+    )
+    both = states.where("status = 'open'").select("repo_id", F.explode(F.array(opened, finished)).alias("e"))
+    rows = both.select("repo_id", "e.*").where("round IS NOT NULL")
+    return _events(rows, F.col("kind"), [*KEY, "base_model_revision", "seq", "min_updates", "max_updates"])
 
-def keep_earliest(rows: pd.DataFrame, max_per_author: int) -> pd.DataFrame:
+
+def union_events(first: DataFrame, *others: DataFrame) -> DataFrame:
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+def keep_earliest(rows: pd.DataFrame, max_per_author: int, max_updates: int | None = None, within: list[str] = KEY) -> pd.DataFrame:
     """First row per identity, first identities per author, then the first ``max_updates`` of the round, by time.
 
     Applying it to parts first changes nothing: whatever a part cuts off has enough accepted rows before it, and a row
     that is displaced later gives way to an earlier one.
     """
-    ordered = rows.sort_values(TIME, kind="stable").drop_duplicates(IDENTITY)
-    accepted = ordered.groupby([*KEY, "author"], sort=False, dropna=False).head(max_per_author)
-    return accepted[accepted.groupby(KEY, sort=False).cumcount() < accepted["max_updates"]]
+    ordered = rows.sort_values(TIME, kind="stable").drop_duplicates([*within, "author", "worker_id"])
+    accepted = ordered.groupby([*within, "author"], sort=False, dropna=False).head(max_per_author)
+    return accepted if max_updates is None else accepted[accepted.groupby(within, sort=False).cumcount() < max_updates]
 
 
 class QuorumProcessor(StatefulProcessor):
-    """State of a round: its candidates by number (fewer than the minimum, else they would have been emitted)."""
+    """State of one round, one row of the state store per candidate; tasks hold ROWS_AT_ONCE of them at a time.
+
+    ``opening``: base revision and limits, once known. ``candidates`` by number. ``aside``: numbers that take no part any
+    more. ``attempt``: how many sets were handed on, and whether the last one is out. ``closed``: the round is finished;
+    it is all that is left of it then, and goes by itself.
+    """
 
-    def __init__(self, max_per_author: int, withdrawals: bool) -> None:
-        self.max_per_author = max_per_author
-        self.withdrawals = withdrawals
+    def __init__(self, max_per_author: int, trim: bool, wait_ms: int, closed_ms: int) -> None:
+        self.max_per_author, self.trim, self.wait_ms, self.closed_ms = max_per_author, trim, wait_ms, closed_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.opening = handle.getValueState("opening", "base_model_revision STRING, min_updates INT, max_updates INT, seq BIGINT")
         self.candidates = handle.getMapState("candidates", "pr_num BIGINT", VALUE_SCHEMA)
-        self.emitted = handle.getValueState("emitted", "done BOOLEAN")
+        self.aside = handle.getMapState("aside", "pr_num BIGINT", "done BOOLEAN")
+        self.attempt = handle.getValueState("attempt", "number INT, out BOOLEAN")
+        self.closed = handle.getValueState("closed", "seq BIGINT", self.closed_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.emitted.exists():
-            return
-        held, minimum = self._held(key), None
+        opening, finished, gone = None, None, []
         for batch in rows:
-            minimum = batch["min_updates"].iloc[-1]
-            held["max_updates"] = batch["max_updates"].iloc[-1]
-            held = self._merged(held, batch)
-        chosen = keep_earliest(held, self.max_per_author)
-        if minimum is not None and len(chosen) >= minimum:
-            self.emitted.update((True,))
-            self.candidates.clear()
-            columns = [*KEY, "pr_num", "created_at", *CARRIED]
-            yield chosen[columns].assign(merge_rank=pd.Series(range(1, len(chosen) + 1), index=chosen.index, dtype="int32"))
-        else:
-            self._store(held if self.withdrawals else chosen)
-
-    def _merged(self, held: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-        if self.withdrawals:
-            gone = batch.loc[batch["withdrawn"], "pr_num"]
-            merged = pd.concat([held, batch.loc[~batch["withdrawn"], held.columns]])
-            return merged[~merged["pr_num"].isin(gone)].drop_duplicates("pr_num")
-        return keep_earliest(pd.concat([held, batch[held.columns]]), self.max_per_author)
-
-    def _held(self, key) -> pd.DataFrame:
-        rows = [(*key, pr[0], pd.Timestamp(value[0], unit="us"), *value[1:]) for pr, value in self.candidates.iterator()]
-        held = pd.DataFrame(rows, columns=[*KEY, "pr_num", "created_at", *CARRIED])
-        return held.astype({"pr_num": "int64", "created_at": "datetime64[ns]"})
-
-    def _store(self, held: pd.DataFrame) -> None:
-        keep = set(held["pr_num"])
-        for pr in [pr for pr, _ in self.candidates.iterator() if pr[0] not in keep]:
-            self.candidates.removeKey(pr)
-        for row in held.itertuples(index=False):
-            value = (row.created_at.value // 1000, *[getattr(row, name) for name in CARRIED])
-            self.candidates.updateValue((int(row.pr_num),), value)
-
-
-def combine_locally(stream: DataFrame, max_per_author: int) -> DataFrame:
-    """Cuts each task's rows to what can still be chosen, before the shuffle on the round.
-
-    A round with most of the input then sends at most ``max_updates`` rows per task, and the result is the same.
+            for kind, part in batch.groupby("kind", sort=False):
+                if kind == "submission":
+                    self._hold(part)
+                elif kind in ("withdrawal", "reopening"):
+                    gone += [int(pr) for pr in part["pr_num"]]
+                    self._reopen(kind)
+                else:
+                    last = part.loc[part["seq"].idxmax()]
+                    if kind == "opening" and (opening is None or last["seq"] > opening["seq"]):
+                        opening = last
+                    elif kind == "finished":
+                        finished = max(int(last["seq"]), finished or 0)
+        for pr in gone:
+            self.aside.updateValue((pr,), (True,))
+            self.candidates.removeKey((pr,))
+        yield from self._settle(key, opening, finished)
+        if self.opening.exists():
+            yield from self._decide(key)
+        elif next(self.candidates.iterator(), None) is not None and not list(self.handle.listTimers()):
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The round never opened: what waited for it is turned away."""
+        if not self.opening.exists():
+            yield from self._rejected(key, lambda row: "round")
+            self.aside.clear()
+
+    def _hold(self, part: pd.DataFrame) -> None:
+        for row in part.sort_values(TIME, kind="stable").itertuples(index=False):
+            number = (int(row.pr_num),)
+            if not self.aside.containsKey(number):
+                # Numbers that are null in some rows come as floats.
+                carried = [None if pd.isna(v) else int(v) if n == "num_tokens" else v for n, v in ((n, getattr(row, n)) for n in HELD)]
+                self.candidates.updateValue(number, (pd.Timestamp(row.created_at).value // 1000, *carried))
+
+    def _reopen(self, kind: str) -> None:
+        if kind == "reopening" and self.attempt.exists():
+            self.attempt.update((self.attempt.get()[0], False))
+
+    def _settle(self, key, opening, finished: int | None) -> Iterator[pd.DataFrame]:
+        """Takes in the end or the opening of the round, the later of the two if both are told, and judges who waits."""
+        if self.closed.exists():
+            finished = max(self.closed.get()[0], finished or 0)
+        known = self.opening.get() if self.opening.exists() else None
+        newest = max(int(opening["seq"]) if opening is not None else -1, known[3] if known else -1)
+        if finished is not None and finished >= newest:
+            self.closed.update((finished,))
+            yield from self._rejected(key, lambda row: "round") if not known else ()
+            for state in (self.opening, self.candidates, self.aside, self.attempt):
+                state.clear()
+            self._forget_timers()
+            return
+        if opening is not None and (known is None or int(opening["seq"]) > known[3]):
+            self.closed.clear()
+            self.attempt.clear()
+            self._forget_timers()
+            known = (opening["base_model_revision"], int(opening["min_updates"]), int(opening["max_updates"]), int(opening["seq"]))
+            self.opening.update(known)
+        if known:
+            yield from self._rejected(key, lambda row: _fault(row, known[0]))
+
+    def _forget_timers(self) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+
+    def _rejected(self, key, fault) -> Iterator[pd.DataFrame]:
+        for held in self._chunks(key):
+            reasons = [fault(row) for row in held.itertuples(index=False)]
+            bad = held[[r is not None for r in reasons]]
+            for pr in bad["pr_num"]:
+                self.candidates.removeKey((int(pr),))
+            if len(bad):
+                yield _decided(bad, "rejected", 0, [r for r in reasons if r is not None], None)
+
+    def _decide(self, key) -> Iterator[pd.DataFrame]:
+        if self.attempt.exists() and self.attempt.get()[1]:
+            return
+        _, least, most, _ = self.opening.get()
+        kept = None
+        for held in self._chunks(key):
+            kept = keep_earliest(held if kept is None else pd.concat([kept, held]), self.max_per_author, most)
+        if kept is None:
+            return
+        if len(kept) >= least:
+            number = self.attempt.get()[0] + 1 if self.attempt.exists() else 1
+            self.attempt.update((number, True))
+            if self.trim:
+                self.candidates.clear()
+            yield _decided(kept, "chosen", number, None, range(1, len(kept) + 1))
+        elif self.trim:
+            keep = set(kept["pr_num"])
+            for pr in [pr for pr, _ in self.candidates.iterator() if pr[0] not in keep]:
+                self.candidates.removeKey(pr)
+
+    def _chunks(self, key) -> Iterator[pd.DataFrame]:
+        """Candidates of the state, some at a time. A chunk is read to its end before it is given out."""
+        source, begun = self.candidates.iterator(), True
+        while begun:
+            rows = []
+            for pr, value in source:
+                rows.append((*key, pr[0], pd.Timestamp(value[0], unit="us"), *value[1:]))
+                if len(rows) == ROWS_AT_ONCE:
+                    break
+            begun = len(rows) == ROWS_AT_ONCE
+            if rows:
+                held = pd.DataFrame(rows, columns=ROW)
+                yield held.astype({"pr_num": "int64", "created_at": "datetime64[ns]"})
+
+
+def _fault(row, base: str) -> str | None:
+    """None for a submission that may be chosen. Without a claimed base the rule was applied before."""
+    if row.base_model_revision is not None and row.base_model_revision != base:
+        return "base_revision"
+    return row.later_reason
+
+
+def _decided(rows: pd.DataFrame, decision: str, attempt: int, reasons, ranks) -> pd.DataFrame:
+    out = rows[[*KEY, "pr_num", "created_at", *CARRIED]].assign(decision=decision, attempt=attempt)
+    out["reason"] = pd.Series(reasons, index=out.index, dtype="object") if reasons else None
+    out["merge_rank"] = pd.array(list(ranks) if ranks else [None] * len(out), dtype="Int32")
+    return out[DECISION_COLUMNS]
+
+
+def combine_locally(events: DataFrame, max_per_author: int) -> DataFrame:
+    """Cuts each task's submissions to what can still be chosen, before the shuffle on the round.
+
+    A round with most of the input then sends a few rows per author and task, and the result is the same as long as no
+    submission is taken out again. Submissions with different claims about their base are kept apart; those that
+    will be turned away when the round opens all go on.
     """
+    base = [*KEY, "base_model_revision"]
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
         for batch in batches:
-            kept = keep_earliest(batch if kept is None else pd.concat([kept, batch]), max_per_author)
+            usable = (batch["kind"] == "submission") & batch["later_reason"].isna()
+            if (~usable).any():
+                yield batch[~usable]
+            if usable.any():
+                part = batch[usable].copy()
+                part["base_model_revision"] = part["base_model_revision"].fillna("")
+                kept = keep_earliest(part if kept is None else pd.concat([kept, part]), max_per_author, within=base)
         if kept is not None:
-            yield kept
+            yield kept.assign(base_model_revision=kept["base_model_revision"].where(kept["base_model_revision"] != "", None))
 
-    return stream.mapInPandas(combine, stream.schema)
+    return events.mapInPandas(combine, events.schema)
 
 
 def quorum_stream(
-    valid: DataFrame, rounds: DataFrame, max_per_author: int = 1, *, withdrawals: bool = False
+    events: DataFrame,
+    max_per_author: int = 1,
+    *,
+    trim: bool = False,
+    wait_ms: int = WAIT_MS,
+    closed_ms: int = CLOSED_MS,
 ) -> DataFrame:
-    """Chosen submissions of each round, emitted once when the minimum is met.
+    """Decisions about the submissions of each round: the ``chosen`` sets, and those ``rejected`` with a reason.
+
+    ``events`` is a stream of submissions, openings, withdrawals, reopenings and ends of rounds (see the functions that
+    make them, and :func:`union_events`). Submissions wait for their round to open, ``wait_ms`` at most, and are judged
+    against its base then. A set is handed on once, as soon as the minimum is met; candidates are ranked by time at each
+    decision, so an earlier submission that arrives late takes the place of a later one. A reopening takes a
+    submission out and lets the round hand on another set, as its next attempt; a withdrawal only takes it out. A
+    finished round leaves a mark, which goes after ``closed_ms``; later submissions are rejected by it.
 
-    ``valid`` is a stream of valid submissions. At each decision the candidates are ranked by time again, so an
-    earlier submission that arrives late takes the place of a later one. With ``withdrawals``, rows whose
-    ``withdrawn`` is true take a submission out, and all candidates are held in case one has to move up.
+    Every candidate is held until its round is finished, as it may have to move up. With ``trim``, those that cannot be
+    chosen any more go at once, before the shuffle as well; withdrawals and reopenings find no substitute then.
+    Events without a repository or a round belong to no round and are left out.
     """
-    limits = rounds.select(
-        *KEY, F.col("policy.min_updates").alias("min_updates"), F.col("policy.max_updates").alias("max_updates")
-    )
-    columns = [*COLUMNS, "withdrawn"] if withdrawals else COLUMNS
-    narrow = (
-        valid.join(limits, KEY)
-        .withColumn("created_at", F.col("created_at").cast("timestamp"))
-        .select(*columns)
-    )
-    if not withdrawals:
-        narrow = combine_locally(narrow, max_per_author)
-    return narrow.groupBy(*KEY).transformWithStateInPandas(
-        statefulProcessor=QuorumProcessor(max_per_author, withdrawals),
-        outputStructType=OUTPUT_SCHEMA,
+    # A null would also turn the other rounds of its batch into floats, which are keys of their own.
+    events = events.where("repo_id IS NOT NULL AND round IS NOT NULL")
+    if trim:
+        events = combine_locally(events, max_per_author)
+    return events.groupBy(*KEY).transformWithStateInPandas(
+        statefulProcessor=QuorumProcessor(max_per_author, trim, wait_ms, closed_ms),
+        outputStructType=DECISION_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime",
     )
 
 

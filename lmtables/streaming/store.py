@@ -15,7 +15,7 @@ SCHEMAS = {
     "momentum": f"{TENSOR_COLUMNS}, repo_id STRING, completed_round INT",
     "deltas": f"{TENSOR_COLUMNS}, update_id STRING",
     "closed": "repo_id STRING, pr_num BIGINT, merged_round INT",
-    "quarantine": "repo_id STRING, round INT, update_id STRING, problem STRING",
+    "quarantine": "repo_id STRING, round INT, pr_num BIGINT, update_id STRING, problem STRING",
 }
 PARTITIONS = {
     "models": ("repo_id", "revision"),
@@ -40,6 +40,11 @@ class TableStore:
                 raise
             return self.spark.createDataFrame([], SCHEMAS[name])
 
+    def stream(self, name: str) -> DataFrame:
+        """Rows of an append-only table as they are written, from its first one on."""
+        self.spark.createDataFrame([], SCHEMAS[name]).write.mode("append").parquet(self.path(name))
+        return self.spark.readStream.schema(SCHEMAS[name]).parquet(self.path(name))
+
     def append(self, name: str, rows: DataFrame) -> None:
         columns = self.spark.createDataFrame([], SCHEMAS[name]).columns
         rows.select(*columns).write.mode("append").parquet(self.path(name))

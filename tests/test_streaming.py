@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -11,73 +12,146 @@ from pyspark.sql import functions as F
 
 from lmtables.operators import submissions as S
 from lmtables.streaming.intake import start, submission_stream, validating_sink
+from lmtables.streaming import quorum as Q
 from lmtables.streaming.quorum import IDENTITY, keep_earliest, quorum_stream, use_rocksdb
 
 T0 = dt.datetime(2024, 1, 1)
-SCHEMA = (
-    "repo_id STRING, round INT, pr_num BIGINT, created_at TIMESTAMP, author STRING, worker_id STRING, update_id STRING, "
-    "num_tokens BIGINT, revision STRING, metadata_path STRING, withdrawn BOOLEAN"
-)
 
 
-def rounds(spark, low, high, count=3):
-    return spark.range(count).selectExpr(
-        "'r' AS repo_id", "CAST(id AS INT) AS round", f"named_struct('min_updates', {low}, 'max_updates', {high}) AS policy"
-    )
+EVENTS = ", ".join(f"{c} {t}" for c, t in Q.EVENT_TYPES.items())
+
+
+def event(kind, number, pr=None, second=None, author=None, worker=None, **values):
+    row = {"kind": kind, "repo_id": "r", "round": number, "pr_num": pr, "author": author, "worker_id": worker}
+    if kind == "submission":
+        row |= {"created_at": T0 + dt.timedelta(seconds=second), "update_id": f"u{pr}", "num_tokens": 10, "revision": "rev", "metadata_path": "path"}
+    return row | values
+
+
+def opening(number, low, high, base=None, seq=None):
+    return event("opening", number, min_updates=low, max_updates=high, base_model_revision=base, seq=number if seq is None else seq)
 
 
 def arrive(spark, folder, rows):
-    full = [
-        ("r", number, pr, T0 + dt.timedelta(seconds=second), author, worker, f"u{pr}", 10, "rev", "path", withdrawn)
-        for number, pr, second, author, worker, withdrawn in rows
-    ]
-    spark.createDataFrame(full, SCHEMA).repartition(2).write.mode("append").parquet(str(folder))
+    """Rows are events, or submissions in short."""
+    full = [r if isinstance(r, dict) else event("submission", *r) for r in rows]
+    spark.createDataFrame([tuple(r.get(c) for c in Q.EVENT_TYPES) for r in full], EVENTS).repartition(2).write.mode("append").parquet(str(folder))
 
 
-def drain(spark, tmp_path, low, high, cap, **options):
+def decisions(spark, tmp_path, cap=1, **options):
+    """One run over what is new; all decisions so far."""
     use_rocksdb(spark)
-    stream = submission_stream(spark, str(tmp_path / "in"), SCHEMA)
+    stream = submission_stream(spark, str(tmp_path / "in"), EVENTS)
     writer = (
-        quorum_stream(stream, rounds(spark, low, high), cap, **options)
+        quorum_stream(stream, cap, **options)
         .writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "log"))
     )
     start(writer, once=True).awaitTermination()
+    return spark.read.parquet(str(tmp_path / "out")).orderBy("round", "attempt", "merge_rank", "pr_num").collect()
+
+
+def drain(spark, tmp_path, cap=1, **options):
     found = {}
-    for r in spark.read.parquet(str(tmp_path / "out")).orderBy("merge_rank").collect():
-        found.setdefault(r["round"], []).append(r.pr_num)
+    for r in decisions(spark, tmp_path, cap, **options):
+        if r.decision == "chosen":
+            found.setdefault((r["round"], r.attempt), []).append(r.pr_num)
     return found
 
 
-def test_late_earlier_submission_displaces_its_rival(spark, tmp_path):
-    arrive(spark, tmp_path / "in", [(0, 5, 50, "a", "w1", False)])
-    assert drain(spark, tmp_path, 2, 2, 1) == {}
-    arrive(spark, tmp_path / "in", [(0, 3, 30, "a", "w2", False), (1, 9, 90, "b", "w", False)])
-    assert drain(spark, tmp_path, 2, 2, 1) == {}
-    arrive(spark, tmp_path / "in", [(0, 4, 40, "b", "w", False)])
-    assert drain(spark, tmp_path, 2, 2, 1) == {0: [3, 4]}
-    arrive(spark, tmp_path / "in", [(0, 1, 10, "c", "w", False), (1, 8, 80, "c", "w", False)])
-    assert drain(spark, tmp_path, 2, 2, 1) == {0: [3, 4], 1: [8, 9]}
+def state_rows(spark, tmp_path, name, **options):
+    reader = spark.read.format("statestore").option("stateVarName", name).options(**options)
+    return reader.load(str(tmp_path / "log")).collect()
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_late_earlier_submission_displaces_its_rival(spark, tmp_path, trim):
+    arrive(spark, tmp_path / "in", [opening(0, 2, 2), opening(1, 2, 2), (0, 5, 50, "a", "w1")])
+    assert drain(spark, tmp_path, trim=trim) == {}
+    arrive(spark, tmp_path / "in", [(0, 3, 30, "a", "w2"), (1, 9, 90, "b", "w")])
+    assert drain(spark, tmp_path, trim=trim) == {}
+    arrive(spark, tmp_path / "in", [(0, 4, 40, "b", "w")])
+    assert drain(spark, tmp_path, trim=trim) == {(0, 1): [3, 4]}
+    arrive(spark, tmp_path / "in", [(0, 1, 10, "c", "w"), (1, 8, 80, "c", "w")])
+    assert drain(spark, tmp_path, trim=trim) == {(0, 1): [3, 4], (1, 1): [8, 9]}
 
 
 def test_withdrawn_submission_lets_the_next_one_move_up(spark, tmp_path):
-    arrive(spark, tmp_path / "in", [(0, 1, 10, "a", "w", False), (0, 2, 20, "a", "w", False)])
-    assert drain(spark, tmp_path, 2, 8, 1, withdrawals=True) == {}
-    arrive(spark, tmp_path / "in", [(0, 1, 10, "a", "w", True), (0, 3, 30, "b", "w", False)])
-    assert drain(spark, tmp_path, 2, 8, 1, withdrawals=True) == {0: [2, 3]}
+    arrive(spark, tmp_path / "in", [opening(0, 2, 8), (0, 1, 10, "a", "w"), (0, 2, 20, "a", "w")])
+    assert drain(spark, tmp_path) == {}
+    arrive(spark, tmp_path / "in", [event("withdrawal", 0, 1), (0, 3, 30, "b", "w")])
+    assert drain(spark, tmp_path) == {(0, 1): [2, 3]}
 
 
-def test_one_batch_equals_the_batch_operators(spark, tmp_path):
-    rng = random.Random(2)
-    rows = [(rng.randrange(3), n, rng.randrange(40), rng.choice("abcd"), rng.choice("xyz"), False) for n in range(120)]
+def test_submissions_wait_for_their_round(spark, tmp_path):
+    rows = [(0, 1, 10, "a", "w"), event("submission", 0, 2, 20, "b", "w", base_model_revision="new")]
+    rows += [event("submission", 0, 3, 30, "c", "w", base_model_revision="old"), event("submission", 0, 4, 40, "d", "w", later_reason="x")]
     arrive(spark, tmp_path / "in", rows)
-    valid = spark.read.parquet(str(tmp_path / "in")).drop("withdrawn")
-    chosen = S.select_quorum(S.accept_updates(valid, 2), rounds(spark, 3, 5)).orderBy("merge_rank").collect()
+    assert decisions(spark, tmp_path) == []
+    arrive(spark, tmp_path / "in", [opening(0, 2, 8, base="new"), event("submission", 0, 5, 50, "e", "w", base_model_revision="old")])
+    assert drain(spark, tmp_path) == {(0, 1): [1, 2]}
+    got = {(r.pr_num, r.reason) for r in decisions(spark, tmp_path) if r.decision == "rejected"}
+    assert got == {(3, "base_revision"), (4, "x"), (5, "base_revision")}
+
+
+def test_reopened_round_hands_on_another_set(spark, tmp_path):
+    arrive(spark, tmp_path / "in", [opening(0, 2, 2), *[(0, n, n, a, "w") for n, a in enumerate("aabcd", 1)]])
+    assert drain(spark, tmp_path) == {(0, 1): [1, 3]}
+    arrive(spark, tmp_path / "in", [event("reopening", 0, 1)])
+    assert drain(spark, tmp_path) == {(0, 1): [1, 3], (0, 2): [2, 3]}  # the same author's next one moves up
+    arrive(spark, tmp_path / "in", [event("reopening", 0, 2), event("reopening", 0, 3), (0, 1, 1, "a", "w")])
+    assert drain(spark, tmp_path)[0, 3] == [4, 5]  # what was put aside stays away
+    arrive(spark, tmp_path / "in", [event("reopening", 0, n) for n in (4, 5)])
+    assert set(drain(spark, tmp_path)) == {(0, 1), (0, 2), (0, 3)}  # too few are left
+    arrive(spark, tmp_path / "in", [(0, 6, 6, "e", "w"), (0, 7, 7, "f", "w")])
+    assert drain(spark, tmp_path)[0, 4] == [6, 7]
+
+
+def test_finished_rounds_leave_no_state(spark, tmp_path):
+    rows = [opening(n, 2, 2) for n in range(2)] + [(n, 10 * n + i, i, "abc"[i], "w") for n in range(2) for i in range(3)]
+    arrive(spark, tmp_path / "in", rows)
+    assert drain(spark, tmp_path) == {(0, 1): [0, 1], (1, 1): [10, 11]}
+    assert len(state_rows(spark, tmp_path, "candidates")) == 6
+    arrive(spark, tmp_path / "in", [event("finished", 0, seq=1)])
+    decisions(spark, tmp_path)
+    for name, left in (("candidates", 3), ("opening", 1), ("attempt", 1), ("closed", 1)):
+        assert len(state_rows(spark, tmp_path, name)) == left, name
+    # Late for a finished round; an opening of before it does not bring it back, a newer one does.
+    arrive(spark, tmp_path / "in", [(0, 7, 7, "d", "w"), opening(0, 1, 1, seq=0)])
+    assert [(r.pr_num, r.reason) for r in decisions(spark, tmp_path) if r.decision == "rejected"] == [(7, "round")]
+    arrive(spark, tmp_path / "in", [opening(0, 1, 1, seq=5), (0, 8, 8, "d", "w")])
+    assert sorted(drain(spark, tmp_path)[0, 1]) == [0, 1, 8]
+
+
+def test_state_that_nobody_asks_for_ends(spark, tmp_path):
+    brief = {"wait_ms": 1, "closed_ms": 1}
+    arrive(spark, tmp_path / "in", [(3, 1, 1, "a", "w"), event("finished", 4, seq=9)])
+    assert decisions(spark, tmp_path, **brief) == []
+    time.sleep(0.1)
+    arrive(spark, tmp_path / "in", [(5, 2, 1, "a", "w")])
+    got = decisions(spark, tmp_path, **brief)
+    assert (3, 1, "round") in {(r["round"], r.pr_num, r.reason) for r in got}  # its round never opened
+    assert {r.key["round"] for r in state_rows(spark, tmp_path, "candidates")} <= {5}
+    arrive(spark, tmp_path / "in", [(4, 3, 1, "a", "w"), opening(4, 1, 1, seq=4)])
+    assert drain(spark, tmp_path, **brief)[4, 1] == [3]  # the mark of the finished round is gone
+
+
+@pytest.mark.parametrize("trim", [False, True])
+def test_any_batches_equal_the_batch_operators(spark, tmp_path, trim):
+    rng = random.Random(2)
+    rows = [(rng.randrange(3), n, rng.randrange(40), rng.choice("abcd"), rng.choice("xyz")) for n in range(120)]
+    for begin in range(0, 120, 40):
+        arrive(spark, tmp_path / "in", rows[begin : begin + 40])
+        assert drain(spark, tmp_path, 2, trim=trim) == {}
+    valid = spark.read.parquet(str(tmp_path / "in")).drop("min_updates", "max_updates")
+    policy = "named_struct('min_updates', 3, 'max_updates', 5) AS policy"
+    states = spark.range(3).selectExpr("'r' AS repo_id", "CAST(id AS INT) AS round", policy)
     expected = {}
-    for r in chosen:
-        expected.setdefault(r["round"], []).append(r.pr_num)
-    assert drain(spark, tmp_path, 3, 5, 2) == expected
+    for r in S.select_quorum(S.accept_updates(valid, 2), states).orderBy("merge_rank").collect():
+        expected.setdefault((r["round"], 1), []).append(r.pr_num)
+    arrive(spark, tmp_path / "in", [opening(n, 3, 5) for n in range(3)])
+    assert drain(spark, tmp_path, 2, trim=trim) == expected
 
 
 @pytest.mark.parametrize("seed", range(40))
@@ -86,13 +160,13 @@ def test_trimming_parts_first_changes_nothing(seed):
     rows = pd.DataFrame(
         [("r", number % 2, rng.choice("abc"), rng.choice("uvwxyz"), rng.randrange(30), number) for number in range(90)],
         columns=[*IDENTITY, "created_at", "pr_num"],
-    ).assign(max_updates=rng.choice([1, 2, 4, 100]))
-    rows = rows.sample(frac=1, random_state=seed)
-    whole = keep_earliest(rows, 2)
+    )
+    rows, most = rows.sample(frac=1, random_state=seed), rng.choice([1, 2, 4, 100, None])
+    whole = keep_earliest(rows, 2, most)
     kept = None
     for begin in range(0, len(rows), 7):
         part = rows.iloc[begin : begin + 7]
-        kept = keep_earliest(part if kept is None else pd.concat([kept, part]), 2)
+        kept = keep_earliest(part if kept is None else pd.concat([kept, part]), 2, most)
     assert set(kept["pr_num"]) == set(whole["pr_num"])
 
 
@@ -124,26 +198,62 @@ def test_intake_replaces_a_repeated_batch(spark, tmp_path):
     assert [(r.pr_num, r.reject_reason) for r in spark.read.parquet(str(tmp_path / "rejected")).collect()] == [(2, "round")]
 
 
+def publishing(spark, store, tmp_path, log="log"):
+    from lmtables.streaming.publish import publishing_sink, round_stream
+    from tests.test_publish import NOW
+
+    use_rocksdb(spark)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(str(tmp_path / "in")).schema)
+    stream = round_stream(store, submission_stream(spark, str(tmp_path / "in"), schema))
+    return stream.writeStream.foreachBatch(publishing_sink(store, lambda: NOW)).option("checkpointLocation", str(tmp_path / log))
+
+
 def test_stream_to_merged_model(spark, tmp_path):
     import numpy as np
 
-    from lmtables.streaming.publish import publishing_sink
-    from tests.test_publish import NOW, expected_values, new_store, state, submit, values
+    from tests.test_publish import expected_values, new_store, state, submit, values
 
-    use_rocksdb(spark)
     store = new_store(spark, tmp_path / "store")
-    submit(spark, store, 0, (0.1, 0.3), repos=("a",)).write.parquet(
-        str(tmp_path / "in")
-    )
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(str(tmp_path / "in")).schema)
+    submit(spark, store, 0, (0.1, 0.3), repos=("a",)).write.parquet(str(tmp_path / "in"))
     for attempt in range(2):
-        stream = submission_stream(spark, str(tmp_path / "in"), schema)
-        writer = (
-            quorum_stream(stream, store.read("rounds"))
-            .writeStream.foreachBatch(publishing_sink(store, lambda: NOW))
-            .option("checkpointLocation", str(tmp_path / f"log{attempt}"))
-        )
-        start(writer, once=True).awaitTermination()
+        start(publishing(spark, store, tmp_path, f"log{attempt}"), once=True).awaitTermination()
         assert np.allclose(values(store, "a"), expected_values([(0.1, 0.3)]), atol=1e-5)
     assert state(store)["a"]["round"] == 1 and state(store)["b"]["round"] == 0
     assert store.read("markers").count() == 1
+
+
+def test_round_that_opens_while_the_stream_runs(spark, tmp_path):
+    """One run: the first round is merged, which opens the second one, whose submissions were there before it."""
+    import numpy as np
+
+    from tests.test_publish import expected_values, new_store, state, submit, values
+
+    store = new_store(spark, tmp_path / "store")
+    submit(spark, store, 1, (0.2, 0.2), repos=("a",)).write.parquet(str(tmp_path / "in"))
+    query = start(publishing(spark, store, tmp_path), once=False, poll_seconds=1)
+    try:
+        submit(spark, store, 0, (0.1, 0.3), repos=("a",)).write.mode("append").parquet(str(tmp_path / "in"))
+        deadline = time.time() + 90
+        while state(store)["a"]["round"] < 2 and time.time() < deadline:
+            assert query.exception() is None
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert state(store)["a"]["round"] == 2
+    assert np.allclose(values(store, "a"), expected_values([(0.1, 0.3), (0.2, 0.2)]), atol=1e-5)
+
+
+def test_bad_payload_reopens_the_round(spark, tmp_path):
+    import numpy as np
+
+    from tests.test_publish import expected_values, new_store, state, submit, values
+
+    store = new_store(spark, tmp_path / "store")
+    # At most three are merged: the fourth one takes the place of the first, whose payload is bad.
+    submit(spark, store, 0, (float("nan"), 0.1, 0.3, 0.5), repos=("a",)).write.parquet(str(tmp_path / "in"))
+    start(publishing(spark, store, tmp_path), once=True).awaitTermination()
+    assert (state(store)["a"].status, state(store)["a"]["round"]) == ("open", 0)
+    assert [r.pr_num for r in store.read("quarantine").collect()] == [0]
+    start(publishing(spark, store, tmp_path), once=True).awaitTermination()
+    assert state(store)["a"]["round"] == 1
+    assert np.allclose(values(store, "a"), expected_values([(0.1, 0.3, 0.5)]), atol=1e-5)
