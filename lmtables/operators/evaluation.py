@@ -13,6 +13,7 @@ from lmtables.operators.prefix import running_total, top_rows
 # The label that is left out of the loss, and the weight of the routing loss.
 IGNORE_LABEL = -100
 ROUTER_LOSS_COEFFICIENT = 0.001
+STEP = 256.0
 
 
 def shift_labels(rows: DataFrame) -> DataFrame:
@@ -36,6 +37,38 @@ def token_losses(token_logits: DataFrame, ignore: int = IGNORE_LABEL) -> DataFra
     )
 
 
+def token_losses_by_chunks(chunks: DataFrame, labels: DataFrame, ignore: int = IGNORE_LABEL) -> DataFrame:
+    """As :func:`token_losses`, for rows of logits that come in parts.
+
+    ``chunks`` is (seq_id, pos, first, logits): the logits of the vocabulary from id ``first`` on, in parts of any size;
+    ``labels`` is (seq_id, pos, label). Each part is cut down to its logarithmic sum next to its target. These are added
+    up within steps of STEP, where no term over- or underflows, and the few steps of a position are put together last,
+    so that sums combine before they shuffle. A part of minus infinities adds nothing; a position whose target is in
+    none of its parts, or of which all logits are minus infinity, has a null loss.
+    """
+    targets = shift_labels(labels).where(F.col("target") != ignore)
+    key = ["seq_id", "pos", "target"]
+    place = F.col("target") - F.col("first")
+    adds = F.array_max("logits") > float("-inf")
+    parts = chunks.join(targets, key[:2]).select(
+        *key,
+        F.when(adds, log_sum_exp(F.col("logits"))).alias("log"),
+        F.when(place >= 0, F.get("logits", place.cast("int"))).cast("double").alias("hit"),
+    )
+    steps = parts.withColumn("step", F.floor(F.col("log") / STEP)).groupBy(*key, "step").agg(
+        F.sum(F.exp(F.col("log") - F.col("step") * STEP)).alias("total"), F.max("hit").alias("hit")
+    )
+    whole = steps.groupBy(*key).agg(
+        F.max("step").alias("top"),
+        F.collect_list(F.when(F.col("total").isNotNull(), F.struct("step", "total"))).alias("steps"),
+        F.max("hit").alias("hit"),
+    )
+    scaled = F.aggregate(
+        "steps", F.lit(0.0), lambda sum_, s: sum_ + s["total"] * F.exp((s["step"] - F.col("top")).cast("double") * STEP)
+    )
+    return whole.select(*key, (F.col("top") * STEP + F.log(scaled) - F.col("hit")).alias("nll"))
+
+
 def cross_entropy(token_logits: DataFrame, ignore: int = IGNORE_LABEL, keys: Sequence[str] = ()) -> DataFrame:
     """Mean loss and its number of targets; NaN where nothing is left to count."""
     return token_losses(token_logits, ignore).groupBy(*keys).agg(

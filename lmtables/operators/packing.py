@@ -21,21 +21,29 @@ def token_offsets(
     column: str = "input_ids",
     lengths: DataFrame | None = None,
     order_bits: int = 63,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``n`` (list length) and ``start`` (number of tokens before the document in its group)."""
     sized = tokens.withColumn("n", F.size(column).cast("bigint"))
-    return running_total(sized, keys, order, F.col("n"), "start", lengths=lengths, order_bits=order_bits)
+    return running_total(sized, keys, order, F.col("n"), "start", lengths=lengths, order_bits=order_bits, ties=ties)
 
 
 def batch_scope(
-    rows: DataFrame, batch_rows: int, order: str = "doc_id", split: str = "split", *, num_proc: int = 1, order_bits: int = 63
+    rows: DataFrame,
+    batch_rows: int,
+    order: str = "doc_id",
+    split: str = "split",
+    *,
+    num_proc: int = 1,
+    order_bits: int = 63,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``scope``: the number of the map call a row falls into.
 
     Rows of a split are dealt to ``num_proc`` contiguous shards, the first ones taking one row more when the
     division leaves a rest, and each shard is read in batches of ``batch_rows``.
     """
-    indexed = running_total(rows, [split], order, F.lit(1), "row_index", order_bits=order_bits)
+    indexed = running_total(rows, [split], order, F.lit(1), "row_index", order_bits=order_bits, ties=ties)
     if num_proc == 1:
         return indexed.withColumn("scope", whole_div(F.col("row_index"), batch_rows)).drop("row_index")
     totals = rows.groupBy(split).agg(F.count("*").alias("split_rows")).withColumnRenamed(split, "_split")
@@ -95,22 +103,23 @@ def pack_blocks(
     columns: Sequence[str] = ("input_ids",),
     lengths: DataFrame | None = None,
     order_bits: int = 63,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Concatenates token lists in row order, cuts blocks of ``block_size`` and copies ``input_ids`` to ``labels``.
 
     Without ``batch_rows`` a split is one sequence with one tail to drop; with it, each map call of that many rows
-    (see :func:`batch_scope`) is. A call has at most ``batch_rows`` documents, so one window over it is bounded.
+    (see :func:`batch_scope`) is. ``ties`` order rows of one ``order``, as those of a corpus in file order. A call has at most ``batch_rows`` documents, so one window over it is bounded.
     """
     columns = list(columns)
     if batch_rows is None:
         keys = [split]
         placed = token_offsets(
-            tokens, order, keys, column=columns[0], lengths=lengths, order_bits=order_bits
+            tokens, order, keys, column=columns[0], lengths=lengths, order_bits=order_bits, ties=ties
         )
     else:
         keys = [split, "scope"]
-        scoped = batch_scope(tokens, batch_rows, order, split, num_proc=num_proc, order_bits=order_bits)
-        before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+        scoped = batch_scope(tokens, batch_rows, order, split, num_proc=num_proc, order_bits=order_bits, ties=ties)
+        before = W.partitionBy(*keys).orderBy(order, *ties).rowsBetween(W.unboundedPreceding, 0)
         placed = scoped.withColumn("n", F.size(columns[0]).cast("bigint")).withColumn(
             "start", F.sum("n").over(before) - F.col("n")
         )
@@ -138,16 +147,16 @@ def pack_corpus(
     split: str = "split",
     unk_id: int = 3,
     order_bits: int = 63,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Text to blocks with two shuffles of ids and none of text.
 
     Documents are coded where they are read; ids move once to the bucket of their running total, and their pieces once
     to the block they belong to. The lengths that the totals need are counted without coding.
     """
-    tokens = tokenize(docs, vocab, text_col, keep=(split, order), unk_id=unk_id)
-    return pack_blocks(
-        tokens, block_size, order, split=split, lengths=doc_lengths(docs, text_col, order, split), order_bits=order_bits
-    )
+    tokens = tokenize(docs, vocab, text_col, keep=(split, order, *ties), unk_id=unk_id)
+    lengths = doc_lengths(docs, text_col, order, split)
+    return pack_blocks(tokens, block_size, order, split=split, lengths=lengths, order_bits=order_bits, ties=ties)
 
 
 def pack_stats(

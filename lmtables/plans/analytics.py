@@ -98,6 +98,17 @@ def _shift(inputs: Inputs) -> DataFrame:
     return evaluation.shift_labels(inputs("token_logits"))
 
 
+CHUNK = 4
+
+
+def in_chunks(token_logits: DataFrame) -> DataFrame:
+    """Rows of logits in parts, as they are logged for a vocabulary that is too long for one row."""
+    firsts = F.sequence(F.lit(0), F.size("logits") - 1, F.lit(CHUNK))
+    return token_logits.select("seq_id", "pos", "logits", F.explode(firsts).alias("first")).withColumn(
+        "logits", F.slice("logits", F.col("first") + 1, F.lit(CHUNK))
+    )
+
+
 @query(
     "cross_entropy",
     with_tables(
@@ -107,7 +118,8 @@ def _shift(inputs: Inputs) -> DataFrame:
     ),
 )
 def _entropy(inputs: Inputs) -> DataFrame:
-    losses = evaluation.token_losses(inputs("token_logits")).withColumn("part", F.col("seq_id") % 4)
+    logits = inputs("token_logits")
+    losses = evaluation.token_losses_by_chunks(in_chunks(logits), logits).withColumn("part", F.col("seq_id") % 4)
     return losses.groupBy("part").agg(F.round(F.avg("nll"), 6).alias("loss"), F.count("*").alias("targets"))
 
 

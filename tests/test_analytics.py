@@ -153,3 +153,28 @@ def test_shard_sources(spark):
     assert [r.name for r in source.duplicate_tensors(df).collect()] == ["y"]
     with pytest.raises(Exception, match="No tensor shards"):
         source.require_shards(df.limit(0)).collect()
+
+
+def test_chunked_losses_equal_those_of_whole_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for pos in range(60):
+        scale = [1, 300, 5000][pos % 3]
+        logits = (rng.normal(size=23) * scale).tolist()
+        if pos % 5 == 0:
+            logits[:7] = [float("-inf")] * 7
+        rows.append((pos // 10, pos % 10, int(rng.integers(7, 23)) if pos % 4 else -100, logits))
+    whole = spark.createDataFrame(rows, "seq_id long, pos int, label int, logits array<double>")
+    cut = [(s, p, a, x[a:b]) for s, p, _, x in rows for a, b in zip([0, 1, 7, 20], [1, 7, 20, 23])]
+    chunks = spark.createDataFrame(cut, "seq_id long, pos int, first int, logits array<double>")
+    got = evaluation.token_losses_by_chunks(chunks, whole)
+    want = {(r.seq_id, r.pos): r.nll for r in evaluation.token_losses(whole).collect()}
+    found = {(r.seq_id, r.pos): r.nll for r in got.collect()}
+    assert set(found) == set(want) and len(want) > 30
+    assert all(abs(found[k] - want[k]) <= 1e-9 * max(1, abs(want[k])) for k in want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+    # A target that no part has, and no finite logit at all.
+    lone = spark.createDataFrame([(0, 0, 0, [1.0, 2.0]), (1, 0, 0, [float("-inf")])], chunks.schema)
+    labels = spark.createDataFrame([(0, 1, 5), (1, 1, 0)], "seq_id long, pos int, label int")
+    assert [r.nll for r in evaluation.token_losses_by_chunks(lone, labels).collect()] == [None, None]

@@ -198,3 +198,36 @@ def test_cutting_stays_exact_for_large_offsets(spark):
         ((start + i) // 5, [7 + j for j in range(3) if (start + j) // 5 == (start + i) // 5])
         for i in sorted({min(j for j in range(3) if (start + j) // 5 == b) for b in {(start + j) // 5 for j in range(3)}})
     ]
+
+
+@pytest.mark.parametrize("fmt", ["text", "parquet"])
+def test_files_pack_in_their_order(spark, tmp_path, fmt):
+    words = [[f"w{f}x{i} " * (i % 4) + f"w{f}x{i}" for i in range(120)] for f in range(3)]
+    for f, lines in enumerate(words):
+        folder = tmp_path / "in" / f"part{2 - f}"  # folders are read by name, in another order than they were written
+        if fmt == "text":
+            folder.mkdir(parents=True)
+            (folder / "a b.txt").write_text("\n".join(lines) + "\n")
+        else:
+            spark.createDataFrame([(x, 1) for x in lines], "text string, doc_id int").coalesce(1).write.option("parquet.block.size", 1024).parquet(str(folder))
+    flat = " ".join(x for lines in words[::-1] for x in lines).split()
+    blocks = [flat[i : i + 16] for i in range(0, len(flat) - 15, 16)]
+    names = {"order": "doc_id", "ties": ["line"]}
+    place = str(tmp_path / "in" / "*") if fmt == "text" else str(tmp_path / "in" / "*" / "*.parquet")
+    try:
+        for size in ("128m", "700", "97"):  # files are cut into one part or many
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1" if size != "128m" else "4m")
+            docs = scan_corpus(spark, place, fmt=fmt, file_order=True)
+            assert docs.columns == ["split", "text", "line", "doc_id"]
+            assert size == "128m" or docs.rdd.getNumPartitions() > 3
+            lists = docs.select("split", "doc_id", "line", F.split("text", " ").alias("input_ids"))
+            got = packing.pack_blocks(lists, 16, **names).orderBy("block_idx").collect()
+            assert [r.input_ids for r in got] == blocks
+            scoped = packing.pack_blocks(lists, 16, batch_rows=50, **names).orderBy("scope", "block_idx").first()
+            assert scoped.input_ids == blocks[0]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    if fmt == "text":
+        assert scan_corpus(spark, place, fmt="text").where("split = 'train'").count() == 360
