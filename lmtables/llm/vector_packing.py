@@ -171,43 +171,50 @@ def fill_bins(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.nd
     return bins, places
 
 
+def _free(name: str, taken: list[str]) -> str:
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def pack(pieces: DataFrame, *, tokens: str, loss: str, max_tokens: int, max_segments: int, max_loss: int) -> DataFrame:
     """Places every piece: all columns of ``pieces`` with ``sequence_id`` and ``offset`` (its first token there).
 
-    A piece of ``max_tokens`` is a sequence of its own. The others are dealt evenly, by row and not by key, to groups
-    of about GROUP_ROWS, and each group is packed by ``fill_bins``. A piece above a limit raises; pieces of no token
-    take a segment only. The result does not depend on which executor packs a group.
+    A piece above a limit, of tokens or of loss, is in no sequence: both are null, and no other piece is touched by it.
+    Null tokens or loss are none; a piece of no token takes a segment only. A piece of ``max_tokens`` is a sequence of
+    its own. The others are dealt evenly, by row and not by key, to groups of about GROUP_ROWS, and each group is packed
+    by ``fill_bins``; equal rows are pieces each. No pieces give no rows. Columns of ``pieces`` called sequence_id or
+    offset give way to the result's. The result does not depend on which executor packs a group.
     """
-    row, group = "_piece", "_group"
+    if min(max_tokens, max_segments) < 1 or max_loss < 0:
+        raise ValueError("a sequence needs room for one token and one segment")
+    given = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    row, group, size, cost = (_free(c, pieces.columns) for c in ("_piece", "_group", "_tokens", "_loss"))
     held = stage(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
-    count = held.where(F.col(tokens) < max_tokens).count()
-    groups = max(1, -(-count // GROUP_ROWS))
-    limits = np.array([max_tokens, 1, max_loss])
-    limits[1] = max_segments
+    held = held.select(*given, row, *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(n) for c, n in ((tokens, size), (loss, cost))))
+    fits = (F.col(size) <= max_tokens) & (F.col(cost) <= max_loss)
+    small = held.where(fits & (F.col(size) < max_tokens))
+    groups = max(1, -(-small.count() // GROUP_ROWS))
+    limits = np.array([max_tokens, max_segments, max(max_loss, 1)])
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(row, ignore_index=True)
-        demand = np.column_stack([rows[tokens], np.ones(len(rows), np.int64), rows[loss]])
-        if (demand > limits).any():
-            raise ValueError("a piece is larger than a sequence may be")
+        demand = np.column_stack([rows[size], np.ones(len(rows), np.int64), rows[cost]])
         bins, places = fill_bins(demand, limits)
         order = np.lexsort([places, bins])
-        size = demand[order, 0]
-        before = np.cumsum(size) - size
+        taken = demand[order, 0]
+        before = np.cumsum(taken) - taken
         opens = np.concatenate([[True], bins[order][1:] != bins[order][:-1]])
         offset = np.empty(len(rows), np.int64)
         offset[order] = before - np.maximum.accumulate(np.where(opens, before, 0))
         return pd.DataFrame({row: rows[row], "sequence_id": rows[group].to_numpy() * (1 << 32) + bins, "offset": offset})
 
-    narrow = held.where(F.col(tokens) < max_tokens).select(
-        row, F.col(tokens).cast("long"), F.col(loss).cast("long"), F.pmod(F.xxhash64(row), F.lit(groups)).alias(group)
-    )
+    narrow = small.select(row, size, cost, F.pmod(F.xxhash64(row), F.lit(groups)).alias(group))
     placed = narrow.groupBy(group).applyInPandas(place, f"{row} long, sequence_id long, offset long")
-    found = held.where(F.col(tokens) < max_tokens).join(placed, row).drop(row)
-    whole = held.where(F.col(tokens) >= max_tokens).select(
-        *pieces.columns, (F.lit(FULL) + F.col(row)).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
-    return found.select(*pieces.columns, "sequence_id", "offset").unionByName(whole)
+    found = small.join(placed, row).select(*given, "sequence_id", "offset")
+    own = F.when(fits, F.lit(FULL) + F.col(row)).alias("sequence_id")
+    others = held.where(~fits | (F.col(size) >= max_tokens))
+    return found.unionByName(others.select(*given, own, F.when(fits, F.lit(0)).cast("long").alias("offset")))
 
 
 def pack_documents(

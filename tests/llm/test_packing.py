@@ -87,12 +87,35 @@ def test_all_limits_hold(limits):
     assert bins.max() + 1 <= 1.35 * least
 
 
+def packed(spark, rows, schema="id long, tokens long, loss long", limits=(256, 4, 64)):
+    pieces = spark.createDataFrame(rows, schema)
+    got = pack(pieces, tokens="tokens", loss="loss", max_tokens=limits[0], max_segments=limits[1], max_loss=limits[2]).collect()
+    sums = defaultdict(lambda: np.zeros(3, int))
+    for r in got:
+        fits = (r.tokens or 0) <= limits[0] and (r.loss or 0) <= limits[2]
+        assert (r.sequence_id is not None) == (r.offset is not None) == fits
+        if fits:
+            sums[r.sequence_id] += (r.tokens or 0, 1, r.loss or 0)
+    assert len(got) == len(rows) and all((s <= limits).all() for s in sums.values())
+    return got
+
+
 def test_instruction_examples(spark):
     rng = np.random.default_rng(6)
     rows = [(i, int(t), int(t) // 3) for i, t in enumerate(rng.integers(1, 200, 500))]
-    pieces = spark.createDataFrame(rows, "id long, tokens long, loss long")
-    got = pack(pieces, tokens="tokens", loss="loss", max_tokens=256, max_segments=4, max_loss=64).collect()
-    sums = defaultdict(lambda: np.zeros(3, int))
-    for r in got:
-        sums[r.sequence_id] += (r.tokens, 1, r.loss)
-    assert len(got) == 500 and all((s <= (256, 4, 64)).all() for s in sums.values())
+    got = packed(spark, rows)
+    assert sum(r.sequence_id is None for r in got) == sum(loss > 64 for *_, loss in rows) > 0
+
+
+def test_pieces_above_a_limit_and_nulls(spark):
+    rows = [(1, None, 3), (2, 500, 3), (3, 100, 100), (4, 60, 60), (5, 10, None), (6, None, None), (7, 100, 50), (8, 0, 0), (8, 0, 0)]
+    got = {r.id: r for r in packed(spark, rows, limits=(100, 5, 50))}
+    assert {i for i, r in got.items() if r.sequence_id is None} == {2, 3, 4}
+    packed(spark, [(1, 5, 0), (2, 5, 1)], limits=(10, 1, 0))
+    assert packed(spark, []) == []
+
+
+def test_clashing_columns(spark):
+    schema = "id long, tokens long, loss long, sequence_id string, `offset` int, _piece int, _group int"
+    got = packed(spark, [(i, 10, 3, "x", -1, 7, 7) for i in range(9)], schema)
+    assert all(isinstance(r.sequence_id, int) and r.offset >= 0 and (r._piece, r._group) == (7, 7) for r in got)
