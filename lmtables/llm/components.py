@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmtables.session import stage
+from lmtables.session import stage, unstage
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -36,7 +36,9 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     stars = stage(pair.where("v <> m").distinct(), "edges")
     mark = _fingerprint(stars)
     while mark[0]:
-        stars = stage(_small_star(_large_star(stars)), "stars")
+        flatter = stage(_small_star(_large_star(stars)), "stars")
+        unstage(stars)
+        stars = flatter
         last, mark = mark, _fingerprint(stars)
         if last == mark:
             break

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lmtables.llm.components import connected_components
-from lmtables.session import stage
+from lmtables.session import stage, unstage
 
 SKETCH_BITS = 23  # counters of the frequency sketch: its size does not depend on the data
 FILTER_BITS = 24
@@ -264,11 +264,14 @@ def _shared_lists(signatures: DataFrame, sets: DataFrame, shape: Shape, any_long
         brief = brief.unionByName(long.join(ends, "sig"))
     shared = stage(brief.select("sig", "short", "lo").distinct(), "shared")
     named = sets.select("short", "key")
-    return (
+    lists = stage(
         shared.join(named, "short")
         .join(named.select(F.col("short").alias("lo"), F.col("key").alias("first")), "lo")
-        .select("sig", "key", F.col("first").alias("lo"))
+        .select("sig", "key", F.col("first").alias("lo")),
+        "lists",
     )
+    unstage(shared)
+    return lists
 
 
 def _halved(bits: Column) -> Column:
@@ -362,7 +365,9 @@ def _texts(docs: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
             )
 
     found = docs.mapInArrow(run, "digest binary, text string")
-    return stage(found.join(sets, "digest").groupBy("key").agg(F.min("text").alias("text")), "texts")
+    texts = stage(found.join(sets, "digest").groupBy("key").agg(F.min("text").alias("text")), "texts")
+    wanted.unpersist()
+    return texts
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
@@ -380,10 +385,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
             return held[key]
 
         for batch in batches:
-            x, y, tx, ty = (batch.column(c).to_pylist() for c in ("x", "y", "t_x", "t_y"))
-            shared = [
-                len(np.intersect1d(values(a, ta), values(b, tb), assume_unique=True)) for a, b, ta, tb in zip(x, y, tx, ty)
-            ]
+            shared = []
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in ("x", "y", "t_x", "t_y"))):
+                    shared.append(len(np.intersect1d(values(a, ta), values(b, tb), assume_unique=True)))
             columns = [batch.column(c) for c in names[:4]] + [pa.array(shared, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -394,7 +400,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     with_texts = pairs
     for end in ("x", "y"):
         with_texts = with_texts.join(texts.select(F.col("key").alias(end), F.col("text").alias(f"t_{end}")), end)
-    return stage(with_texts.mapInArrow(run, "x long, y long, n_x long, n_y long, shared long"), "verified")
+    verified = stage(with_texts.mapInArrow(run, "x long, y long, n_x long, n_y long, shared long"), "verified")
+    unstage(pairs, keys, texts)
+    return verified
 
 
 def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
@@ -426,17 +434,20 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
         ).withColumn("part", F.spark_partition_id().cast("long")),
         "described",
     )
-    rows = described.where("slice IS NULL").select("id", "digest", "n")
     found = described.where("slice IS NULL AND digest IS NOT NULL")
     distinct = found.groupBy("digest").agg(*(F.any_value(c).alias(c) for c in ("short", "n", "parity", "brief")))
     # From here on a set goes by its number, half as wide as its digest.
     sets = stage(distinct.withColumn("key", F.monotonically_increasing_id()), "sets")
     counters = merge_counters(described.where("slice IS NOT NULL").select("part", "slice", "data"), SKETCH_BITS)
+    # Only the sets keep their bitmaps.
+    rows = stage(described.where("slice IS NULL").select("id", "digest", "n"), "rows")
+    unstage(described)
     any_long, sketch = bool((counters >= LONG_LIST).any()), spark.sparkContext.broadcast(counters)
     small = sets.where(F.col("n") <= LARGEST_SMALL).groupBy("n").count().collect()
     limit = boundary({row["n"]: row["count"] for row in small}, shape)
     signatures = texts_only.mapInArrow(_signatures(shape, sketch, limit), "sig long, short long, n int, long boolean")
-    lists = stage(_shared_lists(signatures, sets, shape, any_long), "lists")
+    lists = _shared_lists(signatures, sets, shape, any_long)
+    sketch.unpersist()
     texts = _texts(texts_only, sets.join(lists.select("key").distinct(), "key").select("key", "digest"), shape)
 
     def checked(pairs: DataFrame) -> DataFrame:
@@ -451,6 +462,10 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
         stars = members.where("node <> component").select(F.col("node").alias("x"), F.col("component").alias("y"))
         return stage(connected_components(stars.unionByName(links(found)), "x", "y"), "members")
 
+    def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+        unstage(old)
+        return new
+
     first = lists.where("key <> lo").select(F.col("key").alias("x"), F.col("lo").alias("y")).distinct()
     first = stage(_sized(first, sets), "first")
     near = stage(_bounded(first, sets, shape), "near")
@@ -462,8 +477,9 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
         pairs = _bounded(_sized(_representative_pairs(entries, round_), sets), sets, shape)
         found = checked(pairs)
         new = links(found).count()
-        members = joined(members, found)
-        entries = _open_entries(entries.drop("component"), members)
+        members = replaced(members, joined(members, found))
+        unstage(found)
+        entries = replaced(entries, _open_entries(entries.drop("component"), members))
         size, round_ = entries.count(), round_ + 1
         if 50 * new < sets.count() ** 0.5:  # hardly anything is left to connect
             break
@@ -472,7 +488,8 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
             compared.select("x", "y", "shared"), ["x", "y"], "left"
         )
         pairs = _bounded(_sized(_rest_of_pairs(entries, sets, known, shape), sets), sets, shape)
-        members = joined(members, checked(pairs))
+        members = replaced(members, joined(members, checked(pairs)))
+    unstage(lists, texts, first, near, compared, entries)
 
     classes = rows.where("digest IS NOT NULL").join(sets.select("digest", "key"), "digest")
     classes = classes.join(members, F.col("key") == F.col("node"), "left")
