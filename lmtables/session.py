@@ -41,3 +41,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(checkpoint_root(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing will read any more: what was made from them is written itself.
+
+    Only folders that :func:`stage` made are touched. A table that is gone already is left out.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        root = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder in {os.path.dirname(name) for name in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if system.makeQualified(path).getParent() == system.makeQualified(root):
+                system.delete(path, True)
