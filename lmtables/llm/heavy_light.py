@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lmtables.llm.components import connected_components
+from lmtables.llm.memory import releasing
 from lmtables.session import stage, unstage
 
 SKETCH_BITS = 23  # counters of the frequency sketch: its size does not depend on the data
@@ -364,7 +365,7 @@ def _texts(docs: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
                 [pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows, pa.int64()))], ["digest", "text"]
             )
 
-    found = docs.mapInArrow(run, "digest binary, text string")
+    found = docs.mapInArrow(releasing(run), "digest binary, text string")
     texts = stage(found.join(sets, "digest").groupBy("key").agg(F.min("text").alias("text")), "texts")
     wanted.unpersist()
     return texts
@@ -400,7 +401,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     with_texts = pairs
     for end in ("x", "y"):
         with_texts = with_texts.join(texts.select(F.col("key").alias(end), F.col("text").alias(f"t_{end}")), end)
-    verified = stage(with_texts.mapInArrow(run, "x long, y long, n_x long, n_y long, shared long"), "verified")
+    verified = stage(with_texts.mapInArrow(releasing(run), "x long, y long, n_x long, n_y long, shared long"), "verified")
     unstage(pairs, keys, texts)
     return verified
 
@@ -428,7 +429,7 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     texts_only = source.select("text")
     described = stage(
         source.mapInArrow(
-            _described(shape, to_arrow_type(kind)),
+            releasing(_described(shape, to_arrow_type(kind))),
             f"id {kind.simpleString()}, digest binary, short long, n long, parity array<long>, brief array<long>, "
             "slice int, data binary",
         ).withColumn("part", F.spark_partition_id().cast("long")),
@@ -445,7 +446,7 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     any_long, sketch = bool((counters >= LONG_LIST).any()), spark.sparkContext.broadcast(counters)
     small = sets.where(F.col("n") <= LARGEST_SMALL).groupBy("n").count().collect()
     limit = boundary({row["n"]: row["count"] for row in small}, shape)
-    signatures = texts_only.mapInArrow(_signatures(shape, sketch, limit), "sig long, short long, n int, long boolean")
+    signatures = texts_only.mapInArrow(releasing(_signatures(shape, sketch, limit)), "sig long, short long, n int, long boolean")
     lists = _shared_lists(signatures, sets, shape, any_long)
     sketch.unpersist()
     texts = _texts(texts_only, sets.join(lists.select("key").distinct(), "key").select("key", "digest"), shape)

@@ -9,7 +9,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,11 +17,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lmtables.llm.memory import releasing, some_at_once
 from lmtables.llm.prefix_counts import byte_letters
 from lmtables.session import stage
 
 GROUP_ROWS = 8192
-CACHED = 400_000
+CACHED = 200_000
 LONGEST_CACHED = 48
 FULL = 1 << 62
 
@@ -51,38 +51,36 @@ class PieceEncoder:
         self.special = {token.content: i for i, token in added.items()}
         self.splits = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words: dict[bytes, tuple[int, ...]] = {}
+        # Ids as bytes: half the room of tuples, and joined at once.
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         plain = piece.isascii() and piece.isprintable()  # such bytes stand for themselves
         letters = piece if plain else "".join(map(self.letters.__getitem__, piece.encode()))
-        found = tuple([t.id for t in self.merge(letters)])
+        found = array("I", [t.id for t in self.merge(letters)]).tobytes()
         if len(piece) <= LONGEST_CACHED:
             if len(self.pieces) > CACHED:
                 self.pieces.clear()
             self.pieces[piece] = found
         return found
 
-    def _plain(self, word: str) -> tuple[int, ...]:
+    def _plain(self, word: str) -> bytes:
         if not word.isascii():
             word = unicodedata.normalize("NFC", word)
         # A capital sigma has one lower case here, whatever stands around it.
         word = word.lower() if "\u03a3" not in word else "".join(map(str.lower, word))
-        found: list[int] = []
-        for piece in PIECE.findall(word):
-            found += self.pieces.get(piece) or self._piece(piece)
-        return tuple(found)
+        return b"".join([self.pieces.get(piece) or self._piece(piece) for piece in PIECE.findall(word)])
 
-    def _word(self, data: bytes) -> tuple[int, ...]:
+    def _word(self, data: bytes) -> bytes:
         word = data.decode()
         if not data.isascii() and BEYOND.search(word) and any(unicodedata.category(c) == "Cn" for c in word):
-            found = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         elif "<|" not in word:
             found = self._plain(word)
         else:
-            parts = ((self.special[p],) if p in self.special else self._plain(p) for p in self.splits.split(word))
-            found = tuple(chain.from_iterable(parts))
+            parts = self.splits.split(word)
+            found = b"".join([array("I", [self.special[p]]).tobytes() if p in self.special else self._plain(p) for p in parts])
         if len(data) <= LONGEST_CACHED:
             if len(self.words) > CACHED:
                 self.words.clear()
@@ -92,9 +90,7 @@ class PieceEncoder:
     def encode(self, text: str) -> array:
         """Ids of the words between ASCII white space, which no rule of such a vocabulary looks across."""
         known, ids = self.words.get, array("I")
-        for word in text.encode().split():
-            found = known(word)
-            ids.extend(self._word(word) if found is None else found)
+        ids.frombytes(b"".join([known(word) or self._word(word) for word in text.encode().split()]))
         return ids
 
 
@@ -115,7 +111,7 @@ def token_pieces(
         encode = encoder(path).encode
         for batch in batches:
             source, start, length, crc, total, held = [], [], [], [], [], []
-            for row, text_ in enumerate(batch.column(1).to_pylist()):
+            for row, text_ in enumerate(some_at_once(batch.column(1))):
                 ids = encode(text_ or "")
                 ids.append(end_id)
                 values = np.frombuffer(ids, np.uint32).astype("<u4", copy=False)
@@ -134,7 +130,7 @@ def token_pieces(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(releasing(run), schema)
 
 
 def fill_bins(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

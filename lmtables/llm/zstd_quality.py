@@ -12,6 +12,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lmtables.llm.memory import releasing, some_at_once
+
 CHUNK = 1024
 SMOOTHING = 50
 
@@ -56,9 +58,9 @@ def _differences(model: QualityModel):
         return lambda texts: np.zeros(len(texts))
     good, bad = (_compressor(d, model.level) for d in (model.good, model.bad))
 
-    def measure(texts: list[str | None]) -> np.ndarray:
+    def measure(texts: pa.Array) -> np.ndarray:
         out = np.zeros(len(texts))
-        for i, text in enumerate(texts):
+        for i, text in enumerate(some_at_once(texts)):
             gain = size = 0
             for chunk in _chunks(text):
                 gain += len(bad.compress(chunk)) - len(good.compress(chunk))
@@ -73,7 +75,7 @@ def _sample_chunks(per_row: int):
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             quality, chunk = [], []
-            for q, text in zip(batch.column("quality").to_pylist(), batch.column("text").to_pylist()):
+            for q, text in zip(some_at_once(batch.column("quality")), some_at_once(batch.column("text"))):
                 drawn = sorted(_chunks(text), key=xxhash.xxh64_intdigest)[:per_row]
                 chunk += drawn
                 quality += [q] * len(drawn)
@@ -86,7 +88,7 @@ def _measured(model: QualityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = _differences(model)
         for batch in batches:
-            values = measure(batch.column("text").to_pylist())
+            values = measure(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(values)], ["quality", "difference"])
 
     return run
@@ -148,14 +150,14 @@ def fit(
     sample = picked[0].unionByName(picked[1]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(23)), F.lit(2)))
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
     drawn = (
-        texts.where("part = 0").select("quality", "text").mapInArrow(_sample_chunks(chunks_per_row), "quality int, chunk binary")
+        texts.where("part = 0").select("quality", "text").mapInArrow(releasing(_sample_chunks(chunks_per_row)), "quality int, chunk binary")
     ).collect()
     model = QualityModel(*(_dictionary([bytes(r[1]) for r in drawn if r[0] == q], dictionary_bytes) for q in (1, 0)))
     model = replace(model, shares=(totals.get(1, 0) / sum(totals.values()),))
     if model.good is None or model.bad is None:
         return model
     measured = (
-        texts.where("part = 1").select("quality", "text").mapInArrow(_measured(model), "quality int, difference double")
+        texts.where("part = 1").select("quality", "text").mapInArrow(releasing(_measured(model)), "quality int, difference double")
     ).collect()
     x, y = np.array([r[1] for r in measured]), np.array([r[0] for r in measured], float)
     if len(set(y)) < 2:
@@ -176,7 +178,7 @@ def score(docs: DataFrame, model: QualityModel, *, key: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = _differences(model)
         for batch in batches:
-            values = model.probability(measure(batch.column(1).to_pylist()))
+            values = model.probability(measure(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["id", "score"])
 
     scored = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(
@@ -198,7 +200,7 @@ def accept(docs: DataFrame, model: QualityModel, *, text: str = "text", threshol
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = _differences(model)
         for batch in batches:
-            values = model.probability(measure(batch.column(place).to_pylist()))
+            values = model.probability(measure(batch.column(place)))
             yield batch.filter(pa.array(values >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
