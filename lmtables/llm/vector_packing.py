@@ -22,7 +22,7 @@ from lmtables.llm.prefix_counts import byte_letters
 from lmtables.session import stage
 
 GROUP_ROWS = 8192
-CACHED = 200_000
+CACHED = 400_000
 LONGEST_CACHED = 48
 FULL = 1 << 62
 
@@ -74,7 +74,10 @@ class PieceEncoder:
 
     def _word(self, data: bytes) -> bytes:
         word = data.decode()
-        if not data.isascii() and BEYOND.search(word) and any(unicodedata.category(c) == "Cn" for c in word):
+        if data.isalpha():  # ASCII letters alone: one piece
+            piece = word.lower()
+            found = self.pieces.get(piece) or self._piece(piece)
+        elif not data.isascii() and BEYOND.search(word) and any(unicodedata.category(c) == "Cn" for c in word):
             found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         elif "<|" not in word:
             found = self._plain(word)
