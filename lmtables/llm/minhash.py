@@ -9,11 +9,14 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from lmtables.llm.components import connected_components
 from lmtables.llm.heavy_light import mixed
+from lmtables.llm.rows import ROW, numbered
+from lmtables.session import stage, unstage
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -27,6 +30,12 @@ _draw = np.random.Generator(np.random.PCG64(13))
 FACTORS, TERMS = (_draw.integers(0, 1 << 64, PERMUTATIONS, np.uint64) for _ in range(2))
 STEPS = _draw.integers(0, 1 << 64, 16, np.uint64) | np.uint64(1)
 
+BANDS, DEEP_BANDS = 32, 350
+BAND_ROWS, DEEP_ROWS = PERMUTATIONS // BANDS, 16
+LARGE = 64  # members of a bucket that still holds several classes
+BAND_CHOICES = np.arange(PERMUTATIONS).reshape(BANDS, BAND_ROWS)
+DEEP_CHOICES = np.stack([_draw.choice(PERMUTATIONS, DEEP_ROWS, replace=False) for _ in range(DEEP_BANDS)])
+
 
 def signatures(sets: Sequence[np.ndarray]) -> np.ndarray:
     """A signature for each set of 64-bit hashes, equal for equal sets: rows of PERMUTATIONS 32-bit values.
@@ -204,3 +213,135 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", ra
     texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = f"id {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return _in_ranges(texts, ranges).mapInArrow(_fingerprinted(to_arrow_type(kind)), schema).withColumnRenamed("id", key)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """Row numbers and texts, a bounded number at a time."""
+    for batch in batches:
+        rows, texts, chars = [], [], 0
+        for number, text in zip(batch.column(0), batch.column(1)):
+            rows.append(number.as_py())
+            texts.append(text.as_py())
+            chars += len(texts[-1])
+            if len(rows) >= ROWS_AT_ONCE or chars >= CHARS_AT_ONCE:
+                yield rows, texts
+                rows, texts, chars = [], [], 0
+        if rows:
+            yield rows, texts
+
+
+def _signed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, texts in _pieces(batches):
+        sets = [np.unique(runs(word_hashes(text.encode()))) for text in texts]
+        columns = [pa.array(rows, pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())]
+        columns += [pa.array([len(s) for s in sets], pa.int64())]
+        columns += [pa.array([s.astype(">u4").tobytes() for s in signatures(sets)], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["row", "digest", "size", "signature"])
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, texts in _pieces(batches):
+        sets = [np.unique(runs(word_hashes(text.encode()))).view(np.int64) for text in texts]
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["row", "shingles"])
+
+
+def _bucketed(choices: np.ndarray):
+    """Buckets of a signature: one hash for each choice of its values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                found = np.frombuffer(b"".join(part.column("signature").to_pylist()), ">u4").reshape(-1, PERMUTATIONS)
+                total = np.broadcast_to(np.arange(len(choices), dtype=np.uint64) + np.uint64(choices.size), (len(found), len(choices)))
+                for i in range(choices.shape[1]):
+                    total = mixed(total + found[:, choices[:, i]].astype(np.uint64) * STEPS[i])
+                columns = [pa.array(total.ravel().view(np.int64))]
+                columns += [pa.array(np.repeat(part.column(c).to_numpy(), len(choices))) for c in ("row", "size")]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "row", "size"])
+
+    return run
+
+
+def _members(signed: DataFrame, choices: np.ndarray) -> DataFrame:
+    return signed.select("row", "size", "signature").mapInArrow(_bucketed(choices), "bucket long, row long, size long")
+
+
+def _open(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """Members of buckets that hold more than one class, with ``class`` and the ``count`` of their bucket."""
+    if classes is None:
+        labelled = members.withColumn("class", F.col("row"))
+    else:
+        known = classes.select(F.col("node").alias("row"), F.col("component").alias("class"))
+        labelled = members.join(known, "row", "left").withColumn("class", F.coalesce("class", "row"))
+    buckets = labelled.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("count"))
+    return labelled.join(buckets.where("low <> high").select("bucket", "count"), "bucket")
+
+
+def _verified(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sets have the Jaccard similarity asked for, by their shingles."""
+    left, right = (shingles.select(F.col("row").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
+    common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
+    met = pairs.join(left, "a").join(right, "b")
+    return met.where(100 * common >= percent * (F.size("of_a") + F.size("of_b") - common)).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    """Classes of documents that links connect: key and ``class_id``, the smallest key of the class.
+
+    Two documents link where ``100 * common >= percent * all`` holds for their sets of five-word shingles. Equal sets are
+    one member. Members meet in the buckets of BANDS bands of their signatures; a pair of similarity 0.8 misses all of
+    them once in twenty million cases. In each bucket one member at first, then eight times as many each round, meet all
+    those of other classes, until the bucket holds one class or all its members were met; candidates of any likeness are
+    verified by their shingles. A bucket that still holds several classes and more than LARGE members after the first
+    round is left for the DEEP_BANDS deep bands of its members, which a pair of 0.8 misses five times in 100,000 and
+    unlike texts that share a passage almost never meet in. So no pair of a bucket is dropped and none is met twice
+    for copies.
+
+    Null and empty texts have no shingles and link to nothing; null keys and equal keys are rows each, a class of null
+    keys only has a null class_id. An empty table gives no rows; other columns are not read.
+    """
+    rows = numbered(docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    texts = rows.select(F.col(ROW).alias("row"), "text")
+    sets = stage(texts.mapInArrow(_signed_sets, "row long, digest binary, size long, signature binary"), "sets")
+    filled = sets.where("size > 0")
+    signed = stage(
+        filled.groupBy("digest").agg(F.min("row").alias("row"), F.first("size").alias("size"), F.first("signature").alias("signature")),
+        "signed",
+    )
+    shingles = stage(
+        texts.join(signed.select("row"), "row", "left_semi").mapInArrow(_shingled, "row long, shingles array<long>"), "shingles"
+    )
+    members = stage(_open(_members(signed, BAND_CHOICES), None), "members")
+    links = classes = None
+    leaders, deep = 1, False
+    while not members.isEmpty():
+        order = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "row"), "row")
+        first = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
+        first = stage(first.select("bucket", "place", F.col("row").alias("a"), F.col("class").alias("a_class"), F.col("size").alias("a_size")), "first")
+        other = members.select("bucket", F.col("row").alias("b"), F.col("class").alias("b_class"), F.col("size").alias("b_size"))
+        place = first.select("bucket", F.col("a").alias("b"), F.col("place").alias("b_place"))
+        alike = 100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size")
+        met = first.join(other.join(place, ["bucket", "b"], "left"), "bucket").where(
+            (F.col("a_class") != F.col("b_class")) & alike & (F.col("b_place").isNull() | (F.col("b_place") > F.col("place")))
+        )
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = stage(_verified(pairs, shingles, percent), "links")
+        links = found if links is None else links.unionByName(found)
+        classes = stage(connected_components(links, "a", "b"), "classes")
+        rest = members.select("bucket", "row", "size").join(first.select("bucket", F.col("a").alias("row")), ["bucket", "row"], "left_anti")
+        open_ = stage(_open(rest, classes), "members")
+        if not deep:
+            large = open_.where(F.col("count") > LARGE)
+            again = signed.join(large.select("row").distinct(), "row", "left_semi")
+            open_ = open_.where(F.col("count") <= LARGE).unionByName(_open(_members(again, DEEP_CHOICES), classes))
+            open_, deep = stage(open_, "members"), True
+        unstage(members, first)
+        members, leaders = open_, leaders * 8
+    whole = filled.select("row", "digest").join(signed.select("digest", F.col("row").alias("node")), "digest")
+    if classes is not None:
+        whole = whole.join(classes, "node", "left").withColumn("node", F.coalesce("component", "node"))
+    whole = whole.select("row", "node").unionByName(sets.where("size = 0").select("row", F.col("row").alias("node")))
+    named = rows.select(F.col(ROW).alias("row"), "id").join(whole, "row")
+    least = named.groupBy("node").agg(F.min("id").alias("class_id"))
+    return named.join(least, "node").select(F.col("id").alias(key), "class_id")

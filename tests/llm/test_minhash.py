@@ -6,7 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from lmtables.llm.minhash import EMPTY, PERMUTATIONS, SEGMENT, fingerprints, likeness, runs, signatures, word_hashes
+from lmtables.llm import minhash
+from lmtables.llm.minhash import EMPTY, PERMUTATIONS, SEGMENT, fingerprints, likeness, near_duplicates, runs, signatures, word_hashes
 
 SCHEMA = "doc_id long, text string, id int, digest int, next int"
 
@@ -90,3 +91,66 @@ def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(map(tuple, fingerprints(docs).collect()), key=repr) == sorted(by_hand(rows), key=repr)
+
+
+def classes_by_hand(rows, percent=80):
+    sets = [shingles(t or "") for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for (key, _), g in zip(rows, group):
+        if key is not None:
+            least[g] = min(least.get(g, key), key)
+    return sorted(((key, least.get(g)) for (key, _), g in zip(rows, group)), key=repr)
+
+
+def classes(spark, rows, **options):
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA).repartition(3)
+    out = near_duplicates(df, **options)
+    assert out.columns == ["doc_id", "class_id"]
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def varied(draw, words, changes):
+    words = list(words)
+    for _ in range(changes):
+        words[draw.randrange(len(words))] = f"n{draw.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("large", [64, 3])
+def test_classes_of_near_duplicates(spark, monkeypatch, large):
+    monkeypatch.setattr(minhash, "LARGE", large)
+    draw = random.Random(5)
+    rows = []
+    for _ in range(12):
+        first = [f"w{draw.randrange(10**6)}" for _ in range(draw.choice([80, 150, 300]))]
+        chain = list(first)
+        for _ in range(6):
+            chain[draw.randrange(len(chain))] = f"c{draw.randrange(10**6)}"
+            rows += [(len(rows), varied(draw, chain, draw.randrange(0, 5)))]
+    passage = [f"p{i}" for i in range(120)]
+    rows += [(len(rows) + i, varied(draw, passage, 0) + " " + " ".join(f"u{i}x{j}" for j in range(60))) for i in range(40)]
+    rows += [(500 + i, text) for i, (_, text) in enumerate(rows[:90:4])]
+    draw.shuffle(rows)
+    assert classes(spark, rows) == classes_by_hand(rows)
+
+
+def test_classes_of_odd_rows(spark):
+    same = "a b c d e f g"
+    rows = [(None, same), (7, same.upper()), (7, " a  b c d e f g"), (3, "one two"), (2, "One\ttwo"), (9, None), (8, ""), (None, " \n"), (5, "word " * 20_000)]
+    assert classes(spark, rows) == classes_by_hand(rows)
+    assert classes(spark, [(4, None), (5, "")]) == [(4, 4), (5, 5)]
+    assert near_duplicates(spark.createDataFrame([], SCHEMA)).isEmpty()
+
+
+def test_classes_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = sorted((tuple(r) for r in near_duplicates(docs).collect()), key=repr)
+    assert got == classes_by_hand(rows)
