@@ -38,11 +38,18 @@ def current_states(rounds: DataFrame) -> DataFrame:
     return rounds.groupBy("repo_id").agg(latest.alias("state")).select("repo_id", "state.*").select(*rounds.columns)
 
 
-def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column | str, force: bool = False) -> DataFrame:
+def init_rounds(
+    requests: DataFrame, rounds: DataFrame, now: Column | str, force: bool = False, *, checkpoints: DataFrame | None = None
+) -> DataFrame:
     """Round 0 rows for the requested repositories; those that already have a state are left out unless forced.
 
-    ``requests`` is (repo_id, base_model_revision, policy). A forced row follows the old states in ``seq``.
+    ``requests`` is (repo_id, base_model_revision, policy). A forced row follows the old states in ``seq``. With
+    ``checkpoints`` (revision, complete), as :func:`lmtables.sources.tensors.checkpoint_complete` gives them, a round only
+    starts on a revision that is there and complete; without it the caller vouches for the revisions.
     """
+    if checkpoints is not None:
+        usable = checkpoints.where("complete").select(F.col("revision").alias("base_model_revision")).distinct()
+        requests = requests.join(usable, "base_model_revision", "left_semi")
     known = rounds.groupBy("repo_id").agg(F.max("seq").alias("last_seq"))
     if force:
         requests = requests.join(known, "repo_id", "left")
@@ -62,10 +69,15 @@ def init_rounds(requests: DataFrame, rounds: DataFrame, now: Column | str, force
     )
 
 
-def policy_rejects(requests: DataFrame) -> DataFrame:
-    """The requests that ``init_rounds`` leaves out, with the reason; nulls in a policy make it invalid."""
+def policy_rejects(requests: DataFrame, checkpoints: DataFrame | None = None) -> DataFrame:
+    """The requests that ``init_rounds`` turns away, with the reason; nulls in a policy make it invalid."""
     usable = F.coalesce(F.expr("policy.min_updates > 0 AND policy.min_updates <= policy.max_updates"), F.lit(False))
-    return requests.where(~usable).withColumn("reject_reason", F.lit("policy"))
+    reason = F.when(~usable, "policy")
+    if checkpoints is not None:
+        complete = checkpoints.groupBy(F.col("revision").alias("base_model_revision")).agg(F.bool_or("complete").alias("_complete"))
+        requests = requests.join(complete, "base_model_revision", "left").select(*requests.columns, "_complete")
+        reason = reason.when(~F.coalesce("_complete", F.lit(False)), "checkpoint")
+    return requests.withColumn("reject_reason", reason).where("reject_reason IS NOT NULL").drop("_complete")
 
 
 def pending_lists(chosen: DataFrame) -> DataFrame:
@@ -103,8 +115,9 @@ def rebuild_pending(states: DataFrame) -> DataFrame:
 
 
 def merge_markers(merging: DataFrame, norms: DataFrame, now: Column | str) -> DataFrame:
-    """One marker per merged round. ``norms`` is (repo_id, round, update_id, verified_norm)."""
-    rows = rebuild_pending(merging).join(norms, [*ROUND, "update_id"])
+    """One marker per merged round. ``norms`` is (repo_id, round, pr_num, verified_norm): an update id that two
+    submissions bear has a norm for each."""
+    rows = rebuild_pending(merging).join(norms.select(*ROUND, "pr_num", "verified_norm"), [*ROUND, "pr_num"])
     who = identity(F.col("author"), F.col("worker_id"))
     lists = rows.groupBy(*ROUND).agg(
         F.array_sort(

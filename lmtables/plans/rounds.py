@@ -10,6 +10,7 @@ from lmtables.plans.ledger import CHAIN, GIVEN, accepted, chain_sql, chosen
 from lmtables.operators.submissions import select_quorum
 from lmtables.plans.registry import query
 from lmtables.plans.tables import Inputs, with_tables
+from lmtables.sources.tensors import checkpoint_complete
 
 NOW = "2024-02-01 00:00:00"
 
@@ -39,7 +40,7 @@ def locked(inputs: Inputs) -> DataFrame:
 
 
 def norms(inputs: Inputs) -> DataFrame:
-    return inputs("updates").select("repo_id", "round", "update_id", F.col("value").alias("verified_norm"))
+    return inputs("updates").select("repo_id", "round", "pr_num", F.col("value").alias("verified_norm"))
 
 
 def markers(inputs: Inputs) -> DataFrame:
@@ -68,7 +69,7 @@ LISTS = {
         ["submissions"],
         "SELECT repo_id, CAST(0 AS BIGINT) AS seq, 'open' AS status, 0 AS round, repo_id || '@init' AS base_model_revision, "
         "2 AS min_updates FROM (SELECT DISTINCT 'org/fork-' || author AS repo_id FROM submissions) AS r "
-        "WHERE repo_id NOT IN ('org/fork-user3', 'org/fork-user4')",
+        "WHERE repo_id NOT IN ('org/fork-user3', 'org/fork-user4', 'org/fork-user5')",
     ),
 )
 def _init(inputs: Inputs) -> DataFrame:
@@ -81,10 +82,16 @@ def _init(inputs: Inputs) -> DataFrame:
             "'outer_momentum', 0.9D, 'nesterov', true, 'update_dtype', 'bfloat16')"
         ).alias("policy"),
     )
+    # One repository has no tokenizer yet.
+    stored = ["config.json", "tokenizer_config.json", "modeling.py", "model.safetensors.index.json"]
+    files = asked.select(
+        F.concat("repo_id", F.lit("@init")).alias("revision"), F.explode(F.array(*map(F.lit, stored))).alias("path")
+    ).where("NOT (revision = 'org/fork-user5@init' AND path = 'tokenizer_config.json')")
     existing = R.init_rounds(
         requests.where("repo_id IN ('org/fork-user3', 'org/fork-user4')"), states(inputs), now()
     )
-    return R.init_rounds(requests, existing, now()).select(
+    complete = checkpoint_complete(files, "modeling.py")
+    return R.init_rounds(requests, existing, now(), checkpoints=complete).select(
         "repo_id", "seq", "status", "round", "base_model_revision", "policy.min_updates"
     )
 

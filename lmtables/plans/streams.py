@@ -184,7 +184,10 @@ def merged_store(inputs: Inputs) -> TableStore:
     shapes = tensor_plans.model_manifest(inputs).select("name", "shape")
     models = inputs("base").join(shapes, "name").withColumn("repo_id", F.lit(REPO))
     store.replace_partitions("models", models)
-    store.replace_partitions("deltas", deltas.join(shapes, "name"))
+    submitted = deltas.join(shapes, "name").selectExpr(
+        "*", f"'{REPO}' AS repo_id", "CAST(substr(update_id, 8) AS BIGINT) AS pr_num", "update_id AS revision"
+    )
+    store.replace_partitions("deltas", submitted)
     request = models.selectExpr("repo_id", "revision AS base_model_revision", POLICY).distinct()
     store.append("rounds", R.init_rounds(request, store.read("rounds"), MERGE_TIME))
     accepted = (

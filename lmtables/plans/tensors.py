@@ -10,6 +10,7 @@ from lmtables.functions import vectors as V
 from lmtables.operators import shards, tensors
 from lmtables.plans.registry import query
 from lmtables.plans.tables import Inputs, with_tables
+from lmtables.session import stage
 from lmtables.sources import tensors as source
 
 WIDTH = 64
@@ -99,9 +100,12 @@ def update_rows(inputs: Inputs) -> DataFrame:
     )
 
 
+def scales(inputs: Inputs) -> DataFrame:
+    return stage(tensors.update_scales(update_rows(inputs), weighting="tokens", max_delta_norm=MAX_NORM), "scales")
+
+
 def averages(inputs: Inputs) -> DataFrame:
-    scales = tensors.update_scales(update_rows(inputs), weighting="tokens", max_delta_norm=MAX_NORM)
-    return tensors.merge_average(deltas(inputs), scales)
+    return tensors.merge_average(deltas(inputs), scales(inputs))
 
 
 @query(
@@ -438,11 +442,10 @@ def _clip(inputs: Inputs) -> DataFrame:
     ),
 )
 def _merge_join(inputs: Inputs) -> DataFrame:
-    scales = tensors.update_scales(update_rows(inputs), max_delta_norm=MAX_NORM)
     base = inputs("base").select("name", "chunk_id", F.size("values").cast("bigint").alias("width"))
     return (
         deltas(inputs)
-        .join(scales, "update_id")
+        .join(scales(inputs), "update_id")
         .join(base, ["name", "chunk_id"])
         .select("update_id", "name", "chunk_id", F.round("factor", 6).alias("factor"), "width")
     )

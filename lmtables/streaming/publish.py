@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lmtables.operators import rounds as R
-from lmtables.operators.merge import merge_round, verify_updates
+from lmtables.operators.merge import PAYLOAD, merge_round, verify_updates
 from lmtables.operators.submissions import ROUND, select_quorum
 from lmtables.session import stage
 from lmtables.streaming.quorum import quorum_stream, reopening_events, round_events, submission_events, union_events
@@ -39,7 +39,13 @@ def coordinator_step(
     lock_ready_rounds(store, accepted, now, strict=strict, reopen=reopen)
     after("lock")
     publish_merges(
-        store, now, weighting=weighting, max_delta_norm=max_delta_norm, momentum_dtype=momentum_dtype, after=after
+        store,
+        now,
+        weighting=weighting,
+        max_delta_norm=max_delta_norm,
+        momentum_dtype=momentum_dtype,
+        strict=strict,
+        after=after,
     )
     finalize_merges(store, now, after=after)
 
@@ -57,6 +63,7 @@ def lock_ready_rounds(
         return
     states = R.current_states(store.read("rounds")).where("status = 'open'")
     fresh = accepted.join(states.select(*ROUND, "base_model_revision"), list(ROUND))
+    fresh = fresh.join(store.read("closed"), ["repo_id", "pr_num"], "left_anti")
     known_bad = store.read("quarantine").select(*ROUND, "pr_num")
     left_out = [*ROUND] if reopen else [*ROUND, "pr_num"]
     if reopen:
@@ -67,8 +74,8 @@ def lock_ready_rounds(
         if chosen.isEmpty():
             return
         report = verify_updates(chosen, store.read("deltas"), store.read("models"), strict=strict)
-        named = chosen.select(*ROUND, "pr_num", "update_id")
-        bad = stage(report.where("problem IS NOT NULL").join(named, "update_id"), "bad")
+        named = chosen.select("round", "update_id", *PAYLOAD)
+        bad = stage(report.where("problem IS NOT NULL").join(named, list(PAYLOAD)), "bad")
         if bad.isEmpty():
             break
         store.append("quarantine", bad)
@@ -83,21 +90,35 @@ def publish_merges(
     weighting: str,
     max_delta_norm: float,
     momentum_dtype: str,
+    strict: bool = False,
     after: Callable[[str], None] = lambda point: None,
 ) -> None:
-    """Merges every locked round that has no matching marker yet; model and momentum first, marker last."""
+    """Merges every locked round that has no matching marker yet; model and momentum first, marker last.
+
+    Payload that is bad now, although it was good when the round was locked, raises when ``strict``. Otherwise its
+    repository is left out and stays locked, named in the table ``failed``; all others are merged. A later step
+    tries it again.
+    """
     merging = R.current_states(store.read("rounds")).where("status = 'merging'")
     done = R.matching_markers(merging, store.read("markers")).select(*ROUND)
     merging = stage(merging.join(done, list(ROUND), "left_anti"), "merging")
     if merging.isEmpty():
         return
+    updates = R.rebuild_pending(merging).join(merging.select(*ROUND, "base_model_revision"), list(ROUND))
+    deltas = store.read("deltas").join(updates.select(*PAYLOAD), list(PAYLOAD), "left_semi")
+    report = verify_updates(updates, deltas, store.read("models"), strict=strict)
+    named = updates.select("round", "update_id", *PAYLOAD)
+    norms = stage(report.join(named, list(PAYLOAD)), "norms")
+    bad = norms.where("problem IS NOT NULL")
+    if not bad.isEmpty():
+        store.append("failed", bad.join(store.read("failed"), [*ROUND, "pr_num", "problem"], "left_anti"))
+        merging = stage(merging.join(bad.select(*ROUND), list(ROUND), "left_anti"), "merging")
+        if merging.isEmpty():
+            return
     revisions = merging.select(
         *ROUND,
         R.merged_revision(F.col("repo_id"), F.col("round"), F.col("pending_merge.update_id")).alias("model_revision"),
     )
-    updates = R.rebuild_pending(merging).join(merging.select(*ROUND, "base_model_revision"), list(ROUND))
-    deltas = store.read("deltas").join(updates.select("update_id"), "update_id", "left_semi")
-    norms = stage(verify_updates(updates, deltas, store.read("models"), strict=True), "norms")
     previous = merging.select("repo_id", (F.col("round") - 1).alias("completed_round"))
     momentum = store.read("momentum").join(previous, ["repo_id", "completed_round"], "left_semi")
     merged = merge_round(
@@ -125,23 +146,36 @@ def publish_merges(
         ),
     )
     after("model")
-    by_round = norms.join(updates.select(*ROUND, "update_id"), "update_id")
-    store.append("markers", R.merge_markers(merging, by_round, now).join(revisions, list(ROUND)))
+    store.append("markers", R.merge_markers(merging, norms, now).join(revisions, list(ROUND)))
     after("marker")
 
 
 def finalize_merges(store: TableStore, now: Column | str, *, after: Callable[[str], None] = lambda point: None) -> None:
-    """Opens the next round of every published merge, then closes the merged submissions."""
+    """Opens the next round of every published merge, then closes the merged submissions.
+
+    What is closed follows from the states alone, so a step that is cut off between the two is made good by the next.
+    """
     merging = R.current_states(store.read("rounds")).where("status = 'merging'")
     published = stage(R.matching_markers(merging, store.read("markers")), "published")
-    if published.isEmpty():
-        return
-    store.append("rounds", R.open_next_rounds(published, merging.columns, now))
-    after("state")
-    store.append(
-        "closed",
-        R.rebuild_pending(published).select("repo_id", "pr_num", F.col("round").alias("merged_round")),
-    )
+    if not published.isEmpty():
+        store.append("rounds", R.open_next_rounds(published, merging.columns, now))
+        after("state")
+    due = stage(merged_submissions(store).join(store.read("closed"), ["repo_id", "pr_num"], "left_anti"), "due")
+    if not due.isEmpty():
+        store.append("closed", due)
+
+
+def merged_submissions(store: TableStore) -> DataFrame:
+    """Submissions of the last completed round of each repository: repo_id, pr_num, merged_round."""
+    states = store.read("rounds")
+    last = R.current_states(states).select("repo_id", F.col("last_merge.source_round").alias("round"))
+    listed = R.rebuild_pending(states.join(last.where("round IS NOT NULL"), list(ROUND), "left_semi"))
+    return listed.select("repo_id", "pr_num", F.col("round").alias("merged_round")).distinct()
+
+
+def open_submissions(store: TableStore, submissions: DataFrame) -> DataFrame:
+    """The listing with merged submissions closed, whatever the host says of them by now."""
+    return R.close_accepted(submissions, store.read("closed"))
 
 
 def active_momentum(store: TableStore) -> DataFrame:

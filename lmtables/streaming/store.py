@@ -13,14 +13,15 @@ SCHEMAS = {
     "markers": f"repo_id STRING, round INT, marker {MARKER_TYPE}, model_revision STRING",
     "models": f"{TENSOR_COLUMNS}, repo_id STRING, revision STRING",
     "momentum": f"{TENSOR_COLUMNS}, repo_id STRING, completed_round INT",
-    "deltas": f"{TENSOR_COLUMNS}, update_id STRING",
+    "deltas": f"{TENSOR_COLUMNS}, repo_id STRING, pr_num BIGINT, revision STRING",
     "closed": "repo_id STRING, pr_num BIGINT, merged_round INT",
     "quarantine": "repo_id STRING, round INT, pr_num BIGINT, update_id STRING, problem STRING",
+    "failed": "repo_id STRING, round INT, pr_num BIGINT, update_id STRING, problem STRING",
 }
 PARTITIONS = {
     "models": ("repo_id", "revision"),
     "momentum": ("repo_id", "completed_round"),
-    "deltas": ("update_id",),
+    "deltas": ("repo_id", "pr_num", "revision"),
 }
 
 

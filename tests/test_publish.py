@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lmtables.operators import rounds as R
-from lmtables.streaming.publish import active_momentum, coordinator_step
+from lmtables.streaming.publish import active_momentum, coordinator_step, open_submissions
 from lmtables.streaming.store import TableStore
 
 NOW = "2024-01-01"
@@ -45,10 +45,10 @@ def chunks(spark, owners, names=("x", "y")):
 
 def submit(spark, store, round_number, offsets, repos=REPOS, names=("x", "y"), first=0):
     """Accepted submissions with constant deltas, numbered in order of time."""
-    keys = [(repo, i, f"{repo}-{round_number}-{i}", offset) for repo in repos for i, offset in enumerate(offsets, first)]
-    deltas = chunks(spark, [(u, offset) for _, _, u, offset in keys], names)
-    store.replace_partitions("deltas", deltas.withColumnRenamed("owner", "update_id"))
-    rows = [(repo, round_number, i + 100 * round_number, f"author{i}", "w", u, 10, "rev", "path") for repo, i, u, _ in keys]
+    keys = [(repo, i + 100 * round_number, i, offset) for repo in repos for i, offset in enumerate(offsets, first)]
+    deltas = chunks(spark, [(f"{repo} {pr}", offset) for repo, pr, _, offset in keys], names)
+    store.replace_partitions("deltas", deltas.selectExpr("*", "split(owner, ' ')[0] AS repo_id", "CAST(split(owner, ' ')[1] AS BIGINT) AS pr_num", "'rev' AS revision"))
+    rows = [(repo, round_number, pr, f"author{i}", "w", f"{repo}-{round_number}-{i}", 10, "rev", "path") for repo, pr, i, _ in keys]
     schema = "repo_id STRING, round INT, pr_num BIGINT, author STRING, worker_id STRING, update_id STRING, num_tokens BIGINT, revision STRING, metadata_path STRING"
     return spark.createDataFrame(rows, schema).withColumn("created_at", F.timestamp_seconds("pr_num"))
 
@@ -119,6 +119,7 @@ def test_resume_after_each_point(spark, tmp_path, point):
         assert np.allclose(values(store, repo), expected_values([*history, (0.2, 0.4)]), atol=1e-5)
     assert {(r.status, r["round"]) for r in state(store).values()} == {("open", number + 1)}
     assert store.read("markers").count() == len(REPOS) * (number + 1)
+    assert store.read("closed").where(f"merged_round = {number}").count() == 2 * len(REPOS)
 
 
 def test_bad_payload_is_put_aside_or_raises(spark, tmp_path):
@@ -141,7 +142,7 @@ def test_bad_payload_can_break_the_quorum(spark, tmp_path):
 
 def test_no_payload_at_all(spark, tmp_path):
     store = new_store(spark, tmp_path)
-    accepted = submit(spark, store, 0, (0.1, 0.2)).withColumn("update_id", F.concat("update_id", F.lit("-x")))
+    accepted = submit(spark, store, 0, (0.1, 0.2)).withColumn("revision", F.lit("other"))
     coordinator_step(store, accepted, NOW)
     assert {r.problem for r in store.read("quarantine").collect()} == {"keys"}
 
@@ -155,3 +156,45 @@ def test_lost_momentum_restarts(spark, tmp_path):
     coordinator_step(fresh, submit(spark, store, 1, (0.2, 0.2)), NOW)
     expected = expected_values([(0.1, 0.3)]) - 0.7 * 1.9 * 0.2
     assert np.allclose(values(store, "a"), expected, atol=1e-5)
+
+
+def test_copied_update_ids_stay_apart(spark, tmp_path):
+    store = new_store(spark, tmp_path)
+    accepted = submit(spark, store, 0, (0.1, 0.3), repos=("a",)).unionByName(submit(spark, store, 0, (0.5, 0.7), repos=("b",)))
+    coordinator_step(store, accepted.withColumn("update_id", F.lit("copied")), NOW)
+    assert np.allclose(values(store, "a"), expected_values([(0.1, 0.3)]), atol=1e-5)
+    assert np.allclose(values(store, "b"), expected_values([(0.5, 0.7)]), atol=1e-5)
+    last = state(store)["b"].last_merge
+    assert last.update_ids == ["copied", "copied"]
+    norms = last.verified_delta_norms
+    assert norms["author0/w"] == pytest.approx(0.5 * 8**0.5, rel=1e-6) and norms["author1/w"] == pytest.approx(0.7 * 8**0.5, rel=1e-6)
+
+
+def test_a_bad_repository_does_not_stop_the_others(spark, tmp_path):
+    store = new_store(spark, tmp_path)
+    accepted = submit(spark, store, 0, (0.1, 0.3))
+    with pytest.raises(Crash):
+        coordinator_step(store, accepted, NOW, after=crash_at("lock"))
+    submit(spark, store, 0, (float("nan"), 0.3), repos=("a",))  # written over after it was locked
+    with pytest.raises(Exception, match="Delta verification failed"):
+        coordinator_step(store, None, NOW, strict=True)
+    for _ in range(2):
+        coordinator_step(store, None, NOW)
+        assert {k: (r.status, r["round"]) for k, r in state(store).items()} == {"a": ("merging", 0), "b": ("open", 1)}
+        assert [(r.repo_id, r.pr_num, r.problem) for r in store.read("failed").collect()] == [("a", 0, "non_finite")]
+    assert np.allclose(values(store, "b"), expected_values([(0.1, 0.3)]), atol=1e-5)
+    submit(spark, store, 0, (0.1, 0.3), repos=("a",))
+    coordinator_step(store, None, NOW)
+    assert np.allclose(values(store, "a"), expected_values([(0.1, 0.3)]), atol=1e-5)
+
+
+def test_merged_submissions_stay_closed(spark, tmp_path):
+    store = new_store(spark, tmp_path)
+    accepted = submit(spark, store, 0, (0.1, 0.3), repos=("a",))
+    coordinator_step(store, accepted, NOW)
+    # Claimed again for the next round, together with one new submission: too few are left.
+    again = accepted.unionByName(submit(spark, store, 1, (0.5,), repos=("a",))).withColumn("round", F.lit(1))
+    coordinator_step(store, again, NOW)
+    assert (state(store)["a"].status, state(store)["a"]["round"]) == ("open", 1)
+    listing = again.select("repo_id", "pr_num", F.lit("open").alias("status"))
+    assert {r.pr_num: r.status for r in open_submissions(store, listing).collect()} == {0: "closed", 1: "closed", 100: "open"}
