@@ -158,7 +158,7 @@ def _softmax(inputs: Inputs) -> DataFrame:
 )
 def _map(inputs: Inputs) -> DataFrame:
     def count_words(batch: dict[str, list]) -> dict[str, list]:
-        kept = [i for i, text in enumerate(batch["text"]) if len(text) % 3]
+        kept = [i for i, text in enumerate(batch["text"]) if text is not None and len(text) % 3]
         return {
             "conv_id": [batch["conv_id"][i] for i in kept],
             "turn": [batch["turn"][i] for i in kept],

@@ -46,8 +46,16 @@ def sink_tensor_shards(
     return plan
 
 
-def sink_metrics(metrics: DataFrame, path: str) -> None:
-    """Appends rows (run, phase, key, value), partitioned by run."""
-    metrics.select("run", "phase", "key", F.col("value").cast("double").alias("value")).write.mode("append").partitionBy(
-        "run"
-    ).parquet(path)
+def sink_metrics(metrics: DataFrame, path: str, write_id: str) -> None:
+    """Writes rows (run, phase, key, value) under ``run=.../write=...``; readers see the id as the column ``write``.
+
+    A write that is repeated with its id, by a retried batch for instance, replaces what it wrote for the same runs;
+    other ids and other runs stay. An empty write changes nothing; a null run is a run.
+    """
+    (
+        metrics.select("phase", "key", F.col("value").cast("double").alias("value"), "run", F.lit(write_id).alias("write"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run", "write")
+        .parquet(path)
+    )

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from lmtables.functions import identifiers as ids
 from lmtables.functions import sizes, user
+from lmtables.operators import packing
 from lmtables.operators import rounds as R
 from lmtables.operators import submissions as S
 from lmtables.sources.documents import require_supported, scan_json_docs
+from lmtables.sources.tensors import checkpoint_complete
 
 T0 = dt.datetime(2024, 1, 1)
 GOOD = {
@@ -229,6 +231,12 @@ def test_init_rounds(spark):
     assert [(r.repo_id, r.seq) for r in R.init_rounds(asked, old, now).collect()] == [("b", 0)]
     forced = R.init_rounds(asked, old, now, force=True)
     assert {(r.repo_id, r.seq) for r in forced.collect()} == {("a", 6), ("b", 0)}
+    files = [("y", p) for p in ("config.json", "tokenizer_config.json", "code.py", "model.safetensors")] + [("x", "config.json")]
+    complete = checkpoint_complete(spark.createDataFrame(files, "revision STRING, path STRING"), "code.py")
+    usable = R.init_rounds(asked, old, now, force=True, checkpoints=complete)
+    assert [(r.repo_id, r.base_model_revision) for r in usable.collect()] == [("b", "y")]
+    reasons = {r.repo_id: r.reject_reason for r in R.policy_rejects(asked, complete).collect()}
+    assert reasons == {"a": "checkpoint", "c": "policy"}
     current = R.current_states(old.unionByName(forced))
     assert {(r.repo_id, r["round"]) for r in current.collect()} == {("a", 0), ("b", 0)}
 
@@ -239,3 +247,38 @@ def test_user_functions(spark):
     assert [r[0] for r in df.select(user.reward_correct_length(F.col("text"))).collect()] == [0.0, 1.0, 1.0, 0.0]
     grown = user.batched_map(spark.range(10).coalesce(1), lambda b: {"n": [len(b["id"])] * 2}, "n BIGINT", batch_size=4)
     assert sorted(r.n for r in grown.collect()) == [2, 2, 4, 4, 4, 4]
+
+
+def test_null_texts_and_wide_integers(spark):
+    df = spark.createDataFrame([(2**53 + 1, "w " * 20), (None, None), (3, "")], "id BIGINT, text STRING").coalesce(1)
+    reward = user.reward_udf(lambda texts, low: [1.0 if len(t.split()) >= low else 0.0 for t in texts], low=20)
+    both = df.select(reward(F.col("text")).alias("a"), user.reward_correct_length(F.col("text")).alias("b"))
+    assert [tuple(r) for r in both.collect()] == [(1.0, 1.0), (0.0, 0.0), (0.0, 0.0)]
+    same = user.batched_map(df, lambda batch: batch, "id BIGINT, text STRING", batch_size=2)
+    assert same.collect() == df.collect()
+    assert user.batched_map(df.limit(0), lambda batch: 1 / 0, "id BIGINT").isEmpty()
+
+
+def test_batches_are_full_across_arrow_batches(spark):
+    rows = spark.range(0, 25_000, 1, 2)
+    sizes = user.batched_map(rows, lambda b: {"n": [len(b["id"])]}, "n INT", batch_size=3_000).collect()
+    assert sorted(r.n for r in sizes) == [500, 500] + [3_000] * 8
+
+
+def test_calls_see_the_rows_of_one_map_call(spark):
+    """A function that drops its own tail, called for each scope, packs as the DataFrame operators do."""
+    rng = random.Random(4)
+    rows = [(rng.choice(["train", None]), i, [rng.randrange(50) for _ in range(rng.randrange(0, 9))]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "split STRING, doc_id BIGINT, input_ids ARRAY<INT>").repartition(4)
+
+    def cut(batch):
+        flat = [t for ids in batch["input_ids"] for t in ids]
+        blocks = [flat[i : i + 16] for i in range(0, len(flat) - 15, 16)]
+        count = len(blocks)
+        return {"split": batch["split"][:1] * count, "scope": batch["scope"][:1] * count, "block_idx": list(range(count)), "input_ids": blocks}
+
+    scoped = packing.batch_scope(docs, 40, num_proc=3)
+    schema = "split STRING, scope BIGINT, block_idx BIGINT, input_ids ARRAY<INT>"
+    called = user.batched_map(scoped, cut, schema, columns=["split", "scope", "input_ids"], calls=["split", "scope"], order=["doc_id"])
+    packed = packing.pack_blocks(docs, 16, batch_rows=40, num_proc=3).select("split", "scope", "block_idx", "input_ids")
+    assert sorted(map(str, called.collect())) == sorted(map(str, packed.collect()))

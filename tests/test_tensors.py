@@ -209,8 +209,56 @@ def test_sink_writes_named_shards(spark, tmp_path):
         sink_tensor_shards(rows.limit(0), sized.limit(0), str(tmp_path / "none"), prefix="delta", max_shard_bytes=64)
 
 
-def test_metrics_append(spark, tmp_path):
-    rows = spark.createDataFrame([("r1", "train", "loss", 1.5), ("r1", "train", "total_parameters", 10.0)], "run STRING, phase STRING, key STRING, value DOUBLE")
-    for _ in range(2):
-        sink_metrics(rows, str(tmp_path / "metrics"))
-    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 4
+def test_metrics_written_again(spark, tmp_path):
+    schema, path = "run STRING, phase STRING, key STRING, value DOUBLE", str(tmp_path / "metrics")
+    rows = [("r1", "train", "loss", 1.5), ("r1", "train", "total_parameters", 10.0), (None, "eval", "loss", 2.0)]
+    for write in ("batch-0", "batch-0", "batch-1"):
+        sink_metrics(spark.createDataFrame(rows, schema), path, write)
+    sink_metrics(spark.createDataFrame([("r2", "eval", "loss", 1.0)], schema), path, "batch-1")
+    sink_metrics(spark.createDataFrame([], schema), path, "batch-0")
+    found = sorted(map(str, spark.read.parquet(path).select("run", "phase", "key", "value").collect()))
+    assert len(found) == 7 and len(set(found)) == 4
+
+
+def test_set_reconciliation(spark):
+    rng = random.Random(8)
+    model = {r: {f"t{i}": [rng.randrange(1, 4)] for i in range(rng.randrange(5, 30))} for r in ("r1", "r2")}
+    have, asked = {}, {}
+    for u in range(20):
+        revision = rng.choice(["r1", "r2"])
+        asked[f"u{u}"] = revision
+        have[f"u{u}"] = dict(model[revision])
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            have[f"u{u}"].pop(rng.choice(sorted(have[f"u{u}"])), None)
+        for i in range(rng.choice([0, 0, 2])):
+            have[f"u{u}"][f"x{i}"] = [1]
+        if rng.random() < 0.3:
+            have[f"u{u}"][rng.choice(sorted(have[f"u{u}"]))] = [9]
+    asked["empty"], asked["lost"], have["stray"] = "r1", "nowhere", {"t0": [1]}
+    rows = lambda sets, owner: spark.createDataFrame(
+        [(o, asked.get(o, o), n, shape) for o, s in sets.items() for n, shape in s.items()],
+        f"{owner} STRING, {'revision' if owner != 'revision' else 'unused'} STRING, name STRING, shape ARRAY<BIGINT>",
+    )
+    deltas, manifest = rows(have, "update_id"), rows(model, "revision").drop("unused")
+    updates = spark.createDataFrame(list(asked.items()), "update_id STRING, revision STRING")
+    diff = tensors.key_set_diff(deltas, manifest, updates)
+    expected = {(u, n, "missing") for u, r in asked.items() for n in model.get(r, {}) if n not in have.get(u, {})}
+    expected |= {(u, n, "unexpected") for u, s in have.items() for n in s if n not in model.get(asked.get(u), {})}
+    got = [tuple(r) for r in diff.collect()]
+    assert set(got) == expected and len(got) == len(expected)
+    shaped = {(u, n) for u, s in have.items() for n, shape in s.items() if shape != model.get(asked.get(u), {}).get(n, shape)}
+    assert {(r.update_id, r.name) for r in tensors.shape_mismatches(deltas, manifest).collect()} == shaped
+    stored = deltas.select("update_id", "name", F.col("shape")[0].alias("stored_values")).where("name <> 't1'")
+    short = {(u, "t1") for u, s in have.items() if "t1" in s and "t1" in model.get(asked.get(u), {})}
+    assert {(r.update_id, r.name) for r in tensors.shape_mismatches(deltas, manifest, stored).collect()} == shaped | short
+
+
+def test_equal_updates_are_not_expanded(spark):
+    """With equal sets, names of the model are joined with an empty list of updates."""
+    names = spark.range(50).selectExpr("concat('t', id) AS name", "'r' AS revision", "array(id) AS shape")
+    deltas = names.crossJoin(spark.range(30).selectExpr("concat('u', id) AS update_id"))
+    out = tensors.key_set_diff(deltas, names, deltas.select("update_id", "revision"))
+    assert out.isEmpty()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("FullOuter")
+    assert tensors.shape_mismatches(deltas, names).isEmpty()
