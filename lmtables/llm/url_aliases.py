@@ -49,19 +49,82 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.coalesce(*parts)
 
 
+REFERENCE = r"(?i)&(?:#x([0-9a-f]{1,6})|#([0-9]{1,7})|(amp|lt|gt|quot|apos));?"
+# The characters of the references by name that a url can hold.
+NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+
+def decoded(text: Column) -> Column:
+    """Character references, by number or one of the names above, as their characters; others stay as they are."""
+    named_ = F.create_map(*(F.lit(x) for pair in NAMED.items() for x in pair))
+    ends = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+
+    def character(reference: Column) -> Column:
+        hexadecimal, number, name = (F.nullif(F.regexp_extract(reference, REFERENCE, k), F.lit("")) for k in (1, 2, 3))
+        code = F.coalesce(F.conv(hexadecimal, 16, 10), number).cast("int")
+        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        usable = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(code.isNull(), F.try_element_at(named_, F.lower(name))).when(usable, letter).otherwise(F.lit("\ufffd"))
+
+    between = F.split(text, REFERENCE, -1)
+    joined = F.zip_with(between, F.transform(ends, character), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(joined, "")).otherwise(text)
+
+
+def without_dots(path: Column) -> Column:
+    """The path with its segments ``.`` and ``..`` carried out; ``..`` at the root is left out."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    # The segment before the first slash is empty and stays at the bottom.
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.least(F.size(done), F.lit(1)))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    closed = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.contains("/."), F.array_join(closed, "/")).otherwise(path)
+
+
+def resolved(href: Column, base: Column) -> Column:
+    """An absolute url for a reference on a page whose base is the absolute url ``base``."""
+    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+    origin = F.concat(scheme, F.lit("://"), F.regexp_extract(base, r"(?s)^.*?://([^/?#]*)", 1))
+    path = url_path(base)
+    folder = F.regexp_replace(F.when(path == "", F.lit("/")).otherwise(path), "[^/]*$", "")
+    whole = (
+        F.when(href.rlike(r"(?s)^[A-Za-z][A-Za-z0-9+.\-]*://"), href)
+        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("?"), F.concat(origin, path, href))
+        .otherwise(F.concat(origin, folder, href))
+    )
+    pieces = [F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$", k) for k in (1, 2, 3)]
+    return F.concat(pieces[0], without_dots(pieces[1]), pieces[2])
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Canonical links and immediate redirects that pages declare: ``src``, ``dst`` (absolute urls).
 
-    Relative targets are resolved against the page's host and folder. Pages without url or html have none.
+    Targets have their character references decoded and are resolved against the page's first ``<base href>``, else
+    against its url; segments ``.`` and ``..`` are carried out. Comments and what stands inside of scripts, styles,
+    templates, titles and text areas declare nothing. Pages without url or html have none; a target without a host
+    (``javascript:`` and so on), an empty one and one that is a fragment only are no links.
     """
     text = F.lower(F.col(html))
     page = pages.select(F.col(url).alias("src"), F.col(html).alias("body")).where(
         F.col(url).contains("://") & (text.contains("canonical") | text.contains("http-equiv"))
     )
+    silent = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|noscript|textarea|title)\b.*?(?:</\1\s*>|\z)"
     tags = F.regexp_extract_all(
-        F.regexp_replace("body", "(?s)<!--.*?-->", ""), F.lit(r"(?is)<(?:link|meta)\s[^>]*>"), F.lit(0)
+        F.regexp_replace("body", silent, " "), F.lit(r"""(?is)<(?:link|meta|base)\s(?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0)
     )
-    tag = page.select("src", F.explode(tags).alias("tag"))
+    tagged = named(page, "src", tags=tags)
+    bases = F.filter("tags", lambda tag: tag.rlike(r"(?is)^<base") & _attribute(tag, "href").isNotNull())
+    href = F.trim(decoded(_attribute(F.get(bases, F.lit(0)), "href")))
+    tag = named(tagged, "src", "tags", base=F.coalesce(resolved(href, F.col("src")), F.col("src")))
+    tag = tag.select("src", "base", F.explode("tags").alias("tag"))
     content = _attribute(F.col("tag"), "content")
     target = F.when(
         F.col("tag").rlike(r"(?is)^<link") & _attribute(F.col("tag"), "rel").rlike(r"(?i)(^|\s)canonical(\s|$)"),
@@ -70,18 +133,10 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.col("tag").rlike(r"(?is)^<meta") & _attribute(F.col("tag"), "http-equiv").rlike(r"(?i)^\s*refresh\s*$"),
         F.regexp_extract(content, r"(?is)^\s*\d[\d.]*\s*[;,]\s*url\s*=\s*[\"']?([^\"']*)", 1),
     )
-    found = named(tag, "src", href=F.trim(F.replace(target, F.lit("&amp;"), F.lit("&"))))
-    host, path, href = url_host(F.col("src")), url_path(F.col("src")), F.col("href")
-    folder = F.regexp_replace(F.when(path == "", F.lit("/")).otherwise(path), "[^/]*$", "")
-    dst = (
-        F.when(href.rlike(r"(?s)^[A-Za-z][A-Za-z0-9+.\-]*://"), href)
-        .when(href.startswith("//"), F.concat(F.lit("http:"), href))
-        .when(href.startswith("/"), F.concat(F.lit("http://"), host, href))
-        .when(href.startswith("?"), F.concat(F.lit("http://"), host, path, href))
-        .otherwise(F.concat(F.lit("http://"), host, folder, href))
-    )
-    usable = (href != "") & ~href.startswith("#") & ~href.rlike(r"(?i)^(javascript|mailto|data):")
-    return named(found.where(usable), "src", dst=dst)
+    found = named(tag.where(target.isNotNull()), "src", "base", href=F.trim(decoded(target)))
+    href = F.col("href")
+    usable = (href != "") & ~href.startswith("#") & ~href.rlike(r"(?i)^(javascript|mailto|data|tel|about):")
+    return named(found.where(usable), "src", dst=resolved(href, F.col("base")))
 
 
 def match_rules(places: DataFrame, rules: DataFrame) -> DataFrame:

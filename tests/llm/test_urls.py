@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import random
+from urllib.parse import urljoin
 
 import pytest
 
 from lmtables.llm.components import connected_components
 from lmtables.llm.queries import URL_RULES
-from lmtables.llm.url_aliases import judge_urls, page_links, rule_table
+from pyspark.sql import functions as F
+
+from lmtables.llm.url_aliases import decoded, judge_urls, page_links, resolved, rule_table
 
 PAGES = "page_id long, url string, html string, host int, rule int, verdict int"
 LINKS = "src string, dst string"
@@ -91,6 +94,52 @@ def test_links_of_pages(spark):
     }
 
 
+def links_of(spark, html, url="https://a.com/d/e/p?x"):
+    pages = spark.createDataFrame([(i, url, h, 0, 0, 0) for i, h in enumerate(html)], PAGES)
+    return sorted(r.dst for r in page_links(pages).collect())
+
+
+def canonical(href):
+    return f'<link rel="canonical" href="{href}">'
+
+
+def test_targets_are_resolved_like_a_browser_does(spark):
+    base = "https://a.com/d/e/p?x"
+    hrefs = ["../q", "./q", "..", ".", "../../../up", "/x/./y/../z", "/..", "a/b/../../c", "?q=1", "http://o.com", "q/..#f/../g", "q?r=/../s"]
+    expected = {h: urljoin(base, h) for h in hrefs} | {"//H.com/a/../b": "https://H.com/b"}
+    rows = spark.createDataFrame([(h, base) for h in expected], "href STRING, base STRING")
+    got = {r.href: r.url for r in rows.select("href", resolved(F.col("href"), F.col("base")).alias("url")).collect()}
+    assert got == expected
+    assert links_of(spark, [canonical("../q"), canonical("/x/../y")]) == ["https://a.com/d/q", "https://a.com/y"]
+
+
+def test_references_in_targets(spark):
+    assert links_of(spark, [canonical("/y?a=1&#38;b=2&#x26;c=3&amp;d&amp e&quot;&unknown;&#8364;&#0;")]) == [
+        "https://a.com/y?a=1&b=2&c=3&d& e\"&unknown;\u20ac\ufffd"
+    ]
+    rows = spark.createDataFrame([(1, "&lt;&#128512;&GT;"), (2, None), (3, ""), (4, "&" * 3000)], "id INT, t STRING")
+    assert [r[0] for r in rows.select(decoded(F.col("t"))).collect()] == ["<\U0001f600>", None, "", "&" * 3000]
+
+
+def test_base_of_a_page(spark):
+    base = '<base target="_top"><base href="/other/&#x78;/"><base href="http://no.com/">'
+    assert links_of(spark, [base + canonical("y"), canonical("../z") + base]) == ["https://a.com/other/x/y", "https://a.com/other/z"]
+
+
+def test_what_is_not_declared(spark):
+    hidden = [f"<{t} a='b'>{canonical('/no')}</{t} >" for t in ("script", "STYLE", "template", "textarea")]
+    html = [*hidden, f"<script>{canonical('/no')}", f"<!-- {canonical('/no')}", canonical("mailto:x"), canonical("#f"), canonical(" ")]
+    assert links_of(spark, html) == []
+    assert links_of(spark, ["".join(hidden) + canonical("/yes"), '<link title="a > b" rel=canonical href=/too>']) == ["https://a.com/too", "https://a.com/yes"]
+
+
+def test_repeated_pages_and_very_long_urls(spark):
+    long = "http://a.net/" + "x/" * 50_000
+    got = judged(spark, [long, long, None, None], [(long, "http://c.example.net/en/")])
+    assert [got[i][-1] for i in range(4)] == ["block", "block", "allow", "allow"]
+    assert links_of(spark, [canonical("../" * 3_000 + "q")] * 2) == ["https://a.com/q"] * 2
+
+
 @pytest.mark.parametrize("shape", ["random", "chain", "hub"])
 def test_components(spark, shape):
     rng = random.Random(3)
