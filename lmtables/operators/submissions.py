@@ -52,18 +52,40 @@ def open_submissions(submissions: DataFrame) -> DataFrame:
     )
 
 
+def listed_as_open(submissions: DataFrame) -> DataFrame:
+    """What a status report lists: open submissions with the title prefix; drafts are not listed."""
+    return submissions.where((F.col("status") == "open") & F.col("title").startswith(TITLE_PREFIX))
+
+
 def status_report(states: DataFrame, submissions: DataFrame) -> DataFrame:
     """Current state of each repository with its number of open submissions; drafts are not counted here."""
-    counts = (
-        submissions.where((F.col("status") == "open") & F.col("title").startswith(TITLE_PREFIX))
-        .groupBy("repo_id")
-        .agg(F.count("*").alias("open_submissions"))
-    )
+    counts = listed_as_open(submissions).groupBy("repo_id").agg(F.count("*").alias("open_submissions"))
     return states.join(counts, "repo_id", "left").withColumn(
         "open_submissions", F.coalesce("open_submissions", F.lit(0)).cast("bigint")
     )
 
 
+def status_listing(states: DataFrame, submissions: DataFrame) -> DataFrame:
+    """The whole report as rows: one per repository (``kind`` state, with ``open_submissions``) and one per open submission
+    (``kind`` submission, with ``pr_num``, ``title``, ``author``); (repo_id, kind, pr_num) is the reading order.
+
+    Submissions of a repository without a state are left out, as there is no report on it. Repeated rows are listed
+    as often as they are counted.
+    """
+    state_row = status_report(states, submissions).select(
+        "repo_id",
+        F.lit("state").alias("kind"),
+        "round",
+        F.col("status").alias("round_status"),
+        "base_model_revision",
+        "open_submissions",
+    )
+    rows = listed_as_open(submissions).join(states.select("repo_id"), "repo_id", "left_semi").select(
+        "repo_id", F.lit("submission").alias("kind"), "pr_num", "title", "author"
+    )
+    return state_row.unionByName(rows, allowMissingColumns=True)
+
+
 def allow_authors(submissions: DataFrame, allowed: DataFrame | None) -> DataFrame:
     """``None`` admits everyone; a given list, even an empty one, admits its members only."""
     if allowed is None:

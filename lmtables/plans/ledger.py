@@ -186,6 +186,27 @@ def _status(inputs: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "status_listing",
+    with_tables(
+        ["rounds", "submissions"],
+        "SELECT repo_id, 'state' AS kind, round, base_model_revision, n AS open_submissions, CAST(NULL AS BIGINT) AS pr_num, "
+        "CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS author FROM (SELECT r.repo_id, r.round, "
+        "r.base_model_revision, (SELECT count(*) FROM listed AS l WHERE l.repo_id = r.repo_id) AS n FROM latest AS r) AS c "
+        "UNION ALL SELECT repo_id, 'submission', NULL, NULL, NULL, pr_num, title, author FROM listed "
+        "WHERE repo_id IN (SELECT repo_id FROM latest)",
+        {
+            "listed": "SELECT * FROM submissions WHERE status = 'open' AND starts_with(title, '[swarm]')",
+            "latest": "SELECT * FROM rounds QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY seq DESC) = 1",
+        },
+    ),
+)
+def _listing(inputs: Inputs) -> DataFrame:
+    from lmtables.operators.rounds import current_states
+
+    return S.status_listing(current_states(inputs("rounds")), inputs("submissions")).drop("round_status")
+
+
 @query(
     "author_allowlist",
     with_tables(

@@ -282,3 +282,12 @@ def test_calls_see_the_rows_of_one_map_call(spark):
     called = user.batched_map(scoped, cut, schema, columns=["split", "scope", "input_ids"], calls=["split", "scope"], order=["doc_id"])
     packed = packing.pack_blocks(docs, 16, batch_rows=40, num_proc=3).select("split", "scope", "block_idx", "input_ids")
     assert sorted(map(str, called.collect())) == sorted(map(str, packed.collect()))
+
+
+def test_status_listing(spark):
+    states = spark.createDataFrame([("a", 3, "open", "r"), ("b", 0, "merging", "s")], "repo_id STRING, round INT, status STRING, base_model_revision STRING")
+    rows = [("a", 1, "open", "[swarm] x", "u"), ("a", 2, "draft", "[swarm] y", "u"), ("a", 3, "open", "other", "u"), ("a", 4, "open", None, "u"), ("a", 5, "open", "[swarm]", None), ("c", 6, "open", "[swarm] z", "u")]
+    given = spark.createDataFrame(rows, "repo_id STRING, pr_num BIGINT, status STRING, title STRING, author STRING")
+    got = S.status_listing(states, given).orderBy("repo_id", "kind", "pr_num").collect()
+    assert [(r.repo_id, r.kind, r.pr_num, r.author) for r in got if r.kind == "submission"] == [("a", "submission", 1, "u"), ("a", "submission", 5, None)]
+    assert {r.repo_id: (r["round"], r.round_status, r.open_submissions) for r in got if r.kind == "state"} == {"a": (3, "open", 2), "b": (0, "merging", 0)}
