@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lmtables.functions import vectors as V
 from lmtables.operators import shards, tensors
+from lmtables.session import stage
 from lmtables.sources.sinks import sink_metrics, sink_tensor_shards
 
 TENSORS = {"embed": (3, 4), "layer.0": (5,), "norm": (2, 2)}
@@ -130,6 +131,42 @@ def test_momentum_replay_over_many_rounds(spark):
                     assert np.allclose(found[name, chunk, r], state)
 
 
+@pytest.mark.parametrize("block", [1, 3, 7, 1000])
+def test_momentum_replay_in_blocks(spark, block):
+    rng = random.Random(6)
+    rows = [(name, c, r * 5 - 20, [rng.gauss(0, 1) for _ in range(3)]) for name in ("a", None) for c in range(2) for r in range(rng.choice([1, 21, 40]))]
+    df = spark.createDataFrame(rows, "name STRING, chunk_id INT, round INT, values ARRAY<DOUBLE>").repartition(5)
+    key = lambda r: (str(r.name), r.chunk_id, r["round"])
+    expected = {key(r): r.momentum for r in tensors.momentum_replay(df, 0.9).collect()}
+    found = tensors.momentum_replay(df, 0.9, block_rounds=block).collect()
+    assert len(found) == len(rows) and {key(r) for r in found} == set(expected)
+    assert all(np.allclose(r.momentum, expected[key(r)], rtol=1e-12, atol=1e-12) for r in found)
+    assert tensors.momentum_replay(df.limit(0), 0.9, block_rounds=block).isEmpty()
+
+
+def test_a_long_history_is_spread_over_tasks(spark, monkeypatch):
+    tasks = {}
+
+    def counted(df, label):
+        tasks[label] = df.select(F.spark_partition_id().alias("task")).distinct().count()
+        return stage(df, label)
+
+    monkeypatch.setattr(tensors, "stage", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(100_000).selectExpr("'a' AS name", "0 AS chunk_id", "id AS round", "array(1.0D, id % 7 - 3.0D) AS values")
+    try:
+        out = tensors.momentum_replay(df, 0.99, block_rounds=1_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks["within"] > 1
+    values = np.array([r.momentum for r in out.orderBy("round").collect()])
+    state, plain = np.zeros(2), []
+    for r in range(100_000):
+        state = 0.99 * state + np.array([1.0, r % 7 - 3.0])
+        plain.append(state)
+    assert np.allclose(values, plain, rtol=1e-9, atol=1e-9)
+
+
 @pytest.mark.parametrize("dtype,value,expected", [("float16", 70000.0, math.inf), ("float16", 1.0, 1.0), ("bfloat16", 3.0e38, 3.0e38), ("float32", 70000.0, 70000.0)])
 def test_narrow_types(spark, dtype, value, expected):
     df = spark.createDataFrame([([value, -value],), (None,), ([],)], "values ARRAY<FLOAT>")
