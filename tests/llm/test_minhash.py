@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from lmtables.llm import minhash
+from lmtables.llm.heavy_light import jaccard_components
 from lmtables.llm.minhash import EMPTY, PERMUTATIONS, SEGMENT, fingerprints, likeness, near_duplicates, runs, signatures, word_hashes
 
 SCHEMA = "doc_id long, text string, id int, digest int, next int"
@@ -154,3 +155,10 @@ def test_classes_of_given_documents(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = sorted((tuple(r) for r in near_duplicates(docs).collect()), key=repr)
     assert got == classes_by_hand(rows)
+
+
+def test_classes_equal_the_exact_join(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    exact = {r.doc_id: r.component_id for r in jaccard_components(docs, words=5, percent=80).collect()}
+    found = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    assert found == exact and any(k != v for k, v in found.items())
