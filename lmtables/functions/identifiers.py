@@ -16,14 +16,23 @@ INDEX_SUFFIX = ".safetensors.index.json"
 MERGE_MARKER_PATH = "swarm/merge-result.json"
 ID_CHARACTERS = "A-Za-z0-9_.-"
 ID_LENGTH = 80
+EDGE_FREE = "A-Za-z0-9_"
+# Possessive throughout, so that nothing is tried twice.
+ID_PART = (
+    f"^[^{EDGE_FREE}]*+((?:[{EDGE_FREE}]|(?:[.-]|[^{ID_CHARACTERS}]++)(?=[^{EDGE_FREE}]*+[{EDGE_FREE}])){{0,{ID_LENGTH}}}+)"
+)
 SEED_ROUND_STRIDE = 1_000_003
 SEED_MODULUS = 2**31
 
 
 def sanitize_id(value: Column) -> Column:
-    """Runs of foreign characters become ``-``; edges lose ``-`` and ``.``; cut to 80 last; empty gives NULL."""
-    cleaned = F.btrim(F.regexp_replace(value, f"[^{ID_CHARACTERS}]+", "-"), F.lit("-."))
-    return F.when(cleaned != "", F.substring(cleaned, 1, ID_LENGTH))
+    """Runs of foreign characters become ``-``; edges lose ``-`` and ``.``; cut to 80 last; empty gives NULL.
+
+    What the id is made of is found first: after the left edge, 80 characters or runs, each with something behind it that
+    stays. Only that part is rewritten, however long the text is.
+    """
+    part = F.regexp_extract(value, ID_PART, 1)
+    return F.regexp_replace(F.when(part != "", part), f"[^{ID_CHARACTERS}]+", "-")
 
 
 def worker_seed(seed: Column, round_number: Column, worker_id: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -215,6 +217,36 @@ def test_sanitize_id(spark, text, expected):
     assert spark.createDataFrame([(text,)], "t STRING").select(ids.sanitize_id(F.col("t")).alias("v")).first().v == expected
 
 
+def sanitized(text):
+    kept = re.sub("[^A-Za-z0-9_.-]+", "-", text).strip("-.")[:80]
+    return kept or None
+
+
+def test_sanitize_id_of_any_text(spark):
+    chosen = random.Random(5)
+    texts = ["".join(chosen.choices("aZ9_.- \n\u00e9\U0001f600", [3, 1, 1, 1, 2, 2, 3, 1, 1, 1], k=chosen.randrange(200))) for _ in range(3000)]
+    # Cut within and behind a run, with and without something after it; edges longer than the id.
+    for cut in (78, 79, 80, 81):
+        texts += ["a" * cut + mark * 500 + end for mark in ".- \u00e9" for end in ("", "b", ".b", " .-")]
+    texts += ["x." * 300, ". " * 5000, ". " * 5000 + "a", "a" + "-" * 100_000 + "b", "a." + " " * 100_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING").select("i", ids.sanitize_id(F.col("t")).alias("v"))
+    assert {r.i: r.v for r in rows.collect()} == {i: sanitized(t) for i, t in enumerate(texts)}
+
+
+def test_sanitize_id_does_not_rewrite_the_rest_of_a_text(spark):
+    texts = spark.range(0, 400, 1, 4).select(F.repeat(F.concat("id", F.lit(" a, b; ")), 5000).alias("t"))
+
+    def seconds(value):
+        begun = time.perf_counter()
+        texts.agg(F.sum(F.hash(value))).collect()
+        return time.perf_counter() - begun
+
+    whole = F.regexp_replace("t", "[^A-Za-z0-9_.-]+", "-")
+    for value in (whole, ids.sanitize_id(F.col("t"))):
+        seconds(value)
+    assert seconds(ids.sanitize_id(F.col("t"))) < seconds(whole) / 2
+
+
 def test_version_gate(spark):
     docs = spark.createDataFrame([('{"protocol_version": 1}',), ('{"protocol_version": 2}',), ("{}",)], "body STRING")
     parsed = scan_json_docs(docs, "protocol_version INT")
