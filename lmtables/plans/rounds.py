@@ -43,11 +43,10 @@ def norms(inputs: Inputs) -> DataFrame:
     return inputs("updates").select("repo_id", "round", "pr_num", F.col("value").alias("verified_norm"))
 
 
-def markers(inputs: Inputs) -> DataFrame:
-    """Markers as published: every fourth round lost one id, the others list theirs in reverse."""
+def markers(inputs: Inputs, merging: DataFrame) -> DataFrame:
+    """Markers of locked rounds as published: every fourth round lost one id, the others list theirs in reverse."""
     listed = F.col("marker.update_ids")
     spoiled = F.when(F.col("round") % 4 == 0, F.slice(listed, F.lit(2), F.size(listed))).otherwise(F.reverse(listed))
-    merging = locked(inputs)
     return R.merge_markers(merging, norms(inputs), now()).select(
         "repo_id",
         "round",
@@ -153,7 +152,8 @@ def _marker(inputs: Inputs) -> DataFrame:
 @query("same_update_set", chain_sql("SELECT repo_id, round, round % 4 <> 0 OR n = 0 AS same FROM lists", LISTS))
 def _same(inputs: Inputs) -> DataFrame:
     same = R.same_update_set(F.col("marker.update_ids"), F.col("pending_merge.update_id"))
-    return locked(inputs).join(markers(inputs), ["repo_id", "round"]).select("repo_id", "round", same.alias("same"))
+    merging = locked(inputs)
+    return merging.join(markers(inputs, merging), ["repo_id", "round"]).select("repo_id", "round", same.alias("same"))
 
 
 @query(
@@ -168,7 +168,7 @@ def _same(inputs: Inputs) -> DataFrame:
 )
 def _next(inputs: Inputs) -> DataFrame:
     merging = locked(inputs)
-    published = R.matching_markers(merging, markers(inputs))
+    published = R.matching_markers(merging, markers(inputs, merging))
     return R.open_next_rounds(published, merging.columns, now()).select(
         "repo_id",
         "round",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from lmtables.plans import tensors
+from lmtables.operators import submissions as S
+from lmtables.plans import rounds, tensors
+from lmtables.plans.tables import Inputs
 
 VALUES = [1.0, 2.0] * (tensors.WIDTH // 2)
 
@@ -29,3 +32,12 @@ def test_updates_that_verification_rejects_are_left_out(spark):
     assert used([]) == ["update-1", "update-2", "update-3", "update-4"]
     assert used([("update-4", "block.1")]) == ["update-1", "update-2", "update-3"]
     assert used([("update-2", "block.0")]) == ["update-1", "update-3", "update-4"]
+
+
+@pytest.mark.parametrize("build", [rounds._same, rounds._next])
+def test_submissions_are_judged_once(spark, monkeypatch, build):
+    calls = []
+    judge = S.validate_submissions
+    monkeypatch.setattr(S, "validate_submissions", lambda *tables: calls.append(1) or judge(*tables))
+    build(Inputs(spark, "/root/testdata/sf0.001"))
+    assert len(calls) == 1
