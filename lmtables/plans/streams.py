@@ -96,7 +96,7 @@ def arrivals(inputs: Inputs, folder: str) -> str:
     return f"{folder}/arriving"
 
 
-def decisions_by_stream(inputs: Inputs, folder: str, max_per_author: int, *, trim: bool = True) -> DataFrame:
+def decisions_by_stream(inputs: Inputs, folder: str, max_per_author: int, *, combine: bool = True) -> DataFrame:
     """Decisions of the quorum stream, which goes on from its checkpoint after each file."""
     use_rocksdb(inputs.spark)
     arriving = arrivals(inputs, folder)
@@ -106,7 +106,7 @@ def decisions_by_stream(inputs: Inputs, folder: str, max_per_author: int, *, tri
         rows = inputs.spark.read.schema(f"{schema}, file INT").parquet(arriving).where(F.col("file") == file)
         rows.drop("file").write.mode("append").parquet(f"{folder}/arrived")
         writer = (
-            quorum_stream(submission_stream(inputs.spark, f"{folder}/arrived", schema), max_per_author, trim=trim)
+            quorum_stream(submission_stream(inputs.spark, f"{folder}/arrived", schema), max_per_author, trim=True, combine=combine)
             .writeStream.format("parquet")
             .option("path", f"{folder}/decided")
             .option("checkpointLocation", f"{folder}/quorum-log")
@@ -131,8 +131,8 @@ def _late(inputs: Inputs) -> DataFrame:
     """For another round: seen at once. On another base: told when the round opens, maybe many batches later."""
     folder = intake(inputs, rounds_known=False)
     at_once = results(inputs, folder, "rejected").where("reject_reason = 'round'").select("repo_id", "round", "reject_reason")
-    # Untrimmed: a repeated submission of one identity is turned away as well.
-    decided = decisions_by_stream(inputs, folder, MAX_PER_AUTHOR, trim=False).where("reason = 'base_revision'")
+    # Not cut before it is judged: a repeated submission of one identity is turned away as well.
+    decided = decisions_by_stream(inputs, folder, MAX_PER_AUTHOR, combine=False).where("reason = 'base_revision'")
     later = decided.select("repo_id", "round", F.col("reason").alias("reject_reason"))
     return at_once.unionByName(later).groupBy("repo_id", "round", "reject_reason").agg(F.count("*").alias("late"))
 

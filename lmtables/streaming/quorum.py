@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -36,6 +38,12 @@ DECISION_SCHEMA = (
 )
 DECISION_COLUMNS = [c.split(" ")[0] for c in DECISION_SCHEMA.split(", ")]
 ROWS_AT_ONCE = 4096
+HELD_AT_ONCE = 32_768
+PAGE_NUMBERS = 4096
+PAGE_SCHEMA = pa.schema(
+    [("pr_num", pa.int64()), ("created_at", pa.timestamp("us"))]
+    + [(name, pa.int64() if name == "num_tokens" else pa.string()) for name in HELD]
+)
 WAIT_MS = 7 * 24 * 3600 * 1000
 CLOSED_MS = 7 * 24 * 3600 * 1000
 
@@ -95,11 +103,13 @@ def keep_earliest(rows: pd.DataFrame, max_per_author: int, max_updates: int | No
 
 
 class QuorumProcessor(StatefulProcessor):
-    """State of one round, one row of the state store per candidate; tasks hold ROWS_AT_ONCE of them at a time.
+    """State of one round; tasks hold HELD_AT_ONCE submissions at a time.
 
-    ``opening``: base revision and limits, once known. ``candidates`` by number. ``aside``: numbers that take no part any
-    more. ``attempt``: how many sets were handed on, and whether the last one is out. ``closed``: the round is finished;
-    it is all that is left of it then, and goes by itself.
+    ``opening``: base revision and limits, once known. ``waiting``: submissions that are not judged yet, in pages of
+    PAGE_NUMBERS numbers, so that a round that fills up costs one access to the store per page and not per submission.
+    ``candidates`` by number: those that may be chosen. ``aside``: numbers that take no part any more. ``attempt``: how
+    many sets were handed on, and whether the last one is out. ``closed``: the round is finished; it is all that is left
+    of it then, and goes by itself.
     """
 
     def __init__(self, max_per_author: int, trim: bool, wait_ms: int, closed_ms: int) -> None:
@@ -108,17 +118,21 @@ class QuorumProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.opening = handle.getValueState("opening", "base_model_revision STRING, min_updates INT, max_updates INT, seq BIGINT")
+        self.waiting = handle.getMapState("waiting", "page BIGINT", "rows BINARY")
         self.candidates = handle.getMapState("candidates", "pr_num BIGINT", VALUE_SCHEMA)
         self.aside = handle.getMapState("aside", "pr_num BIGINT", "done BOOLEAN")
         self.attempt = handle.getValueState("attempt", "number INT, out BOOLEAN")
         self.closed = handle.getValueState("closed", "seq BIGINT", self.closed_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        opening, finished, gone = None, None, []
+        opening, finished, gone, new = None, None, [], []
         for batch in rows:
             for kind, part in batch.groupby("kind", sort=False):
                 if kind == "submission":
-                    self._hold(part)
+                    new.append(part.sort_values(TIME, kind="stable"))
+                    if sum(map(len, new)) >= HELD_AT_ONCE:
+                        self._hold(new)
+                        new = []
                 elif kind in ("withdrawal", "reopening"):
                     gone += [int(pr) for pr in part["pr_num"]]
                     self._reopen(kind)
@@ -128,28 +142,63 @@ class QuorumProcessor(StatefulProcessor):
                         opening = last
                     elif kind == "finished":
                         finished = max(int(last["seq"]), finished or 0)
+        if new:
+            self._hold(new)
         for pr in gone:
             self.aside.updateValue((pr,), (True,))
             self.candidates.removeKey((pr,))
+            self._withdraw(pr)
         yield from self._settle(key, opening, finished)
         if self.opening.exists():
             yield from self._decide(key)
-        elif next(self.candidates.iterator(), None) is not None and not list(self.handle.listTimers()):
+        elif next(self.waiting.keys(), None) is not None and not list(self.handle.listTimers()):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """The round never opened: what waited for it is turned away."""
         if not self.opening.exists():
-            yield from self._rejected(key, lambda row: "round")
+            yield from self._too_late(key)
             self.aside.clear()
 
-    def _hold(self, part: pd.DataFrame) -> None:
-        for row in part.sort_values(TIME, kind="stable").itertuples(index=False):
-            number = (int(row.pr_num),)
-            if not self.aside.containsKey(number):
-                # Numbers that are null in some rows come as floats.
-                carried = [None if pd.isna(v) else int(v) if n == "num_tokens" else v for n, v in ((n, getattr(row, n)) for n in HELD)]
-                self.candidates.updateValue(number, (pd.Timestamp(row.created_at).value // 1000, *carried))
+    def _hold(self, parts: list[pd.DataFrame]) -> None:
+        """Adds submissions to their pages; the later row of a number takes the place of the earlier one."""
+        new = pd.concat(parts) if len(parts) > 1 else parts[0]
+        new = new[list(PAGE_SCHEMA.names)].astype({"pr_num": "int64"}).drop_duplicates("pr_num", keep="last")
+        if self.aside.exists():
+            new = new[[not self.aside.containsKey((int(pr),)) for pr in new["pr_num"]]]
+        for page, rows in new.groupby(new["pr_num"] // PAGE_NUMBERS, sort=False):
+            table = pa.Table.from_pandas(rows, PAGE_SCHEMA, preserve_index=False)
+            held = self.waiting.getValue((int(page),))
+            if held is not None:
+                held = _read_page(held[0])
+                replaced = pc.is_in(held["pr_num"], value_set=table["pr_num"].combine_chunks())
+                table = pa.concat_tables([held.filter(pc.invert(replaced)), table])
+            self._write_page(int(page), table)
+
+    def _write_page(self, page: int, table: pa.Table) -> None:
+        if table.num_rows:
+            (batch,) = table.combine_chunks().to_batches()
+            self.waiting.updateValue((page,), (batch.serialize().to_pybytes(),))
+        else:
+            self.waiting.removeKey((page,))
+
+    def _withdraw(self, pr: int) -> None:
+        held = self.waiting.getValue((pr // PAGE_NUMBERS,))
+        if held is not None:
+            held = _read_page(held[0])
+            self._write_page(pr // PAGE_NUMBERS, held.filter(pc.not_equal(held["pr_num"], pr)))
+
+    def _waiting_rows(self, key) -> Iterator[pd.DataFrame]:
+        """Everything that waits, about ROWS_AT_ONCE at a time."""
+        tables, size = [], 0
+        for (page,) in [*list(self.waiting.keys()), (None,)]:
+            if page is not None:
+                tables.append(_read_page(self.waiting.getValue((page,))[0]))
+                size += tables[-1].num_rows
+            if tables and (page is None or size >= ROWS_AT_ONCE):
+                rows = pa.concat_tables(tables).to_pandas(integer_object_nulls=True)
+                yield rows.assign(**dict(zip(KEY, key)))[ROW].astype({"pr_num": "int64", "created_at": "datetime64[ns]"})
+                tables, size = [], 0
 
     def _reopen(self, kind: str) -> None:
         if kind == "reopening" and self.attempt.exists():
@@ -163,8 +212,8 @@ class QuorumProcessor(StatefulProcessor):
         newest = max(int(opening["seq"]) if opening is not None else -1, known[3] if known else -1)
         if finished is not None and finished >= newest:
             self.closed.update((finished,))
-            yield from self._rejected(key, lambda row: "round") if not known else ()
-            for state in (self.opening, self.candidates, self.aside, self.attempt):
+            yield from self._too_late(key) if not known else ()
+            for state in (self.opening, self.waiting, self.candidates, self.aside, self.attempt):
                 state.clear()
             self._forget_timers()
             return
@@ -172,23 +221,60 @@ class QuorumProcessor(StatefulProcessor):
             self.closed.clear()
             self.attempt.clear()
             self._forget_timers()
+            judged = known is not None
             known = (opening["base_model_revision"], int(opening["min_updates"]), int(opening["max_updates"]), int(opening["seq"]))
             self.opening.update(known)
+            if judged:
+                yield from self._judged_again(key, known[0])
         if known:
-            yield from self._rejected(key, lambda row: _fault(row, known[0]))
+            yield from self._admit(key, known[0], known[2])
 
     def _forget_timers(self) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
 
-    def _rejected(self, key, fault) -> Iterator[pd.DataFrame]:
+    def _too_late(self, key) -> Iterator[pd.DataFrame]:
+        for held in self._waiting_rows(key):
+            yield _decided(held, "rejected", 0, ["round"] * len(held), None)
+        self.waiting.clear()
+
+    def _judged_again(self, key, base: str) -> Iterator[pd.DataFrame]:
+        """Candidates that an earlier opening let through."""
         for held in self._chunks(key):
-            reasons = [fault(row) for row in held.itertuples(index=False)]
-            bad = held[[r is not None for r in reasons]]
+            reasons = _faults(held, base)
+            bad = held[reasons.notna()]
             for pr in bad["pr_num"]:
                 self.candidates.removeKey((int(pr),))
             if len(bad):
-                yield _decided(bad, "rejected", 0, [r for r in reasons if r is not None], None)
+                yield _decided(bad, "rejected", 0, list(reasons[reasons.notna()]), None)
+
+    def _admit(self, key, base: str, most: int) -> Iterator[pd.DataFrame]:
+        """Judges who waits: the others become candidates, with ``trim`` only those that can be chosen."""
+        known, kept = next(self.candidates.keys(), None) is not None, None
+        for held in self._waiting_rows(key):
+            reasons = _faults(held, base)
+            bad, good = held[reasons.notna()], held[reasons.isna()]
+            if known:
+                for pr in (held if self.trim else bad)["pr_num"]:
+                    self.candidates.removeKey((int(pr),))
+            if self.trim:
+                kept = keep_earliest(good if kept is None else pd.concat([kept, good]), self.max_per_author, most)
+            else:
+                self._put(good)
+            if len(bad):
+                yield _decided(bad, "rejected", 0, list(reasons[reasons.notna()]), None)
+        if kept is not None:
+            for held in list(self._chunks(key)):
+                kept = keep_earliest(pd.concat([held, kept]), self.max_per_author, most)
+            self.candidates.clear()
+            self._put(kept)
+        self.waiting.clear()
+
+    def _put(self, rows: pd.DataFrame) -> None:
+        for row in rows.itertuples(index=False):
+            # Numbers that are null in some rows come as floats.
+            carried = [None if pd.isna(v) else int(v) if n == "num_tokens" else v for n, v in ((n, getattr(row, n)) for n in HELD)]
+            self.candidates.updateValue((int(row.pr_num),), (pd.Timestamp(row.created_at).value // 1000, *carried))
 
     def _decide(self, key) -> Iterator[pd.DataFrame]:
         if self.attempt.exists() and self.attempt.get()[1]:
@@ -197,18 +283,12 @@ class QuorumProcessor(StatefulProcessor):
         kept = None
         for held in self._chunks(key):
             kept = keep_earliest(held if kept is None else pd.concat([kept, held]), self.max_per_author, most)
-        if kept is None:
-            return
-        if len(kept) >= least:
+        if kept is not None and len(kept) >= least:
             number = self.attempt.get()[0] + 1 if self.attempt.exists() else 1
             self.attempt.update((number, True))
             if self.trim:
                 self.candidates.clear()
             yield _decided(kept, "chosen", number, None, range(1, len(kept) + 1))
-        elif self.trim:
-            keep = set(kept["pr_num"])
-            for pr in [pr for pr, _ in self.candidates.iterator() if pr[0] not in keep]:
-                self.candidates.removeKey(pr)
 
     def _chunks(self, key) -> Iterator[pd.DataFrame]:
         """Candidates of the state, some at a time. A chunk is read to its end before it is given out."""
@@ -225,11 +305,14 @@ class QuorumProcessor(StatefulProcessor):
                 yield held.astype({"pr_num": "int64", "created_at": "datetime64[ns]"})
 
 
-def _fault(row, base: str) -> str | None:
-    """None for a submission that may be chosen. Without a claimed base the rule was applied before."""
-    if row.base_model_revision is not None and row.base_model_revision != base:
-        return "base_revision"
-    return row.later_reason
+def _read_page(rows: bytes) -> pa.Table:
+    return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(bytes(rows)), PAGE_SCHEMA)])
+
+
+def _faults(rows: pd.DataFrame, base: str) -> pd.Series:
+    """Null for submissions that may be chosen. Without a claimed base the rule was applied before."""
+    claimed = rows["base_model_revision"]
+    return rows["later_reason"].astype("object").mask(claimed.notna() & (claimed != base), "base_revision")
 
 
 def _decided(rows: pd.DataFrame, decision: str, attempt: int, reasons, ranks) -> pd.DataFrame:
@@ -269,6 +352,7 @@ def quorum_stream(
     max_per_author: int = 1,
     *,
     trim: bool = False,
+    combine: bool | None = None,
     wait_ms: int = WAIT_MS,
     closed_ms: int = CLOSED_MS,
 ) -> DataFrame:
@@ -282,12 +366,13 @@ def quorum_stream(
     finished round leaves a mark, which goes after ``closed_ms``; later submissions are rejected by it.
 
     Every candidate is held until its round is finished, as it may have to move up. With ``trim``, those that cannot be
-    chosen any more go at once, before the shuffle as well; withdrawals and reopenings find no substitute then.
+    chosen any more go at once, before the shuffle as well; withdrawals and reopenings find no substitute then. Without
+    ``combine`` they go once they are judged, so that each submission that is to be rejected is.
     Events without a repository or a round belong to no round and are left out.
     """
     # A null would also turn the other rounds of its batch into floats, which are keys of their own.
     events = events.where("repo_id IS NOT NULL AND round IS NOT NULL")
-    if trim:
+    if trim if combine is None else combine:
         events = combine_locally(events, max_per_author)
     return events.groupBy(*KEY).transformWithStateInPandas(
         statefulProcessor=QuorumProcessor(max_per_author, trim, wait_ms, closed_ms),

@@ -137,6 +137,49 @@ def test_state_that_nobody_asks_for_ends(spark, tmp_path):
     assert drain(spark, tmp_path, **brief)[4, 1] == [3]  # the mark of the finished round is gone
 
 
+def test_a_round_that_fills_up_before_it_opens_is_held_in_pages(spark, tmp_path):
+    rows = [event("submission", 0, n, n, f"a{n}", "w", base_model_revision="old" if n % 3 == 0 else "new") for n in range(600)]
+    arrive(spark, tmp_path / "in", rows)
+    assert drain(spark, tmp_path) == {}
+    # One more page, a number that comes again with another claim, one that is withdrawn, and one that was before it came.
+    more = [(0, Q.PAGE_NUMBERS + 5, 5, "b", "w"), event("submission", 0, 2, 2, "a2", "w", base_model_revision="old")]
+    arrive(spark, tmp_path / "in", [*more, event("withdrawal", 0, 1), event("withdrawal", 0, 9000)])
+    assert drain(spark, tmp_path) == {}
+    assert len(state_rows(spark, tmp_path, "waiting")) == 2
+    assert state_rows(spark, tmp_path, "candidates") == []
+    arrive(spark, tmp_path / "in", [(0, 9000, 0, "c", "w"), opening(0, 3, 3, base="new")])
+    got = decisions(spark, tmp_path)
+    assert [r.pr_num for r in got if r.decision == "chosen"] == [4, 5, Q.PAGE_NUMBERS + 5]
+    turned_away = sorted((r.pr_num, r.reason, r.num_tokens) for r in got if r.decision == "rejected")
+    assert turned_away == sorted((n, "base_revision", 10) for n in {2, *range(0, 600, 3)})
+    assert state_rows(spark, tmp_path, "waiting") == []
+    assert len(state_rows(spark, tmp_path, "candidates")) == 600 - 200 - 2 + 1
+
+
+def test_every_submission_is_judged_before_it_is_cut(spark, tmp_path):
+    """One identity hands in again and again, on the wrong base as well."""
+    rows = [event("submission", 0, n, n, "a", "w", base_model_revision="old" if n % 2 else "new") for n in range(40)]
+    options = {"trim": True, "combine": False}
+    arrive(spark, tmp_path / "in", [*rows[:20], opening(0, 2, 2, base="new")])
+    assert len([r for r in decisions(spark, tmp_path, **options) if r.reason == "base_revision"]) == 10
+    assert [r.key["round"] for r in state_rows(spark, tmp_path, "candidates")] == [0]
+    arrive(spark, tmp_path / "in", [*rows[20:], (0, 50, 50, "b", "w")])
+    got = decisions(spark, tmp_path, **options)
+    assert len([r for r in got if r.reason == "base_revision"]) == 20
+    assert [r.pr_num for r in got if r.decision == "chosen"] == [0, 50]
+
+
+def test_a_newer_opening_judges_again(spark, tmp_path):
+    claims = ["one", "one", "two", None]
+    rows = [event("submission", 0, n, n, f"a{n}", "w", base_model_revision=c) for n, c in enumerate(claims)]
+    arrive(spark, tmp_path / "in", [*rows[:2], rows[3], opening(0, 9, 9, base="one", seq=1)])
+    assert decisions(spark, tmp_path) == []
+    arrive(spark, tmp_path / "in", [rows[2], opening(0, 2, 9, base="two", seq=2)])
+    got = decisions(spark, tmp_path)
+    assert [r.pr_num for r in got if r.decision == "chosen"] == [2, 3]
+    assert [(r.pr_num, r.reason) for r in got if r.decision == "rejected"] == [(0, "base_revision"), (1, "base_revision")]
+
+
 @pytest.mark.parametrize("trim", [False, True])
 def test_any_batches_equal_the_batch_operators(spark, tmp_path, trim):
     rng = random.Random(2)
