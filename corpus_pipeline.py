@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lmtables.llm import heavy_light, quotient_dedup, source_schedule, vector_packing, zstd_quality
 from lmtables.llm.queries import let_workers_import
 from lmtables.llm.rows import ROW, first_of_groups, numbered
-from lmtables.session import stage
+from lmtables.session import stage, unstage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +34,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of five-word shingles connect (similarity 0.8 or more) that with the smallest doc_id."""
     let_workers_import(spark)
     rows = numbered(docs)
-    found = stage(heavy_light.jaccard_components(rows, key=ROW, words=5, percent=80), "components")
+    joined = heavy_light.jaccard_components(rows, key=ROW, words=5, percent=80)
+    found = stage(joined, "components")
+    unstage(joined)
     several = found.groupBy("component_id").count().where("count > 1").select("component_id")
     grouped = found.join(several, "component_id").select(ROW, F.col("component_id").alias("group"))
-    return first_of_groups(rows, grouped, "doc_id")
+    kept = first_of_groups(rows, grouped, "doc_id")
+    unstage(found)
+    return kept
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

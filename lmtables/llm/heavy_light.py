@@ -26,6 +26,7 @@ SLICE_BITS = 14
 MERGED_AT_ONCE = 64
 LEAST_PARITY_BITS, MOST_PARITY_BITS = 1024, 32768  # of a set's parity bitmap
 REPRESENTATIVES, ROUNDS = 8, 4
+LEAST_GAIN = 0.75  # another round only if the last one left at most this share of the pairs
 ROWS_AT_ONCE = 256
 LONG_LIST = 50_000  # an inverted list that the sketch expects to be longer does not meet in one task
 LARGEST_SMALL = 400  # far beyond the sizes for which subsets can be cheaper
@@ -458,10 +459,20 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     def links(found: DataFrame) -> DataFrame:
         return found.where(_linked(F.col("shared"), F.col("n_x"), F.col("n_y"), shape)).select("x", "y")
 
+    def components(pairs: DataFrame, label: str) -> DataFrame:
+        stars = connected_components(pairs, "x", "y")
+        return replaced(stars, stage(stars, label))
+
     def joined(members: DataFrame, found: DataFrame) -> DataFrame:
-        # Stars of the components so far stand for their links.
-        stars = members.where("node <> component").select(F.col("node").alias("x"), F.col("component").alias("y"))
-        return stage(connected_components(stars.unionByName(links(found)), "x", "y"), "members")
+        # Links connect the components so far, which are joined among themselves; a set without one is its own.
+        pairs = links(found)
+        for end in ("x", "y"):
+            pairs = pairs.join(members.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}")), end, "left")
+        bridges = components(pairs.select(F.coalesce("c_x", "x").alias("x"), F.coalesce("c_y", "y").alias("y")), "bridges")
+        moved = members.join(bridges.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+        moved = moved.select("node", F.coalesce("to", "component").alias("component"))
+        joint = stage(moved.unionByName(bridges.join(members, "node", "left_anti")), "members")
+        return replaced(bridges, joint)
 
     def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
         unstage(old)
@@ -471,20 +482,23 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     first = stage(_sized(first, sets), "first")
     near = stage(_bounded(first, sets, shape), "near")
     compared = checked(near)
-    members = stage(connected_components(links(compared), "x", "y"), "members")
+    members = components(links(compared), "members")
     entries = _open_entries(lists, members)
-    size, round_ = entries.count(), 0
-    while size and round_ < ROUNDS:
+    left, round_ = _pairs_left(entries), 0
+    while left and round_ < ROUNDS:
         pairs = _bounded(_sized(_representative_pairs(entries, round_), sets), sets, shape)
         found = checked(pairs)
         new = links(found).count()
-        members = replaced(members, joined(members, found))
+        before, round_ = left, round_ + 1
+        if new:
+            members = replaced(members, joined(members, found))
+            entries = replaced(entries, _open_entries(entries.drop("component"), members))
+            left = _pairs_left(entries)
         unstage(found)
-        entries = replaced(entries, _open_entries(entries.drop("component"), members))
-        size, round_ = entries.count(), round_ + 1
-        if 50 * new < sets.count() ** 0.5:  # hardly anything is left to connect
+        # Hardly anything is left to connect, or the comparison of the rest is hardly any smaller for the round.
+        if 50 * new < sets.count() ** 0.5 or left > LEAST_GAIN * before:
             break
-    if size:
+    if left:
         known = first.join(near.select("x", "y", "bound"), ["x", "y"], "left").join(
             compared.select("x", "y", "shared"), ["x", "y"], "left"
         )
@@ -509,6 +523,14 @@ def _open_entries(lists: DataFrame, members: DataFrame) -> DataFrame:
     return stage(entries.join(ends.select("sig"), "sig"), "open")
 
 
+def _pairs_left(entries: DataFrame) -> int:
+    """Pairs of entries that the comparison of the rest starts from: those outside of the largest component of their
+    list against all of it."""
+    counts = entries.groupBy("sig", "component").agg(F.count("*").alias("entries"))
+    lists = counts.groupBy("sig").agg(F.sum("entries").alias("entries"), F.max("entries").alias("largest"))
+    return lists.agg(F.sum((F.col("entries") - F.col("largest")) * F.col("entries").cast("double"))).first()[0] or 0
+
+
 def _representative_pairs(entries: DataFrame, round_: int) -> DataFrame:
     """Each set of a list with several components against a few others of one of its lists: ``x``, ``y``.
 

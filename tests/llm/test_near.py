@@ -112,3 +112,18 @@ def test_boundary_follows_the_sizes():
     assert small >= 6 and large == 0
     assert heavy_light.shingles("B a", 4).tolist() == heavy_light.shingles("b A", 4).tolist()
     assert np.array_equal(heavy_light.shingles("", 4), np.empty(0, np.uint64))
+
+
+def test_rounds_end_when_they_gain_little(spark, monkeypatch):
+    """Copies at the edge of a link: a round of representatives finds links, and leaves nearly all pairs open."""
+    rounds, pairs = [], heavy_light._representative_pairs
+    monkeypatch.setattr(heavy_light, "REPRESENTATIVES", 1)
+    monkeypatch.setattr(heavy_light, "_representative_pairs", lambda entries, n: rounds.append(n) or pairs(entries, n))
+    rng = random.Random(5)
+    base, rows = [f"b{i}" for i in range(150)], []
+    for i in range(120):
+        copy = list(base)
+        for j in range(rng.randrange(1, 5)):
+            copy[rng.randrange(len(copy))] = f"c{i}_{j}"
+        rows.append((i, " ".join(copy)))
+    assert run(spark, rows) == brute(rows) and rounds == [0]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lmtables.llm import source_schedule, zstd_quality
-from lmtables.session import stage
+from lmtables.session import checkpoint_root, stage
 from tests.llm.test_near import brute
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -90,3 +91,11 @@ def test_repeated_null_and_empty_rows(spark):
     assert corpus_pipeline.mixing(spark, docs, SF_DIR).columns == docs.columns
     for _, function in corpus_pipeline.STAGES:
         assert function(spark, docs.limit(0), SF_DIR).isEmpty()
+
+
+def test_near_dedup_keeps_only_what_its_result_reads(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    folder = Path(checkpoint_root(spark))
+    before = set(folder.iterdir())
+    assert 0 < corpus_pipeline.near_dedup(spark, docs, SF_DIR).count() < docs.count()
+    assert sorted(p.name.split("-")[0] for p in set(folder.iterdir()) - before) == ["gone", "numbered"]
