@@ -502,8 +502,10 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
         known = first.join(near.select("x", "y", "bound"), ["x", "y"], "left").join(
             compared.select("x", "y", "shared"), ["x", "y"], "left"
         )
-        pairs = _bounded(_sized(_rest_of_pairs(entries, sets, known, shape), sets), sets, shape)
-        members = replaced(members, joined(members, checked(pairs)))
+        rest = _rest_of_pairs(entries, sets, known, shape)
+        found = checked(_bounded(_sized(rest, sets), sets, shape))
+        members = replaced(members, joined(members, found))
+        unstage(rest, found)
     unstage(lists, texts, first, near, compared, entries)
 
     classes = rows.where("digest IS NOT NULL").join(sets.select("digest", "key"), "digest")
