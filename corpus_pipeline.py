@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of five-word shingles connect (similarity 0.8 or more) that with the smallest doc_id."""
     let_workers_import(spark)
     rows = numbered(docs)
-    joined = heavy_light.jaccard_components(rows, key=ROW, words=5, percent=80)
+    joined = heavy_light.jaccard_components(rows, key=ROW, words=5, percent=80, most_left=0.75)
     found = stage(joined, "components")
     unstage(joined)
     several = found.groupBy("component_id").count().where("count > 1").select("component_id")

@@ -26,7 +26,6 @@ SLICE_BITS = 14
 MERGED_AT_ONCE = 64
 LEAST_PARITY_BITS, MOST_PARITY_BITS = 1024, 32768  # of a set's parity bitmap
 REPRESENTATIVES, ROUNDS = 8, 4
-LEAST_GAIN = 0.75  # another round only if the last one left at most this share of the pairs
 ROWS_AT_ONCE = 256
 LONG_LIST = 50_000  # an inverted list that the sketch expects to be longer does not meet in one task
 LARGEST_SMALL = 400  # far beyond the sizes for which subsets can be cheaper
@@ -407,7 +406,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     return verified
 
 
-def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 4, percent: int = 85, most_left: float = 1.0
+) -> DataFrame:
     """One row per document: key, ``n_shingles``, ``component_id``, the smallest key reachable by links.
 
     Two documents are linked when 100 × shared ≥ percent × union over their sets of distinct shingles of ``words``
@@ -418,7 +419,8 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     2. The boundary between small and large sets is the one of least cost; ``_signatures`` writes subsets or list
        entries. Lists with one set are dropped.
     3. Every set is compared with the first set of each of its lists, exactly, and components are formed; then with a
-       few others of one list with several components left.
+       few others of one list with several components left, in rounds. A round that leaves more than the share
+       ``most_left`` of the pairs for step 4 is the last one.
     4. In lists that still have several components, sets of different components are compared as well, unless sizes,
        parity bitmaps or the known distances to the list's first set rule a link out. So no link is missed, and no list
        or group of copies becomes all of its pairs.
@@ -496,7 +498,7 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
             left = _pairs_left(entries)
         unstage(found)
         # Hardly anything is left to connect, or the comparison of the rest is hardly any smaller for the round.
-        if 50 * new < sets.count() ** 0.5 or left > LEAST_GAIN * before:
+        if 50 * new < sets.count() ** 0.5 or left > most_left * before:
             break
     if left:
         known = first.join(near.select("x", "y", "bound"), ["x", "y"], "left").join(
